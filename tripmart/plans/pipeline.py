@@ -1,0 +1,150 @@
+"""End-to-end batch jobs: Bronze to marts, layer by layer on shared storage.
+
+Each layer is written before the next reads it.  That is what makes long runs
+survive executor loss, lets a failed layer be rerun alone, and gives the
+optimizer real sizes for the dimension joins.
+"""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .. import constants as K
+from ..operators import core as core_ops
+from ..operators import gold, marts, quality, silver
+from ..sources import read_table, read_zones, write_partitioned, write_report
+
+
+class Layout(NamedTuple):
+    """Locations under one root."""
+
+    root: str
+
+    def __call__(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+
+def trips_with_weather(
+    bronze: dict[str, DataFrame],
+    bronze_weather: DataFrame,
+    *,
+    start: str = K.WINDOW_START,
+    end: str = K.WINDOW_END,
+) -> tuple[DataFrame, DataFrame]:
+    """(trips joined with weather, hourly weather) from Bronze frames by taxi type."""
+    parsed = [silver.parse_trips(df, kind) for kind, df in bronze.items()]
+    trips = silver.normalize_trips(*parsed, start=start, end=end)
+    readings = silver.normalize_weather(silver.parse_weather(bronze_weather), start, end)
+    weather = silver.hourly_weather(readings)
+    hours = silver.window_hours(start, end)
+    return silver.join_weather(trips, weather, proven_hours=hours), weather
+
+
+def run_silver(
+    spark: SparkSession,
+    bronze: dict[str, str],
+    bronze_weather: str,
+    out: Layout,
+    *,
+    start: str = K.WINDOW_START,
+    end: str = K.WINDOW_END,
+) -> None:
+    """Bronze paths to Silver hourly weather and trips.
+
+    The weather table is stored first and read back, so the trip job does not
+    compute it a second time.
+    """
+    parsed_weather = silver.parse_weather(read_table(spark, bronze_weather))
+    readings = silver.normalize_weather(parsed_weather, start, end)
+    write_partitioned(
+        silver.hourly_weather(readings), out("hourly_weather"), ["weather_year_month"]
+    )
+    parsed = [silver.parse_trips(read_table(spark, p), kind) for kind, p in bronze.items()]
+    trips = silver.normalize_trips(*parsed, start=start, end=end)
+    joined = silver.join_weather(
+        trips,
+        read_table(spark, out("hourly_weather")),
+        proven_hours=silver.window_hours(start, end),
+    )
+    write_partitioned(joined, out("taxi_weather_trips"), ["pickup_year_month", "taxi_type"])
+
+
+def run_core(spark: SparkSession, out: Layout) -> None:
+    trips = read_table(spark, out("taxi_weather_trips"))
+    write_partitioned(
+        core_ops.build_core(trips), out("taxi_weather_trips_core"), ["pickup_year_month"]
+    )
+
+
+def run_clean(spark: SparkSession, out: Layout) -> None:
+    core = read_table(spark, out("taxi_weather_trips_core"))
+    write_partitioned(
+        core_ops.build_clean(core), out("taxi_weather_trips_clean"), ["pickup_year_month"]
+    )
+
+
+def run_core_quality(spark: SparkSession, out: Layout) -> None:
+    core_path = out("taxi_weather_trips_core")
+    core = read_table(spark, core_path)
+    dataset = quality.Dataset("silver_core", core_path)
+    report = quality.check_table(core, "core", dataset).unionByName(
+        quality.lineage(read_table(spark, out("taxi_weather_trips")), core, dataset)
+    )
+    _report_and_enforce(spark, report, out("quality_reports/silver_core"))
+
+
+def run_gold(spark: SparkSession, out: Layout) -> None:
+    core = read_table(spark, out("taxi_weather_trips_core"))
+    month = ["pickup_year_month"]
+    write_partitioned(gold.demand_features(core), out("gold_demand_features"), month)
+    write_partitioned(gold.fare_tip_features(core), out("gold_fare_tip_features"), month)
+
+
+def run_gold_quality(spark: SparkSession, out: Layout) -> None:
+    tables = {"demand": "gold_demand_features", "fare_tip": "gold_fare_tip_features"}
+    report = None
+    for table, name in tables.items():
+        dataset = quality.Dataset(name, out(name))
+        one = quality.check_table(read_table(spark, out(name)), table, dataset)
+        report = one if report is None else report.unionByName(one)
+    _report_and_enforce(spark, report, out("quality_reports/gold"))
+
+
+def run_marts(spark: SparkSession, out: Layout, zone_file: str) -> None:
+    demand = read_table(spark, out("gold_demand_features"))
+    fare_tip = read_table(spark, out("gold_fare_tip_features"))
+    zones = marts.pickup_zones(read_zones(spark, zone_file))
+    built = {
+        "dashboard_hourly_demand_kpi": marts.hourly_kpi(demand, unique_key=True),
+        "dashboard_zone_summary": marts.zone_summary(demand, zones),
+        "dashboard_payment_tip_summary": marts.payment_tip_summary(fare_tip),
+    }
+    for name, mart in built.items():
+        write_partitioned(mart, out(name), ["pickup_year_month"])
+
+
+def run_all(
+    spark: SparkSession,
+    bronze: dict[str, str],
+    bronze_weather: str,
+    zone_file: str,
+    out: Layout,
+    *,
+    start: str = K.WINDOW_START,
+    end: str = K.WINDOW_END,
+) -> None:
+    run_silver(spark, bronze, bronze_weather, out, start=start, end=end)
+    run_core(spark, out)
+    run_core_quality(spark, out)
+    run_clean(spark, out)
+    run_gold(spark, out)
+    run_gold_quality(spark, out)
+    run_marts(spark, out, zone_file)
+
+
+def _report_and_enforce(spark: SparkSession, report: DataFrame, path: str) -> None:
+    """Store the report, then raise on failed checks as stored."""
+    write_report(report, path)
+    quality.enforce(spark.read.json(path))
