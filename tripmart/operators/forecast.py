@@ -211,7 +211,7 @@ def filter_predictions(
 
 def score_demand(predictions: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Clip and round raw predictions, add errors and the zone label."""
-    value = F.round(F.greatest(F.col(prediction), F.lit(0.0)), 1)
+    value = F.bround(F.greatest(F.col(prediction), F.lit(0.0)), 1)
     demand = F.col("demand")
     return (
         predictions.withColumn("predicted_demand", value)

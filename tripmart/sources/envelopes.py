@@ -89,9 +89,16 @@ WEATHER_RESPONSE_SCHEMA = T.StructType([T.StructField("hourly", _HOURLY)])
 def explode_weather(responses: DataFrame, body: str = "body") -> DataFrame:
     """One row per hour from responses that hold parallel hourly arrays."""
     hourly = F.from_json(F.col(body), WEATHER_RESPONSE_SCHEMA)["hourly"]
-    arrays = [hourly[f.name].alias(f.name) for f in _HOURLY.fields]
-    rows = responses.select(*arrays).select(
-        F.inline(F.arrays_zip(*[F.col(f.name) for f in _HOURLY.fields]))
+    # Arrays that are absent or shorter than the time array give nulls.
+    values = [
+        F.get(F.col("hourly")[f.name], F.col("i")).alias(f.name)
+        for f in _HOURLY.fields
+        if f.name != "time"
+    ]
+    rows = (
+        responses.select(hourly.alias("hourly"))
+        .select("hourly", F.posexplode("hourly.time").alias("i", "time"))
+        .select("time", *values)
     )
     return rows.filter(F.col("time").isNotNull()).select(
         F.col("time").alias("timestamp"),
