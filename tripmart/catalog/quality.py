@@ -1 +1,692 @@
-"""Placeholder."""
+"""Profiles, contract checks, audits, geometry and publication metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..operators import geo, gold, profile, publish, quality, silver
+from . import shapes
+from .registry import query
+
+
+def _long(table: str, columns: list[str], row: str) -> str:
+    """UNION ALL of one aggregate row per column."""
+    return "\nUNION ALL ".join(row.format(c=c, table=table) for c in columns)
+
+
+# --- Profiles -----------------------------------------------------------------------
+
+_NULLS = ["passenger_count", "ratecode_id", "payment_type", "congestion_surcharge", "airport_fee",
+          "temperature_f", "fare_amount"]
+
+
+@query(
+    "null_profile",
+    _long(
+        "core",
+        _NULLS,
+        "SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, "
+        "(count(*) - count({c}))::DOUBLE / count(*) AS null_ratio, 'present' AS status FROM {table}",
+    )
+    + " UNION ALL SELECT 'ehail_fee', NULL, NULL, 'missing'",
+)
+def _(spark, sf_dir):
+    return profile.nulls(shapes.core(spark, sf_dir), [*_NULLS, "ehail_fee"])
+
+
+@query(
+    "duplicate_keys",
+    """
+    SELECT topic, "partition", "offset", count(*) AS row_count FROM parsed
+    GROUP BY ALL HAVING count(*) > 1
+    """,
+)
+def _(spark, sf_dir):
+    typed = silver.type_trips(silver.parse_trips(shapes.bronze_trips(spark, sf_dir)))
+    return profile.duplicates(typed.dropna(subset=["pickup_datetime"]), K.TRANSPORT_KEY)
+
+
+@query(
+    "duplicate_orders",
+    """
+    SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
+    GROUP BY ALL HAVING count(*) > 1
+    """,
+)
+def _(spark, sf_dir):
+    return profile.duplicates(
+        shapes.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
+    )
+
+
+@query(
+    "counts_by_dimension",
+    """
+    SELECT 'ingestion_date' AS dimension, strftime(kafka_timestamp, '%Y-%m-%d') AS "value",
+      count(*) AS row_count FROM delivered GROUP BY 2
+    UNION ALL SELECT 'topic', topic, count(*) FROM delivered GROUP BY 2
+    UNION ALL SELECT 'taxi_type', taxi_type, count(*) FROM delivered GROUP BY 2
+    """.replace(
+        "delivered",
+        "(SELECT pickup + to_hours(copy) AS kafka_timestamp, taxi_type, "
+        "'nyc_taxi_' || taxi_type AS topic FROM copies)",
+    ),
+)
+def _(spark, sf_dir):
+    bronze = shapes.bronze_trips(spark, sf_dir)
+    return profile.counts_by(bronze, ["ingestion_date", "topic", "taxi_type", "data_type"])
+
+
+_DIST = ["trip_distance", "fare_amount", "total_amount", "temperature_f", "precipitation_mm"]
+
+
+@query(
+    "distribution",
+    _long(
+        "clean",
+        _DIST,
+        "SELECT '{c}' AS column_name, count(v) AS non_null_count, min(v) AS min_value, "
+        "max(v) AS max_value, round(avg(v), 6) AS avg_value, round(stddev_samp(v), 6) AS stddev_value, "
+        "quantile_disc(v, 0.25) AS p25, quantile_disc(v, 0.5) AS p50, "
+        "quantile_disc(v, 0.75) AS p75, quantile_disc(v, 0.95) AS p95, "
+        "quantile_disc(v, 0.99) AS p99 FROM (SELECT {c}::DOUBLE AS v FROM {table})",
+    ),
+)
+def _(spark, sf_dir):
+    # Accuracy above the row count makes the sketch exact at this scale.
+    rows = profile.distribution(shapes.clean(spark, sf_dir), _DIST, accuracy=100_000)
+    return rows.withColumns(
+        {c: F.round(c, 6) for c in ("avg_value", "stddev_value")}
+    )
+
+
+@query(
+    "payload_profile",
+    """
+    SELECT count(*) AS event_rows, 0::BIGINT AS required_metadata_nulls,
+      min(length(props)) AS min_payload_chars, avg(length(props)) AS avg_payload_chars,
+      quantile_disc(length(props), 0.95) AS p95_payload_chars,
+      max(length(props)) AS max_payload_chars FROM events
+    """.replace("min(length(props))", "min(length(props))::INT")
+    .replace("max(length(props))", "max(length(props))::INT")
+    .replace("quantile_disc(length(props), 0.95)", "quantile_disc(length(props), 0.95)::INT"),
+)
+def _(spark, sf_dir):
+    events = shapes.table(spark, sf_dir, "events").select(
+        F.lit("events").alias("topic"),
+        F.col("event_id").alias("offset"),
+        F.col("props").alias("json_data"),
+    )
+    return profile.payloads(events)
+
+
+@query(
+    "json_fields",
+    """
+    SELECT f AS expected_field, count(*) FILTER (e % 97 <> 13 AND f <> 'pickup_zone_name')
+        AS present_rows, count(*) AS total_rows, count(*) FILTER (e % 97 = 13) AS unreadable_rows
+    FROM copies, (VALUES ('tpep_pickup_datetime'), ('VendorID'), ('PULocationID'),
+      ('pickup_zone_name')) t(f) GROUP BY f
+    """,
+)
+def _(spark, sf_dir):
+    expected = [*K.EXPECTED_PAYLOAD_FIELDS["yellow"], "pickup_zone_name"]
+    return profile.json_fields(shapes.bronze_trips(spark, sf_dir), expected)
+
+
+@query(
+    "time_coverage",
+    """
+    SELECT 'pickup_datetime' AS column_name, min(pickup_datetime) AS min_value,
+      max(pickup_datetime) AS max_value FROM joined
+    UNION ALL SELECT 'dropoff_datetime', min(dropoff_datetime), max(dropoff_datetime) FROM joined
+    UNION ALL SELECT 'weather_timestamp', min(weather_timestamp), max(weather_timestamp)
+    FROM joined
+    """,
+)
+def _(spark, sf_dir):
+    return profile.time_coverage(
+        shapes.joined_trips(spark, sf_dir),
+        ["pickup_datetime", "dropoff_datetime", "weather_timestamp"],
+    )
+
+
+@query(
+    "demand_shape",
+    """
+    SELECT 'hour_of_day' AS dimension, hour(pickup_hour)::VARCHAR AS "value",
+      count(*) AS trip_count FROM clean GROUP BY 2
+    UNION ALL SELECT 'day_of_week', (dayofweek(pickup_date) + 1)::VARCHAR, count(*) FROM clean
+      GROUP BY 2
+    UNION ALL SELECT 'pickup_month', month(pickup_date)::VARCHAR, count(*) FROM clean GROUP BY 2
+    UNION ALL SELECT 'taxi_type', taxi_type, count(*) FROM clean GROUP BY 2
+    """,
+)
+def _(spark, sf_dir):
+    return profile.demand_shape(shapes.clean(spark, sf_dir))
+
+
+@query(
+    "trips_by_type",
+    """
+    SELECT taxi_type, count(*) AS trip_count, min(pickup_datetime) AS min_pickup_time,
+      max(pickup_datetime) AS max_pickup_time, round(avg(trip_distance), 2) AS avg_trip_distance,
+      round(avg(fare_amount), 2) AS avg_fare_amount, round(avg(tip_amount), 2) AS avg_tip_amount
+    FROM trips GROUP BY 1
+    """,
+)
+def _(spark, sf_dir):
+    return profile.by_type(shapes.typed_trips(spark, sf_dir))
+
+
+@query(
+    "weather_profile",
+    """
+    SELECT count(*) AS row_count, count(DISTINCT weather_hour) AS distinct_hours,
+      min(weather_hour) AS min_time, max(weather_hour) AS max_time,
+      count(*) - count(temperature_f) AS null_temperature_f,
+      count(*) - count(precipitation_mm) AS null_precipitation_mm
+    FROM readings
+    """,
+)
+def _(spark, sf_dir):
+    parsed = silver.parse_weather(shapes.bronze_weather(spark, sf_dir))
+    return profile.weather(silver.normalize_weather(parsed, dedup=False))
+
+
+@query("zones_per_borough", "SELECT borough, count(*) AS zone_count FROM zones GROUP BY 1")
+def _(spark, sf_dir):
+    return profile.zones(shapes.zone_table(spark, sf_dir))
+
+
+@query(
+    "schema_matrix",
+    """
+    SELECT dataset_name, column_name, is_present FROM (VALUES
+      ('trips', 'pickup_datetime', true), ('trips', 'temperature_f', false),
+      ('core', 'pickup_datetime', true), ('core', 'temperature_f', true))
+      t(dataset_name, column_name, is_present)
+    WHERE EXISTS (SELECT 1 FROM events)
+    """,
+)
+def _(spark, sf_dir):
+    found = profile.schemas(
+        {"trips": shapes.typed_trips(spark, sf_dir), "core": shapes.core(spark, sf_dir)},
+        ["pickup_datetime", "temperature_f"],
+    )
+    return found.drop("data_type")
+
+
+# --- Checks -----------------------------------------------------------------------------
+
+
+def _null_check_sql(table: str, required: list[str], nullable: list[str]) -> str:
+    row = (
+        "SELECT '{p}_{c}' AS check_name, (count(*) - count({c}))::VARCHAR AS check_value, {s} "
+        "AS status FROM {t}"
+    )
+    failing = "CASE WHEN count(*) = count({c}) THEN 'pass' ELSE 'fail' END"
+    parts = [row.format(p="critical_null", c=c, s=failing.format(c=c), t=table) for c in required]
+    parts += [row.format(p="known_nullable_null", c=c, s="'pass'", t=table) for c in nullable]
+    return "\nUNION ALL ".join(parts)
+
+
+def _checks(report):
+    return report.select("check_name", "check_value", "status")
+
+
+@query("null_checks", _null_check_sql("core", K.CORE_REQUIRED, K.CORE_NULLABLE))
+def _(spark, sf_dir):
+    core = shapes.core(spark, sf_dir)
+    return _checks(quality.null_checks(core, K.CORE_REQUIRED, K.CORE_NULLABLE))
+
+
+@query(
+    "key_checks",
+    """
+    SELECT 'duplicate_trips' AS check_name, count(*)::VARCHAR AS check_value,
+      CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status
+    FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)
+    """,
+)
+def _(spark, sf_dir):
+    items = shapes.table(spark, sf_dir, "lineitem")
+    return _checks(quality.key_checks(items, ["l_orderkey", "l_linenumber"], "duplicate_trips"))
+
+
+def _zero_rules(table: str, rules: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{n}' AS check_name, count(*) FILTER ({c})::VARCHAR AS check_value, "
+        f"CASE WHEN count(*) FILTER ({c}) = 0 THEN 'pass' ELSE 'fail' END AS status FROM {table}"
+        for n, c in rules.items()
+    )
+
+
+_CALENDAR = {
+    "invalid_hour_rows": '"hour" < 0 OR "hour" > 23',
+    "invalid_day_of_week_rows": "day_of_week < 1 OR day_of_week > 7",
+    "invalid_month_rows": '"month" < 1 OR "month" > 12',
+}
+
+
+@query(
+    "rule_checks_demand",
+    _zero_rules("demand", {"non_positive_demand_rows": "demand <= 0", **_CALENDAR})
+    + """
+    UNION ALL SELECT 'min_pickup_hour', min(pickup_hour)::VARCHAR, 'pass' FROM demand
+    UNION ALL SELECT 'max_pickup_hour', max(pickup_hour)::VARCHAR, 'pass' FROM demand
+    UNION ALL SELECT 'total_demand', sum(demand)::VARCHAR, 'pass' FROM demand
+    UNION ALL SELECT 'pickup_year_month_count', count(DISTINCT pickup_year_month)::VARCHAR, 'pass'
+    FROM demand
+    """,
+)
+def _(spark, sf_dir):
+    return _checks(quality.rule_checks(shapes.demand(spark, sf_dir), "demand"))
+
+
+@query(
+    "rule_checks_fare_tip",
+    _zero_rules(
+        "wide_fares",
+        {
+            "non_positive_fare_rows": "fare_amount <= 0",
+            "below_min_tip_model_fare_rows": "fare_amount < 2.5",
+            "above_max_fare_model_amount_rows": "fare_amount > 300",
+            "non_positive_distance_rows": "trip_distance <= 0",
+            "negative_tip_percent_rows": "tip_percent < 0",
+            "high_tip_percent_rows": "tip_percent > 100",
+            **_CALENDAR,
+        },
+    ).replace(
+        "FROM wide_fares",
+        "FROM (SELECT *, pct::FLOAT AS tip_percent, hour(pickup_datetime) AS \"hour\", "
+        "dayofweek(pickup_datetime) + 1 AS day_of_week, month(pickup_datetime) AS \"month\" "
+        "FROM tipped)",
+    )
+    + """
+    UNION ALL SELECT 'credit_card_payment_rows', count(*) FILTER (payment_type = 1)::VARCHAR,
+      'pass' FROM tipped
+    """,
+)
+def _(spark, sf_dir):
+    """Rules over all candidate trips, so that the policy limits find something to report."""
+    ts = F.col("pickup_datetime")
+    trips = gold.candidates(shapes.core(spark, sf_dir)).withColumns(
+        {
+            "tip_percent": gold.tip_percent().cast("float"),
+            "hour": F.hour(ts),
+            "day_of_week": F.dayofweek(ts),
+            "month": F.month(ts),
+        }
+    )
+    return _checks(quality.rule_checks(trips, "fare_tip"))
+
+
+_RULES = {
+    "null_passengers": "passenger_count IS NULL",
+    "zero_distance": "trip_distance = 0",
+    "negative_fare": "fare_amount < 0",
+    "tip_above_fare": "tip_amount > fare_amount",
+    "early_dropoff": "dropoff_datetime < pickup_datetime",
+}
+
+
+@query(
+    "rule_counts",
+    "SELECT "
+    + ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in _RULES.items())
+    + " FROM core",
+)
+def _(spark, sf_dir):
+    rules = {n: F.expr(c) for n, c in _RULES.items()}
+    return quality.rule_counts(shapes.core(spark, sf_dir), rules)
+
+
+@query(
+    "constraint_checks",
+    _zero_rules(
+        "hourly_mart",
+        {
+            **{
+                f"not_null_{c}": f'"{c}" IS NULL'
+                for c in (
+                    "pickup_hour", "hour", "day_of_week", "month", "pickup_year_month",
+                    "total_demand", "active_zones", "avg_demand_per_active_zone",
+                    "max_zone_hour_demand", "avg_temperature_f", "avg_precipitation_mm",
+                    "source_gold_processed_timestamp", "dashboard_processed_timestamp",
+                )
+            },
+            "check_hour": 'NOT "hour" BETWEEN 0 AND 23',
+            "check_day_of_week": "NOT day_of_week BETWEEN 1 AND 7",
+            "check_month": 'NOT "month" BETWEEN 1 AND 12',
+            "check_total_demand": "NOT total_demand > 0",
+            "check_active_zones": "NOT active_zones > 0",
+            "check_max_zone_hour_demand": "NOT max_zone_hour_demand > 0",
+        },
+    )
+    + """
+    UNION ALL SELECT 'primary_key', count(*)::VARCHAR,
+      CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END
+    FROM (SELECT pickup_hour FROM hourly_mart GROUP BY 1 HAVING count(*) > 1)
+    """,
+)
+def _(spark, sf_dir):
+    return _checks(quality.constraints(shapes.hourly_mart(spark, sf_dir), "hourly_kpi"))
+
+
+@query(
+    "quality_summary",
+    f"""
+    SELECT 'null' AS check_kind, status, count(*) AS check_count
+    FROM ({_null_check_sql("core", K.CORE_REQUIRED, K.CORE_NULLABLE)}) GROUP BY 2
+    UNION ALL SELECT 'schema', 'pass', {len(K.CORE_CONTRACT) + 2}
+    UNION ALL SELECT 'value', 'pass', 5
+    """,
+)
+def _(spark, sf_dir):
+    return quality.summarize(quality.check_table(shapes.core(spark, sf_dir), "core"))
+
+
+@query(
+    "core_profile",
+    """
+    SELECT min(pickup_datetime) AS min_pickup_datetime, max(pickup_datetime) AS max_pickup_datetime,
+      count(*) FILTER (is_outlier_trip) AS outlier_rows,
+      count(*) FILTER (NOT is_outlier_trip) AS non_outlier_rows FROM core
+    """,
+)
+def _(spark, sf_dir):
+    return quality.core_profile(shapes.core(spark, sf_dir))
+
+
+@query(
+    "retention",
+    """
+    SELECT *, core_rows - clean_rows AS rows_rejected_for_missing_critical_fields,
+      clean_rows::DOUBLE / core_rows AS clean_retention_ratio
+    FROM (SELECT (SELECT count(*) FROM core) AS core_rows,
+            (SELECT count(*) FROM clean) AS clean_rows)
+    """,
+)
+def _(spark, sf_dir):
+    return quality.retention(shapes.core(spark, sf_dir), shapes.clean(spark, sf_dir))
+
+
+@query(
+    "lineage",
+    """
+    SELECT 'enriched_row_count' AS check_name, count(*)::VARCHAR AS check_value, 'pass' AS status
+    FROM joined
+    UNION ALL SELECT 'core_row_count_for_compare', count(*)::VARCHAR, 'pass' FROM core
+    UNION ALL SELECT 'core_matches_enriched_count', 'true', 'pass' FROM core HAVING count(*) > 0
+    """,
+)
+def _(spark, sf_dir):
+    return _checks(
+        quality.lineage(shapes.joined_trips(spark, sf_dir), shapes.core(spark, sf_dir))
+    )
+
+
+@query(
+    "candidate_ratio",
+    """
+    SELECT count(*) AS clean_rows, count(*) FILTER (is_gold_candidate) AS gold_candidate_true_rows,
+      count(*) FILTER (NOT is_gold_candidate) AS gold_candidate_false_rows,
+      count(*) FILTER (is_gold_candidate IS NULL) AS gold_candidate_null_rows,
+      count(*) FILTER (is_gold_candidate)::DOUBLE / count(*) AS gold_candidate_ratio
+    FROM clean
+    """,
+)
+def _(spark, sf_dir):
+    return quality.candidate_ratio(shapes.clean(spark, sf_dir))
+
+
+@query(
+    "outlier_profile",
+    """
+    SELECT count(*) AS total_rows, count(*) FILTER (NOT is_valid_distance) AS invalid_distance_rows,
+      count(*) FILTER (NOT is_valid_fare) AS invalid_fare_rows,
+      count(*) FILTER (NOT is_valid_total_amount) AS invalid_total_amount_rows,
+      count(*) FILTER (is_outlier_trip) AS outlier_trip_rows FROM clean
+    """,
+)
+def _(spark, sf_dir):
+    return quality.outlier_profile(shapes.clean(spark, sf_dir))
+
+
+@query(
+    "imputation_audit",
+    "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS original_column, '{c}_clean' AS clean_column,
+          '{d}' AS default_value, count(*) - count({c}) AS original_null_count,
+          count(*) FILTER (is_{c}_missing) AS missing_flag_true_count,
+          count(*) FILTER ({c} IS NULL AND {c}_clean IS DISTINCT FROM {d}) AS imputation_violations,
+          count(*) FILTER ({c} IS NOT NULL AND {c}_clean IS DISTINCT FROM {c})
+            AS preservation_violations, 'pass' AS status FROM clean"""
+        for c, d in K.IMPUTE_DEFAULTS.items()
+    ),
+)
+def _(spark, sf_dir):
+    return quality.imputation_audit(shapes.clean(spark, sf_dir))
+
+
+@query(
+    "join_coverage",
+    _long(
+        "joined",
+        ["weather_timestamp", "temperature_f", "precipitation_mm"],
+        "SELECT '{c}' AS weather_field, count(*) AS total_rows, "
+        "count(*) - count({c}) AS null_rows, count({c})::DOUBLE / count(*) AS coverage_ratio "
+        "FROM {table}",
+    ),
+)
+def _(spark, sf_dir):
+    return quality.join_coverage(shapes.joined_trips(spark, sf_dir))
+
+
+@query(
+    "join_cardinality",
+    """
+    SELECT count(*) AS weather_hour_count, count(*) FILTER (n > 1) AS duplicate_weather_hours,
+      max(n) AS max_rows_per_weather_hour, 'pass' AS weather_join_cardinality_status
+    FROM (SELECT weather_hour, count(*) AS n FROM first_readings GROUP BY 1)
+    """,
+)
+def _(spark, sf_dir):
+    readings = silver.normalize_weather(silver.parse_weather(shapes.bronze_weather(spark, sf_dir)))
+    return quality.join_cardinality(silver.hourly_weather(readings))
+
+
+_MEASURES = ["temperature_f", "humidity_percent", "precipitation_mm", "weather_code",
+             "wind_speed_kmh", "wind_direction_deg", "cloud_cover_percent"]
+
+
+@query(
+    "weather_conformance",
+    f"""
+    SELECT (SELECT count(DISTINCT pickup_hour) FROM core c
+            WHERE NOT EXISTS (SELECT 1 FROM weather w WHERE w.weather_hour = c.pickup_hour))
+        AS hours_missing_in_weather,
+      (SELECT count(*) FROM joined WHERE NOT has_weather) AS trips_without_weather_hour,
+      {", ".join(f"0::BIGINT AS mismatched_{m}" for m in _MEASURES)}
+    """,
+)
+def _(spark, sf_dir):
+    return quality.weather_conformance(
+        shapes.core(spark, sf_dir), shapes.typed_weather(spark, sf_dir)
+    )
+
+
+# --- Publication metrics --------------------------------------------------------------
+
+
+@query(
+    "publish_metrics_demand",
+    """
+    SELECT 'row_count' AS check_name, count(*)::VARCHAR AS check_value FROM demand
+    UNION ALL SELECT 'total_demand', sum(demand)::VARCHAR FROM demand
+    UNION ALL SELECT 'pickup_year_month_count', count(DISTINCT pickup_year_month)::VARCHAR
+      FROM demand
+    UNION ALL SELECT 'min_pickup_hour', min(pickup_hour)::VARCHAR FROM demand
+    UNION ALL SELECT 'max_pickup_hour', max(pickup_hour)::VARCHAR FROM demand
+    UNION ALL SELECT 'min_gold_processed_timestamp', min(gold_processed_timestamp)::VARCHAR
+      FROM demand
+    UNION ALL SELECT 'max_gold_processed_timestamp', max(gold_processed_timestamp)::VARCHAR
+      FROM demand
+    """,
+)
+def _(spark, sf_dir):
+    return publish.metrics(shapes.demand(spark, sf_dir), "demand")
+
+
+@query(
+    "publish_metrics_fare_tip",
+    """
+    SELECT 'row_count' AS check_name, count(*)::VARCHAR AS check_value FROM fare_tip
+    UNION ALL SELECT 'total_fare_amount', sum(fare_amount)::VARCHAR FROM fare_tip
+    UNION ALL SELECT 'total_tip_amount', sum(tip_amount)::VARCHAR FROM fare_tip
+    UNION ALL SELECT 'credit_card_payment_rows', count(*) FILTER (payment_type = 1)::VARCHAR
+      FROM fare_tip
+    UNION ALL SELECT 'pickup_year_month_count', count(DISTINCT pickup_year_month)::VARCHAR
+      FROM fare_tip
+    UNION ALL SELECT 'min_gold_processed_timestamp', min(gold_processed_timestamp)::VARCHAR
+      FROM fare_tip
+    UNION ALL SELECT 'max_gold_processed_timestamp', max(gold_processed_timestamp)::VARCHAR
+      FROM fare_tip
+    """,
+)
+def _(spark, sf_dir):
+    return publish.metrics(shapes.fare_tip(spark, sf_dir), "fare_tip")
+
+
+@query(
+    "publish_metrics_mart",
+    """
+    SELECT 'row_count' AS check_name, count(*)::VARCHAR AS check_value FROM zone_mart
+    UNION ALL SELECT 'total_total_demand', sum(total_demand)::VARCHAR FROM zone_mart
+    UNION ALL SELECT 'min_source_gold_processed_timestamp',
+      min(source_gold_processed_timestamp)::VARCHAR FROM zone_mart
+    UNION ALL SELECT 'max_source_gold_processed_timestamp',
+      max(source_gold_processed_timestamp)::VARCHAR FROM zone_mart
+    UNION ALL SELECT 'min_dashboard_processed_timestamp',
+      min(dashboard_processed_timestamp)::VARCHAR FROM zone_mart
+    UNION ALL SELECT 'max_dashboard_processed_timestamp',
+      max(dashboard_processed_timestamp)::VARCHAR FROM zone_mart
+    """,
+)
+def _(spark, sf_dir):
+    return publish.metrics(shapes.zone_mart(spark, sf_dir), "mart")
+
+
+@query(
+    "reconcile",
+    """
+    SELECT check_name, expected_value, actual_value,
+      CASE WHEN expected_value IS NOT DISTINCT FROM actual_value THEN 'pass' ELSE 'fail' END
+        AS status
+    FROM (SELECT 'row_count' AS check_name, count(*)::VARCHAR AS expected_value,
+            count(*)::VARCHAR AS actual_value FROM zone_mart
+          UNION ALL SELECT 'total_demand', sum(total_demand)::VARCHAR,
+            sum(total_demand + pu_location_id % 2)::VARCHAR FROM zone_mart
+          UNION ALL SELECT 'only_in_source', max(total_demand)::VARCHAR, NULL FROM zone_mart
+          UNION ALL SELECT 'only_in_target', NULL, max(active_hours)::VARCHAR FROM zone_mart)
+    """,
+)
+def _(spark, sf_dir):
+    mart = shapes.zone_mart(spark, sf_dir)
+
+    def long(**aggregates):
+        wide = mart.agg(*[a.alias(n) for n, a in aggregates.items()])
+        return profile.unpivot_row(
+            wide,
+            [
+                {"check_name": F.lit(n), "check_value": F.col(n).cast("string")}
+                for n in aggregates
+            ],
+        )
+
+    source = long(
+        row_count=F.count("*"),
+        total_demand=F.sum("total_demand"),
+        only_in_source=F.max("total_demand"),
+    )
+    target = long(
+        row_count=F.count("*"),
+        total_demand=F.sum(F.col("total_demand") + F.col("pu_location_id") % 2),
+        only_in_target=F.max("active_hours"),
+    )
+    return quality.reconcile(source, target)
+
+
+# --- Geometry ---------------------------------------------------------------------------
+
+_HAVERSINE = """2 * 3958.7613 * asin(sqrt(
+      pow(sin(radians(d.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude))
+      * cos(radians(d.latitude)) * pow(sin(radians(d.longitude - p.longitude) / 2), 2)))"""
+
+
+def _pairs(spark, sf_dir):
+    trips = shapes.typed_trips(spark, sf_dir)
+    return trips.groupBy("pu_location_id", "do_location_id").agg(F.count("*").alias("trips"))
+
+
+@query(
+    "route_estimates",
+    f"""
+    SELECT pu_location_id, do_location_id, trips, p.zone AS pickup_zone_name,
+      d.zone AS dropoff_zone_name, round({_HAVERSINE}, 3) AS trip_distance,
+      'haversine_zone_centroid' AS distance_method,
+      pu_location_id = do_location_id AS same_zone,
+      coalesce(pu_location_id <> do_location_id AND {_HAVERSINE} > 0, false) AS can_predict,
+      CASE WHEN p.location_id IS NULL THEN 'unknown pickup zone'
+        WHEN d.location_id IS NULL THEN 'unknown dropoff zone'
+        WHEN p.latitude IS NULL OR d.latitude IS NULL THEN 'missing centroid coordinates' END
+        AS route_error
+    FROM (SELECT pu_location_id, do_location_id, count(*) AS trips FROM trips GROUP BY 1, 2)
+    LEFT JOIN zones p ON pu_location_id = p.location_id
+    LEFT JOIN zones d ON do_location_id = d.location_id
+    """,
+)
+def _(spark, sf_dir):
+    zones = shapes.zone_table(spark, sf_dir)
+    return geo.route_estimates(_pairs(spark, sf_dir), zones, proven_rows=shapes.ZONES)
+
+
+@query(
+    "polygon_centroids",
+    """
+    SELECT polygon_id, mx / (3 * c) AS centroid_x, my / (3 * c) AS centroid_y, true AS has_area
+    FROM (
+      SELECT polygon_id, sum(cr) AS c, sum(mx) AS mx, sum(my) AS my FROM (
+        SELECT a.polygon_id, a.ring_id, sum(a.x * b.y - b.x * a.y) AS cr,
+          sum((a.x + b.x) * (a.x * b.y - b.x * a.y)) AS mx,
+          sum((a.y + b.y) * (a.x * b.y - b.x * a.y)) AS my
+        FROM vertices a JOIN vertices b ON a.polygon_id = b.polygon_id
+          AND a.ring_id = b.ring_id AND b.seq = (a.seq + 1) % 4
+        GROUP BY 1, 2 HAVING count(*) >= 3 AND abs(sum(a.x * b.y - b.x * a.y)) >= 1e-12)
+      GROUP BY 1)
+    """.replace(
+        "vertices",
+        "(SELECT c_custkey // 8 AS polygon_id, c_custkey // 4 % 2 AS ring_id, "
+        "c_custkey % 4 AS seq, "
+        "(c_custkey // 8 % 100 + CASE WHEN c_custkey % 4 IN (0, 3) THEN 0 "
+        "ELSE 8 - c_custkey // 4 % 2 * 4 END)::DOUBLE AS x, "
+        "(c_custkey // 8 % 50 + CASE WHEN c_custkey % 4 IN (0, 1) THEN 0 "
+        "ELSE 8 - c_custkey // 4 % 2 * 4 END)::DOUBLE AS y FROM customer)",
+    ),
+)
+def _(spark, sf_dir):
+    """Customers as corners: per eight keys one polygon of two rectangles."""
+    key = F.col("c_custkey")
+    corner, ring = key % 4, F.floor(key / 4) % 2
+    polygon = F.floor(key / 8)
+    side = 8 - ring * 4
+    vertices = shapes.table(spark, sf_dir, "customer").select(
+        polygon.alias("polygon_id"),
+        ring.alias("ring_id"),
+        corner.alias("seq"),
+        (polygon % 100 + F.when(corner.isin(0, 3), 0).otherwise(side)).cast("double").alias("x"),
+        (polygon % 50 + F.when(corner.isin(0, 1), 0).otherwise(side)).cast("double").alias("y"),
+    )
+    return geo.polygon_centroids(vertices)
