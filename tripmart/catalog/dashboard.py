@@ -409,8 +409,12 @@ def _(spark, sf_dir):
     "weather_corr",
     """
     SELECT pu_location_id, count(*) AS hours,
-      round(corr(demand, temperature_f::DOUBLE), 6) AS corr_temperature,
-      round(corr(demand, precipitation_mm::DOUBLE), 6) AS corr_precipitation
+      round(covar_pop(demand, temperature_f::DOUBLE) / nullif(
+        stddev_pop(demand) FILTER (temperature_f IS NOT NULL) * stddev_pop(temperature_f), 0), 6)
+        AS corr_temperature,
+      round(covar_pop(demand, precipitation_mm::DOUBLE) / nullif(
+        stddev_pop(demand) FILTER (precipitation_mm IS NOT NULL) * stddev_pop(precipitation_mm),
+        0), 6) AS corr_precipitation
     FROM district_demand GROUP BY 1
     """,
 )

@@ -568,6 +568,6 @@ scored AS (
       WHEN 230 THEN 'Times Sq/Theatre District' WHEN 234 THEN 'Union Square'
       WHEN 236 THEN 'Upper East Side N' WHEN 237 THEN 'Upper East Side S'
       ELSE 'Zone ' || pu_location_id END AS zone_name
-  FROM (SELECT *, round_even(greatest(demand + ("hour" - 12) * 0.25::DOUBLE, 0.0), 1)::DOUBLE AS p
+  FROM (SELECT *, round_even(greatest(demand + ("hour" - 12) * 0.25::DOUBLE, 0.0) * 10, 0) / 10 AS p
         FROM demand) d)
 """

@@ -29,6 +29,12 @@ def decimal_avg(money: Column) -> Column:
     return F.try_divide(F.sum(money).cast("double"), F.count(money).cast("double"))
 
 
+def round_even(value: Column, digits: int) -> Column:
+    """Scale, round half to even, scale back: the rounding of array libraries."""
+    scale = F.lit(float(10**digits))
+    return F.rint(value * scale) / scale
+
+
 def percent_change(current: Column, previous: Column) -> Column:
     return F.try_divide((current - previous).cast("double"), previous.cast("double")) * 100
 

@@ -15,6 +15,7 @@ from ..functions import (
     is_rush_hour,
     is_weekend,
     percent_change,
+    round_even,
     safe_ratio,
     zone_display_name,
     zone_type,
@@ -211,7 +212,7 @@ def filter_predictions(
 
 def score_demand(predictions: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Clip and round raw predictions, add errors and the zone label."""
-    value = F.bround(F.greatest(F.col(prediction), F.lit(0.0)), 1)
+    value = round_even(F.greatest(F.col(prediction), F.lit(0.0)), 1)
     demand = F.col("demand")
     return (
         predictions.withColumn("predicted_demand", value)
@@ -300,10 +301,11 @@ def _settle(df: DataFrame, fare: Column, tip_pct: Column) -> DataFrame:
         df.withColumns({"predicted_fare": fare, "predicted_tip_percent": tip_pct})
         .withColumn(
             "predicted_tip_amount",
-            F.round(F.col("predicted_fare") * F.col("predicted_tip_percent") / 100.0, 2),
+            round_even(F.col("predicted_fare") * (F.col("predicted_tip_percent") / 100.0), 2),
         )
         .withColumn(
-            "total_amount", F.round(F.col("predicted_fare") + F.col("predicted_tip_amount"), 2)
+            "total_amount",
+            round_even(F.col("predicted_fare") + F.col("predicted_tip_amount"), 2),
         )
     )
 
@@ -313,9 +315,8 @@ def fallback_fare() -> Column:
     surcharge = F.when(
         F.col("hour").between(low, high), K.FALLBACK_EVENING_SURCHARGE
     ).otherwise(0.0)
-    return F.round(
-        K.FALLBACK_BASE_FARE + F.col("trip_distance") * K.FALLBACK_PER_MILE + surcharge, 2
-    )
+    metered = K.FALLBACK_BASE_FARE + F.col("trip_distance") * K.FALLBACK_PER_MILE
+    return round_even(metered + surcharge, 2)
 
 
 def fallback_tip_percent() -> Column:
@@ -344,7 +345,7 @@ def score_fare_tip(
             return rows, fallback
         scored = model.transform(rows).withColumnRenamed("prediction", column)
         helpers = [c for c in scored.columns if c not in rows.columns and c != column]
-        return scored.drop(*helpers), F.round(F.greatest(F.col(column), F.lit(0.0)), 2)
+        return scored.drop(*helpers), round_even(F.greatest(F.col(column), F.lit(0.0)), 2)
 
     # Models must not see rejected rows: their vectors may hold nulls.
     rejected = rows.filter(~F.col("valid"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from typing import NamedTuple
 
@@ -182,14 +183,16 @@ def _arrival_order(df: DataFrame) -> list[Column]:
     return [F.col(c).asc() for c in arrival] + [F.xxhash64(*rest).asc()]
 
 
-def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
-    """First-arrived row per key; null key parts compare equal.
+def keep_first(
+    df: DataFrame, keys: list[str], order: Sequence[Column | str] | None = None
+) -> DataFrame:
+    """First row per key, by arrival unless ``order`` says otherwise; null keys are equal.
 
     ``row_number() = 1`` is planned with a per-partition group limit below the
     exchange, so each map task sends at most one row per key.  A key repeated in
     a third of all rows therefore shuffles no more than one row per input task.
     """
-    ranked = Window.partitionBy(*keys).orderBy(*_arrival_order(df))
+    ranked = Window.partitionBy(*keys).orderBy(*(order or _arrival_order(df)))
     return (
         df.withColumn("_copy", F.row_number().over(ranked)).filter("_copy = 1").drop("_copy")
     )

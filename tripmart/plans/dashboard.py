@@ -528,12 +528,20 @@ def spikes(demand: DataFrame, threshold: float = 3.0) -> DataFrame:
     )
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation; null when one side does not vary (``corr`` would raise)."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def weather_corr(demand: DataFrame) -> DataFrame:
     """Correlation of demand with temperature and rain, per zone."""
     return demand.groupBy("pu_location_id").agg(
         F.count("*").alias("hours"),
-        F.corr("demand", F.col("temperature_f").cast("double")).alias("corr_temperature"),
-        F.corr("demand", F.col("precipitation_mm").cast("double")).alias("corr_precipitation"),
+        _correlation("demand", "temperature_f").alias("corr_temperature"),
+        _correlation("demand", "precipitation_mm").alias("corr_precipitation"),
     )
 
 
