@@ -108,6 +108,18 @@ def _json_schema(fields: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])
 
 
+def _parse_once(events: DataFrame, schema: T.StructType) -> DataFrame:
+    """Payload as struct column ``record``, parsed exactly once per event.
+
+    Filters on derived columns would otherwise be pushed into the projection and
+    each predicate would parse the JSON text again.  A generator over one element
+    is a fence that predicates on its output do not cross, while predicates on
+    envelope columns still pass below it to the scan.
+    """
+    record = F.from_json("json_data", schema)
+    return events.select("*", F.explode(F.array(record)).alias("record")).drop("json_data")
+
+
 def parse_trips(bronze: DataFrame, kind: str = "auto") -> DataFrame:
     """Typed trip columns from the JSON payload.
 
@@ -141,7 +153,7 @@ def parse_trips(bronze: DataFrame, kind: str = "auto") -> DataFrame:
         )
         for f in TRIP_FIELDS
     ]
-    parsed = events.withColumn("record", F.from_json("json_data", _json_schema(json_fields)))
+    parsed = _parse_once(events, _json_schema(json_fields))
     return parsed.select(
         *_envelope_columns(), taxi_type.alias("taxi_type"), *raw_times, *columns
     )
@@ -149,7 +161,7 @@ def parse_trips(bronze: DataFrame, kind: str = "auto") -> DataFrame:
 
 def parse_weather(bronze: DataFrame) -> DataFrame:
     schema = _json_schema({f.source: f.json_type for f in WEATHER_FIELDS})
-    parsed = ensure_envelope(bronze).withColumn("record", F.from_json("json_data", schema))
+    parsed = _parse_once(ensure_envelope(bronze), schema)
     return parsed.select(
         *_envelope_columns(),
         *[F.col("record")[f.source].alias(f.name) for f in WEATHER_FIELDS],
@@ -245,9 +257,8 @@ def normalize_trips(
     union = parsed[0]
     for other in parsed[1:]:
         union = union.unionByName(other, allowMissingColumns=True)
-    trips = type_trips(union).dropna(
-        subset=["pickup_datetime", "pickup_hour", "taxi_type", "pu_location_id"]
-    )
+    # The hour is known whenever the pickup time is.
+    trips = type_trips(union).dropna(subset=["pickup_datetime", "taxi_type", "pu_location_id"])
     trips = ordered_times(in_window(trips, "pickup_date", start, end))
     return dedup_business(dedup_transport(trips)) if dedup else trips
 
