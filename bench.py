@@ -1,7 +1,7 @@
 """Headline queries, timed.  Prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8) and
-BENCH_RUNS (default 3, the best of which counts) configure the run.  Every query
+BENCH_RUNS (default 2, the best of which counts) configure the run.  Every query
 is executed in full; results are discarded by the noop sink.
 """
 
@@ -12,11 +12,10 @@ import os
 import sys
 import time
 
-from pyspark.sql import SparkSession
-
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tripmart import catalog  # noqa: E402
+from tripmart.session import build_session  # noqa: E402
 
 HEADLINE = [
     "zone_demand_from_json",
@@ -52,17 +51,17 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     only = sys.argv[1:] or HEADLINE
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("tripmart-bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
-        .config("spark.sql.session.timeZone", "America/New_York")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .getOrCreate()
+    spark = build_session(
+        "tripmart-bench",
+        **{
+            "spark.master": f"local[{cpus}]",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+            "spark.sql.shuffle.partitions": cpus,
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     built = catalog.queries()

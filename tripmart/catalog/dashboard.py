@@ -162,7 +162,7 @@ _PAGE = """
 
 
 def _page(spark, sf_dir):
-    return q.hourly_demand(shapes.hourly_mart(spark, sf_dir), limit=200, offset=100)
+    return q.hourly_demand(shapes.stored(shapes.hourly_mart(spark, sf_dir)), limit=200, offset=100)
 
 
 @query("hourly_page", _PAGE)
@@ -225,7 +225,7 @@ _ZONES = """
 
 @query("zone_summary_share", f"{_ZONES} ORDER BY total_demand DESC, pu_location_id LIMIT 25")
 def _(spark, sf_dir):
-    top = q.zone_summary(shapes.zone_mart(spark, sf_dir), limit=25)
+    top = q.zone_summary(shapes.stored(shapes.zone_mart(spark, sf_dir)), limit=25)
     return rounded(top, "avg_temperature_f", "avg_precipitation_mm")
 
 
@@ -240,7 +240,7 @@ _TREND = """
 
 @query("zone_trend", _TREND)
 def _(spark, sf_dir):
-    return q.zone_trend(shapes.zone_mart(spark, sf_dir), limit=5)
+    return q.zone_trend(shapes.stored(shapes.zone_mart(spark, sf_dir)), limit=5)
 
 
 @query(
@@ -312,7 +312,7 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    rows = q.payment_detail(shapes.payment_mart(spark, sf_dir))
+    rows = q.payment_detail(shapes.stored(shapes.payment_mart(spark, sf_dir)))
     return rounded(rows, "tip_per_fare").select(
         "pickup_year_month", "payment_type", "trip_count", "payment_label", "trip_share",
         "tip_per_fare",
@@ -401,7 +401,7 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    found = q.spikes(shapes.district_demand(spark, sf_dir), 2.5)
+    found = q.spikes(shapes.stored(shapes.district_demand(spark, sf_dir)), 2.5)
     return rounded(found, "zone_std", "z_score")
 
 

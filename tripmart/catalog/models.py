@@ -314,7 +314,7 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    train, test = ml.time_split(shapes.demand(spark, sf_dir), 0.2)
+    train, test = ml.time_split(shapes.stored(shapes.demand(spark, sf_dir)), 0.2)
     sides = train.select(F.lit("train").alias("side"), "pickup_hour").unionByName(
         test.select(F.lit("test").alias("side"), "pickup_hour")
     )
@@ -345,7 +345,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     folds = None
-    for i, (train, test) in enumerate(ml.time_series_folds(shapes.demand(spark, sf_dir))):
+    demand = shapes.stored(shapes.demand(spark, sf_dir))
+    for i, (train, test) in enumerate(ml.time_series_folds(demand)):
         sides = train.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionAll(
             test.select(F.lit(0).alias("a"), F.lit(1).alias("b"))
         )
@@ -367,7 +368,7 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    demand = shapes.demand(spark, sf_dir).select("pu_location_id", "pickup_hour")
+    demand = shapes.stored(shapes.demand(spark, sf_dir)).select("pu_location_id", "pickup_hour")
     return ordering.with_row_index(demand, "pickup_hour", ["pu_location_id"])
 
 
@@ -402,7 +403,7 @@ def _(spark, sf_dir):
         .groupBy(name.alias("feature"))
         .agg(F.sum("demand").cast("double").alias("gain"))
     )
-    return rounded(ml.importance_shares(gains, 10), "share_pct", "coverage_pct")
+    return rounded(ml.importance_shares(shapes.stored(gains), 10), "share_pct", "coverage_pct")
 
 
 # --- Training (no SQL twin) --------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import core as core_ops
 from ..operators import gold, marts, silver
+from ..session import materialize
 from ..sources.envelopes import JSON_OPTIONS
 
 ZONES = 263
@@ -311,6 +312,11 @@ def payment_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamped(marts.payment_tip_summary(fare_tip(spark, sf_dir)))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A small table written once, for queries that read it more than once."""
+    return materialize(df, "table")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demand with features and a stand-in prediction, scored."""
     from ..functions import is_airport, is_core_zone, is_holiday, is_weekend

@@ -80,7 +80,7 @@ _ZONE_MONTHS = """(
     """,
 )
 def _(spark, sf_dir):
-    return q.zone_summary(_zone_months(spark, sf_dir), limit=25).drop(
+    return q.zone_summary(shapes.stored(_zone_months(spark, sf_dir)), limit=25).drop(
         "pickup_latitude", "pickup_longitude", "avg_temperature_f", "avg_precipitation_mm",
         "avg_hourly_demand", "demand_intensity",
     )
@@ -97,7 +97,7 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    return q.zone_trend(_zone_months(spark, sf_dir), limit=5)
+    return q.zone_trend(shapes.stored(_zone_months(spark, sf_dir)), limit=5)
 
 
 @query(

@@ -29,7 +29,11 @@ def build_session(app_name: str = "tripmart", **conf: str) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.ansi.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        # The JVM never JIT-compiles a method above 8000 bytecodes; a wide stage
+        # fused into a larger one runs interpreted, several times slower.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Call-site capture costs several driver round trips per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
