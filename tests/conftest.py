@@ -20,7 +20,8 @@ def spark(tmp_path_factory):
         "tripmart-tests",
         **{
             "spark.master": "local[*]",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
