@@ -36,14 +36,14 @@ def trips_to_envelope(
     and drop-off zone attributes are added.  On a stream the checkpoint of the
     query remembers which files were sent.
     """
-    name = _source_file() if source_file is None else source_file
+    file_name = _source_file() if source_file is None else source_file
     lowered = F.lower(F.col("_source_file"))
     kind = F.when(lowered.contains("yellow"), "yellow").when(lowered.contains("green"), "green")
     topic = F.when(F.col("_taxi_type") == "yellow", K.YELLOW_TOPIC).when(
         F.col("_taxi_type") == "green", K.GREEN_TOPIC
     )
     payload = trips.columns
-    events = trips.withColumn("_source_file", name).withColumn("_taxi_type", kind)
+    events = trips.withColumn("_source_file", file_name).withColumn("_taxi_type", kind)
     # A file whose name tells no type has no topic to go to.
     events = events.withColumn(
         "_taxi_type",
@@ -55,9 +55,9 @@ def trips_to_envelope(
         ),
     )
     if zones is not None:
-        prefixed = [c for c in ("tpep", "lpep") if f"{c}_pickup_datetime" in payload]
         for end in ("pickup", "dropoff"):
-            stamps = [F.col(f"{c}_{end}_datetime") for c in prefixed]
+            named = [f"{prefix}_{end}_datetime" for prefix in ("tpep", "lpep")]
+            stamps = [F.col(name) for name in named if name in payload]
             if stamps and f"{end}_datetime" not in payload:
                 events = events.withColumn(f"{end}_datetime", F.coalesce(*stamps))
         events = join_zones(
