@@ -181,6 +181,35 @@ def test_rule_prices_and_rejections(spark):
     assert bad.reject_reason == "passenger_count out of range"
 
 
+def test_models_price_requests(spark):
+    rows = spark.range(300).select(
+        (F.col("id") % 30 + 1).cast("float").alias("trip_distance"),
+        F.lit(132).cast("smallint").alias("pu_location_id"),
+        F.lit(161).cast("smallint").alias("do_location_id"),
+        F.lit(1).cast("smallint").alias("passenger_count"),
+        F.lit(1).cast("tinyint").alias("ratecode_id"),
+        F.lit(1).cast("tinyint").alias("payment_type"),
+        (F.col("id") % 24).cast("tinyint").alias("hour"),
+        (F.col("id") % 7 + 1).cast("tinyint").alias("day_of_week"),
+        F.lit(1).cast("tinyint").alias("month"),
+        F.lit(40.0).cast("float").alias("temperature_f"),
+        F.lit(0.0).cast("float").alias("precipitation_mm"),
+        ((F.col("id") % 30 + 1) * 3).cast("decimal(12,2)").alias("fare_amount"),
+        F.lit(18.0).cast("float").alias("tip_percent"),
+    )
+    quick = {"max_iter": 3, "max_depth": 3}
+    fares = features.fare_features(rows)
+    fare_model, _ = ml.train_fare(fares, spec=ml.FARE_MODEL._replace(**quick))
+    tip_model, scores = ml.train_tip(fares, spec=ml.TIP_MODEL._replace(**quick))
+    assert scores.first().n_features == 14
+    priced = forecast.score_fare_tip(
+        requests(spark, (132, 161), (132, 132)), zones(spark),
+        fare_model=fare_model, tip_model=tip_model).collect()
+    ok, rejected = sorted(priced, key=lambda r: not r.valid)
+    assert ok.model_used and ok.predicted_tip_percent == pytest.approx(18.0, abs=0.5)
+    assert 0 < ok.predicted_fare <= 90 and rejected.reject_reason == "same zone"
+
+
 def test_importance_shares(spark):
     gains = spark.createDataFrame([("a", 6.0), ("b", 3.0), ("c", 1.0)], "feature string, gain double")
     rows = ml.importance_shares(gains, 2).orderBy("rank").collect()

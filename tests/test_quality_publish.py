@@ -213,6 +213,32 @@ def test_several_tables_switch_in_one_append(spark, mart, tmp_path):
     assert len(store.run_log().inputFiles()) == 1
 
 
+@pytest.mark.parametrize("kind", ["demand", "fare_tip", "mart"])
+def test_pushed_down_metrics_equal_ours(spark, core, tmp_path, kind):
+    """The SQL a database would run, checked in DuckDB on the same stored rows."""
+    import duckdb
+
+    stamp = F.lit(datetime(2025, 1, 1)).cast("timestamp_ntz")
+    table = {
+        "demand": lambda: gold.demand_features(core).withColumns(
+            {"gold_processed_timestamp": stamp, "pickup_hour": F.col("pickup_hour").cast("timestamp_ntz")}),
+        "fare_tip": lambda: gold.fare_tip_features(core).withColumn("gold_processed_timestamp", stamp),
+        "mart": lambda: core.select(
+            F.col("do_location_id").cast("int").alias("total_demand"),
+            stamp.alias("source_gold_processed_timestamp"),
+            stamp.alias("dashboard_processed_timestamp")),
+    }[kind]()
+    path = str(tmp_path / kind)
+    table.write.parquet(path)
+    sql = publish.metrics_query(f"'{path}/*.parquet'", kind)
+    row = duckdb.connect().execute(sql)
+    names = [d[0] for d in row.description]
+    theirs = dict(zip(names, [str(v) for v in row.fetchall()[0]], strict=True))
+    ours = {r.check_name: r.check_value
+            for r in publish.metrics(spark.read.parquet(path), kind).collect()}
+    assert ours == theirs
+
+
 # --- Geometry -----------------------------------------------------------------
 
 

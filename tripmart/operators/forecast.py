@@ -21,6 +21,7 @@ from ..functions import (
     zone_type,
 )
 from .geo import route_estimates
+from .joins import sized
 
 # --- Evaluation ----------------------------------------------------------
 
@@ -136,8 +137,7 @@ def sample_top_zones(scored: DataFrame, zones: int = 8, n: int = 40) -> DataFram
         .limit(zones)
         .select("pu_location_id")
     )
-    # At most ``zones`` rows, so the broadcast has a fixed size.
-    kept = scored.join(F.broadcast(top), "pu_location_id", "left_semi")
+    kept = scored.join(sized(top, zones), "pu_location_id", "left_semi")
     return kept.orderBy("pickup_hour", "pu_location_id").limit(n)
 
 

@@ -16,6 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import read_jdbc
+from ..sources.writers import write_jdbc
 from .profile import unpivot_row
 from .quality import QualityError, reconcile
 
@@ -85,6 +87,90 @@ def metrics(df: DataFrame, kind: str, measure: str = "total_demand") -> DataFram
     )
 
 
+_SQL_AGGREGATES = {
+    "demand": {
+        "row_count": "COUNT(*)",
+        "total_demand": "SUM(demand)",
+        "pickup_year_month_count": "COUNT(DISTINCT pickup_year_month)",
+        "min_pickup_hour": "MIN(pickup_hour)",
+        "max_pickup_hour": "MAX(pickup_hour)",
+        "min_gold_processed_timestamp": "MIN(gold_processed_timestamp)",
+        "max_gold_processed_timestamp": "MAX(gold_processed_timestamp)",
+    },
+    "fare_tip": {
+        "row_count": "COUNT(*)",
+        "total_fare_amount": "CAST(SUM(fare_amount) AS NUMERIC(38, 2))",
+        "total_tip_amount": "CAST(SUM(tip_amount) AS NUMERIC(38, 2))",
+        "credit_card_payment_rows": "SUM(CASE WHEN payment_type = 1 THEN 1 ELSE 0 END)",
+        "pickup_year_month_count": "COUNT(DISTINCT pickup_year_month)",
+        "min_gold_processed_timestamp": "MIN(gold_processed_timestamp)",
+        "max_gold_processed_timestamp": "MAX(gold_processed_timestamp)",
+    },
+    "mart": {
+        "row_count": "COUNT(*)",
+        "total_{measure}": "SUM({measure})",
+        "min_source_gold_processed_timestamp": "MIN(source_gold_processed_timestamp)",
+        "max_source_gold_processed_timestamp": "MAX(source_gold_processed_timestamp)",
+        "min_dashboard_processed_timestamp": "MIN(dashboard_processed_timestamp)",
+        "max_dashboard_processed_timestamp": "MAX(dashboard_processed_timestamp)",
+    },
+}
+
+
+def metrics_query(table: str, kind: str, measure: str = "total_demand") -> str:
+    """The same metrics as one SQL aggregate, for a database to compute."""
+    columns = ", ".join(
+        f"{sql} AS {name}" for name, sql in _SQL_AGGREGATES[kind].items()
+    ).replace("{measure}", measure)
+    return f"SELECT {columns} FROM {table}"
+
+
+def jdbc_metrics(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    kind: str,
+    *,
+    measure: str = "total_demand",
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Publication metrics of a database table; only one row leaves the database."""
+    wide = read_jdbc(
+        spark, url, query=metrics_query(table, kind, measure), properties=properties
+    )
+    return unpivot_row(
+        wide,
+        [
+            {"check_name": F.lit(c.lower()), "check_value": F.col(c).cast("string")}
+            for c in wide.columns
+        ],
+    )
+
+
+def stage_jdbc(
+    source: DataFrame,
+    url: str,
+    table: str,
+    kind: str,
+    *,
+    measure: str = "total_demand",
+    writers: int = 4,
+    reuse: bool = False,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Load a database staging table and prove that it equals its stored source.
+
+    ``reuse`` skips the load after an interrupted run and only compares again.
+    """
+    if not reuse:
+        write_jdbc(source, url, table, writers=writers, properties=properties)
+    loaded = jdbc_metrics(
+        source.sparkSession, url, table, kind, measure=measure, properties=properties
+    )
+    compared = reconcile(metrics(source, kind, measure), loaded)
+    _raise_on_mismatch(compared, f"staging of {table}")
+
+
 # --- Run log ----------------------------------------------------------------
 
 

@@ -23,6 +23,7 @@ from ..functions import (
     trunc_hour,
     weighted_avg,
 )
+from ..operators.joins import sized
 
 MONTH = "pickup_year_month"
 
@@ -370,10 +371,9 @@ def zone_trend(
         .limit(limit)
         .select("pu_location_id", "pickup_zone")
     )
-    # The limit bounds the broadcast side.
     return (
         rows.drop("pickup_zone")
-        .join(F.broadcast(top), "pu_location_id")
+        .join(sized(top, limit), "pu_location_id")
         .groupBy(MONTH, "pickup_zone")
         .agg(F.sum("total_demand").cast("bigint").alias("total_demand"))
         .orderBy(MONTH, F.desc("total_demand"), "pickup_zone")
