@@ -54,7 +54,8 @@ def _table(columns, rows):
 
 def test_every_query_has_a_twin_or_a_reason():
     assert set(QUERIES) - set(TWINS) == NO_TWIN
-    assert set(driver.queries()) == set(QUERIES) and set(driver.oracle_sql()) == set(TWINS)
+    # The training-data operators come on top where they are installed.
+    assert set(driver.queries()) >= set(QUERIES) and set(driver.oracle_sql()) >= set(TWINS)
 
 
 @pytest.mark.parametrize("name", COMPARED)
