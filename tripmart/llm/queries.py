@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact, hilbert, linededup, mixing, mphindex
+from . import bpe, exact, hilbert, linededup, mixing, mphindex, superminhash
 from .common import table
 from .twins import TWINS
 
@@ -62,6 +62,10 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_groups(_texts(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.group_copies(_texts(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", exact.digest("text").alias("text_sha256")
@@ -91,6 +95,7 @@ QUERIES = {
         op3_line_dedup,
         op4_hilbert_shards,
         op5_poisson_mix,
+        op7_superminhash,
         op9_exact_dedup,
         op10_token_index,
     )
