@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact, hilbert, linededup, mixing, mphindex, superminhash
+from . import bpe, exact, hilbert, linededup, mixing, mphindex, rules, superminhash
 from .common import table
 from .twins import TWINS
 
@@ -62,6 +62,13 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return rules.judge(_texts(spark, sf_dir), labels).select(
+        "doc_id", *rules.COUNTS, "base_failed", "kept"
+    )
+
+
 def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_groups(_texts(spark, sf_dir))
 
@@ -95,6 +102,7 @@ QUERIES = {
         op3_line_dedup,
         op4_hilbert_shards,
         op5_poisson_mix,
+        op6_decision_list,
         op7_superminhash,
         op9_exact_dedup,
         op10_token_index,
