@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact, hilbert, linededup, mixing, mphindex, rules, superminhash
+from . import bpe, exact, hilbert, langid, linededup, mixing, mphindex, rules, superminhash
 from .common import table
 from .twins import TWINS
 
@@ -37,6 +37,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_texts(spark, sf_dir))
 
 
+def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _texts(spark, sf_dir, "lang").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    )
+    found = langid.identify(docs.drop("lang"), docs.filter("not held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(_texts(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_removed", "text"
@@ -99,6 +107,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe,
+        op2_string_kernel,
         op3_line_dedup,
         op4_hilbert_shards,
         op5_poisson_mix,
