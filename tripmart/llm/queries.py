@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact, hilbert, langid, linededup, mixing, mphindex, rules, superminhash
+from . import bpe, exact, hilbert, langid, linededup, mixing, mphindex, rules, superminhash, tagpaths
 from .common import table
 from .twins import TWINS
 
@@ -81,6 +81,12 @@ def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_groups(_texts(spark, sf_dir))
 
 
+def op8_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagpaths.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", "n_chars"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.group_copies(_texts(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", exact.digest("text").alias("text_sha256")
@@ -113,6 +119,7 @@ QUERIES = {
         op5_poisson_mix,
         op6_decision_list,
         op7_superminhash,
+        op8_tag_paths,
         op9_exact_dedup,
         op10_token_index,
     )
