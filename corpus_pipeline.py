@@ -1,4 +1,9 @@
-"""A corpus from raw documents to token ids, stage by stage."""
+"""A corpus from raw documents to token ids, stage by stage.
+
+Every stage reads all rows its predecessor kept; null or empty texts fail the first
+stage, rows that repeat a key count as the operators state, and columns beyond those
+of ``documents`` pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import exact, mixing, queries
+from tripmart.llm import exact, mixing, queries, rules, superminhash
 from tripmart.llm.common import table
 from tripmart.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the rules learned from ``labels``."""
+    return rules.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts equal but for the case of A-Z."""
     return exact.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by similar sets of five-word shingles."""
+    return superminhash.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out by their source's rate, in shuffled order."""
     return mixing.replicate(docs, copy=None, order=None)
@@ -29,7 +44,9 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
     ("bpe_encode", bpe_encode),
 ]
