@@ -71,15 +71,19 @@ def test_hash_is_minimal_and_perfect():
     assert (index(np.arange(50_000)) < len(keys)).all()
 
 
-def test_words_encode_like_whole_texts():
+def test_words_encode_like_whole_texts(monkeypatch):
     whole, words = Tokenizer.from_file(WORDS), mphindex.word_encoder(WORDS)
     whole.encode_special_tokens = True
     texts = [noise(i, 400) for i in range(300)]
     texts += ["it's <|endoftext|> O'NEIL'S we'll", "Å Å é e ́", ALPHABET, "a\x1cb\x85c d"]
     texts += [" ".join(chr(c) for c in range(s, s + 500) if not 0xD800 <= c < 0xE000) for s in range(0, 0x20000, 500)]
-    for text in texts:
-        want = whole.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(words.encode(text.encode()), "<u2").tolist() == want, repr(text[:80])
+    texts += ["ab, c.d! e'S! É, İ. Σς, \u0345. a1* '; -x- 中, ²)", "I\u0307, K\u0301! ", "z" * 500 + ", ok"]
+    monkeypatch.setattr(mphindex, "CACHE_WORDS", 1000)
+    for start in range(0, len(texts), 50):
+        group = texts[start : start + 50]
+        for text, got in zip(group, words.encode([t.encode() for t in group]), strict=True):
+            want = whole.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(got, "<u2").tolist() == want, repr(text[:80])
 
 
 def want_rows(rows):

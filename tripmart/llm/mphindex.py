@@ -21,6 +21,9 @@ one slot and the payload at that slot's offsets.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,8 +37,14 @@ MAX_PARTS = 1 << 16
 SHARD_IDS = 1 << 21
 # Bits per key and level; twice the keys leaves about 40 % of them to the next level.
 LOAD = 2
-CACHE_WORDS = 1 << 17
+# Words kept per Python worker and generation, the longest one kept, and bytes encoded at once.
+CACHE_WORDS = 1 << 18
 CACHE_BYTES = 64
+GROUP_BYTES = 1 << 20
+# Fixed value: signs that may follow a word; no apostrophe, which starts contractions.
+# A word of these letters is what the tokenizer's normalisation and splitting leave as it is.
+PLAIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+TAIL_SIGNS = b".,;:!?*#$%&|<>()\"-"
 
 SHARD_SCHEMA = (
     "part int, seq int, n_docs long, n_ids long, payload binary, keys binary, nulls long, "
@@ -92,30 +101,88 @@ class PerfectHash:
         return found
 
 
-class WordEncoder(dict):
-    """Packed ids by word, from the tokenizers library, with a bounded cache.
+class WordEncoder:
+    """Packed ids of texts from the tokenizers library, with a bounded cache of words.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are
-    those of its words.
+    The tokenizer drops white space and lower-cases, never joins across white space,
+    and splits where a letter or digit meets a sign.  So a text's ids are those of
+    its lower-case words, and a word's those of its stem and of the signs after it.
     """
 
     def __init__(self, path: str):
+        # Spark has a task per core; the library needs no threads of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        self.to_symbols = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Packed ids of each text; the words that are new to the cache are encoded together."""
+        found, missing = [], []
+        for text in texts:
+            words = text.lower().split()
+            ids = list(map(self.young.get, words))
+            missing += [(ids, i, words[i]) for i, x in enumerate(ids) if x is None]
+            found.append(ids)
+        if missing:
+            self._learn({word for _, _, word in missing})
+            for ids, i, word in missing:
+                ids[i] = self.young[word]
+            if len(self.young) > CACHE_WORDS:
+                kept = {w: x for w, x in self.young.items() if len(w) <= CACHE_BYTES}
+                self.young, self.old = {}, kept
+        return list(map(b"".join, found))
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, fresh, composed = self.young, set(), []
+
+        def want(word: bytes) -> None:
+            if word not in known:
+                seen = self.old.get(word)
+                if seen is None:
+                    fresh.add(word)
+                else:
+                    known[word] = seen
+
+        for word in words:
+            stem = word.rstrip(TAIL_SIGNS)
+            if stem and stem != word and _ends_in_letter(stem):
+                tail = word[len(stem) :]
+                want(stem)
+                want(tail)
+                composed.append((word, stem, tail))
+            else:
+                want(word)
+        merge, new = self.tokenizer.model.tokenize, []
+        for word in fresh:
+            text = word.decode()
+            if not PLAIN_WORD.fullmatch(text):
+                new.append(word)
+                continue
+            tokens = merge(text if text.isascii() else self.to_symbols(text)[0][0])
+            known[word] = struct.pack(f"<{len(tokens)}H", *[t.id for t in tokens])
+        coded = self.tokenizer.encode_batch_fast(
+            [w.decode() for w in new], add_special_tokens=False
+        )
+        for word, encoding in zip(new, coded, strict=True):
+            ids = encoding.ids
+            known[word] = struct.pack(f"<{len(ids)}H", *ids)
+        for word, stem, tail in composed:
+            known[word] = known[stem] + known[tail]
+
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, "<u2").tobytes()
-        if len(word) <= CACHE_BYTES:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = packed
-        return packed
+def _ends_in_letter(stem: bytes) -> bool:
+    """Whether the last character is a digit or a letter of Latin script, known to any engine.
 
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+    Not the dotted capital I: its lower case ends in a combining mark, which is a sign.
+    """
+    last = stem[-2:].decode(errors="ignore")[-1:]
+    return last.isalnum() and last < "\u0250" and last != "\u0130"
 
 
 @lru_cache(maxsize=1)
@@ -200,10 +267,14 @@ def write_index(
         for batch in batches:
             keys = batch.column(0)
             part = np.searchsorted(edges, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), "right")
-            ids = [
-                run(bytes(t.as_buffer())) + end if t.is_valid else end
-                for t in batch.column(1).cast(pa.binary())
-            ]
+            ids, group, held = [], [], 0
+            for value in batch.column(1).cast(pa.binary()):
+                group.append(value.as_py() or b"")
+                held += len(group[-1])
+                if held >= GROUP_BYTES:
+                    ids += run(group)
+                    group, held = [], 0
+            ids = [x + end for x in (*ids, *run(group))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part.astype(np.int32)), keys, pa.array(ids, pa.binary())],
                 names=["part", "key", "ids"],
