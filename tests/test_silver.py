@@ -184,7 +184,7 @@ def test_weather_join_keeps_every_trip_once(spark, plan_of):
     )
     hours = silver.window_hours("2023-01-01", "2025-01-01")
     assert hours == 731 * 24 + 1
-    joined = silver.join_weather(trips, weather, proven_hours=hours)
+    joined = silver.join_weather(trips, weather, window=("2023-01-01", "2025-01-01"))
     got = {r.offset: r.temperature_f for r in joined.collect()}
     assert got == {1: 33.0, 2: None}
     assert "BroadcastHashJoin" in plan_of(joined)

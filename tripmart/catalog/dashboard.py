@@ -389,6 +389,19 @@ def _(spark, sf_dir):
     return q.moving_average(shapes.hourly_mart(spark, sf_dir), 7)
 
 
+@query(
+    "moving_average_30",
+    """
+    SELECT pickup_date, daily_demand, avg(daily_demand) OVER (
+        ORDER BY pickup_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS mean_30d
+    FROM (SELECT pickup_hour::DATE AS pickup_date, sum(total_demand)::BIGINT AS daily_demand
+          FROM hourly_mart GROUP BY 1)
+    """,
+)
+def _(spark, sf_dir):
+    return q.moving_average(shapes.hourly_mart(spark, sf_dir), 30)
+
+
 @query(
     "spikes",
     """

@@ -71,6 +71,40 @@ def _(spark, sf_dir):
     return shapes.payment_mart(spark, sf_dir)
 
 
+@query(
+    "payment_sketch_error",
+    """
+    SELECT pickup_year_month, payment_type, trip_count, true AS fare_within_bound,
+      true AS tip_within_bound
+    FROM payment_mart
+    """,
+)
+def _(spark, sf_dir):
+    """Rank error of the sketched medians: at most one in 10,000 rows of the group."""
+    rows = shapes.stored(shapes.fare_tip(spark, sf_dir))
+    keys = ["pickup_year_month", "payment_type"]
+    sketched = marts.payment_tip_summary(rows).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], "trip_count", "median_fare_amount",
+        "median_tip_percent",
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = rows.join(sketched, same)
+
+    def within(value: str, median: str):
+        middle = F.col("trip_count") / 2
+        slack = F.col("trip_count") / 10_000 + 1
+        below = F.count_if(F.col(value) < F.col(median))
+        upto = F.count_if(F.col(value) <= F.col(median))
+        return F.max((middle + slack)) >= below, F.max(middle - slack) <= upto
+
+    fare, tip = within("fare_amount", "median_fare_amount"), within("tip_percent", "median_tip_percent")
+    return joined.groupBy(*keys).agg(
+        F.max("trip_count").alias("trip_count"),
+        (fare[0] & fare[1]).alias("fare_within_bound"),
+        (tip[0] & tip[1]).alias("tip_within_bound"),
+    )
+
+
 @query("payment_tip_summary_exact", "SELECT * FROM payment_mart")
 def _(spark, sf_dir):
     mart = marts.payment_tip_summary(shapes.fare_tip(spark, sf_dir), exact_median=True)
@@ -130,7 +164,7 @@ def _(spark, sf_dir):
         silver.parse_weather(shapes.bronze_weather(spark, sf_dir))
     )
     joined = silver.join_weather(
-        trips, silver.hourly_weather(readings), proven_hours=shapes.HOURS
+        trips, silver.hourly_weather(readings), window=shapes.DAYS
     )
     return gold.demand_features(core_ops.build_core(joined)).select(
         "pu_location_id", "pickup_hour", "demand", "temperature_f"

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..operators import features, forecast, ml, ordering
 from ..plans import dashboard as q
 from . import shapes
 from .dashboard import rounded
+from .quality import HAVERSINE
 from .registry import query
 
 # --- Scoring and evaluation ---------------------------------------------------
@@ -216,7 +218,7 @@ def _requests(spark, sf_dir):
 _REQUESTS = """
     SELECT "offset" AS request_id, pu_location_id, do_location_id,
       ("offset" % 8)::INT AS passenger_count, hour(pickup_datetime) AS "hour",
-      dayofweek(pickup_datetime) + 1 AS day_of_week, 20 + "offset" % 30 AS temperature_f,
+      dayofweek(pickup_datetime) + 1 AS day_of_week, month(pickup_datetime) AS "month", 20 + "offset" % 30 AS temperature_f,
       CASE WHEN "offset" % 4 = 0 THEN 0.5 ELSE 0.0 END AS precipitation_mm,
       ("offset" % 4 + 1)::INT AS payment_type, trip_distance
     FROM trips
@@ -248,7 +250,10 @@ def _(spark, sf_dir):
 @query(
     "request_features",
     f"""
-    SELECT request_id, passenger_count::DOUBLE AS passenger_count,
+    SELECT request_id, trip_distance, pu_location_id, do_location_id,
+      passenger_count::DOUBLE AS passenger_count, (request_id % 5 + 1)::DOUBLE AS ratecode_id,
+      "hour", day_of_week, "month", temperature_f::DOUBLE AS temperature_f,
+      precipitation_mm::DOUBLE AS precipitation_mm,
       ("hour" IN (7, 8, 9, 17, 18, 19))::TINYINT AS is_rush_hour,
       (day_of_week IN (5, 6))::TINYINT AS is_weekend,
       (precipitation_mm > 0)::TINYINT AS is_raining, (temperature_f < 36)::TINYINT AS is_cold
@@ -256,8 +261,9 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
+    """The full row in the models' column order."""
     return forecast.request_features(_requests(spark, sf_dir)).select(
-        "request_id", "passenger_count", "is_rush_hour", "is_weekend", "is_raining", "is_cold"
+        "request_id", *K.FARE_TIP_FEATURES
     )
 
 
@@ -283,21 +289,57 @@ def _(spark, sf_dir):
     )
 
 
-@query(
-    "score_fare_tip",
-    f"""
-    SELECT request_id, p.location_id IS NOT NULL AND d.location_id IS NOT NULL
-        AND p.latitude IS NOT NULL AND d.latitude IS NOT NULL
-        AND passenger_count BETWEEN 1 AND 6 AND pu_location_id <> do_location_id AS priced
-    FROM ({_REQUESTS}) LEFT JOIN zones p ON pu_location_id = p.location_id
-    LEFT JOIN zones d ON do_location_id = d.location_id
-    """,
-)
+_PRICED = f"""
+    SELECT request_id, valid AS priced, CASE WHEN valid THEN fare END AS predicted_fare,
+      CASE WHEN valid THEN pct END AS predicted_tip_percent,
+      CASE WHEN valid THEN tip END AS predicted_tip_amount,
+      CASE WHEN valid THEN round_even((fare + tip) * 100, 0) / 100 END AS total_amount
+    FROM (
+      SELECT *, round_even(fare * (pct / 100) * 100, 0) / 100 AS tip
+      FROM (
+        SELECT request_id, miles IS NOT NULL AND miles > 0 AND miles < 100
+            AND passenger_count BETWEEN 1 AND 6 AND pu_location_id <> do_location_id AS valid,
+          round_even((3.0::DOUBLE + miles * 2.5::DOUBLE
+            + CASE WHEN "hour" BETWEEN 16 AND 20 THEN 2.5 ELSE 0 END::DOUBLE) * 100, 0) / 100 AS fare,
+          CASE WHEN payment_type = 1 THEN 15 ELSE 0 END::DOUBLE AS pct
+        FROM (
+          SELECT r.*, round({HAVERSINE}, 3) AS miles FROM (SELECT * EXCLUDE (trip_distance) FROM ({_REQUESTS})) r
+          LEFT JOIN zones p ON pu_location_id = p.location_id
+          LEFT JOIN zones d ON do_location_id = d.location_id)))
+"""
+_PRICES = ["predicted_fare", "predicted_tip_percent", "predicted_tip_amount", "total_amount"]
+
+
+@query("score_fare_tip", _PRICED)
 def _(spark, sf_dir):
     requests = _requests(spark, sf_dir).drop("trip_distance")
     scored = forecast.score_fare_tip(requests, shapes.zone_table(spark, sf_dir))
-    priced = F.col("total_amount") >= F.col("predicted_fare")
-    return scored.select("request_id", F.coalesce(priced, F.lit(False)).alias("priced"))
+    return scored.select("request_id", F.col("total_amount").isNotNull().alias("priced"), *_PRICES)
+
+
+@query("score_fare_tip_models", f"SELECT request_id, priced, priced AS plausible FROM ({_PRICED})")
+def _(spark, sf_dir):
+    """Prices from trained models: for valid requests only, never negative, tips for cards only."""
+    rows = shapes.stored(_fare_rows(spark, sf_dir))
+    small = {"max_iter": 5, "max_depth": 4}
+    fare = ml.fit(rows, ml.FARE_MODEL._replace(**small))
+    tip = ml.fit(features.tip_features(rows), ml.TIP_MODEL._replace(**small))
+    requests = _requests(spark, sf_dir).drop("trip_distance")
+    scored = forecast.score_fare_tip(
+        requests, shapes.zone_table(spark, sf_dir), fare_model=fare, tip_model=tip
+    )
+    card = F.col("payment_type") == 1
+    plausible = (
+        F.col("model_used")
+        & (F.col("predicted_fare") >= 0)
+        & (card | (F.col("predicted_tip_amount") == 0))
+        & (F.abs(F.col("predicted_fare") + F.col("predicted_tip_amount") - F.col("total_amount")) < 0.011)
+    )
+    return scored.select(
+        "request_id",
+        F.col("total_amount").isNotNull().alias("priced"),
+        F.coalesce(plausible, F.lit(False)).alias("plausible"),
+    )
 
 
 # --- Splits ----------------------------------------------------------------------
@@ -409,15 +451,13 @@ def _(spark, sf_dir):
     return rounded(ml.importance_shares(shapes.stored(gains), 10), "share_pct", "coverage_pct")
 
 
-# --- Training (no SQL twin) --------------------------------------------------------
-
-_QUICK = {"max_iter": 5, "max_depth": 4}
+# --- Training (no SQL twin for the scores) -----------------------------------------
 
 
 @query("train_demand")
 def _(spark, sf_dir):
     rows = features.demand_features(shapes.district_demand(spark, sf_dir))
-    _, scores = ml.train_demand(rows, spec=ml.DEMAND_MODEL._replace(**_QUICK))
+    _, scores = ml.train_demand(rows)
     return scores
 
 
@@ -428,16 +468,39 @@ def _fare_rows(spark, sf_dir):
 
 @query("train_fare")
 def _(spark, sf_dir):
-    _, scores = ml.train_fare(_fare_rows(spark, sf_dir), spec=ml.FARE_MODEL._replace(**_QUICK))
+    _, scores = ml.train_fare(_fare_rows(spark, sf_dir))
     return scores
 
 
 @query("train_tip")
 def _(spark, sf_dir):
-    _, scores = ml.train_tip(_fare_rows(spark, sf_dir), spec=ml.TIP_MODEL._replace(**_QUICK))
+    _, scores = ml.train_tip(_fare_rows(spark, sf_dir))
     return scores
 
 
+@query(
+    "model_row_accounting",
+    """
+    SELECT part, count(*) AS rows_given, count(*) AS rows_scored
+    FROM (SELECT 'demand' AS part FROM demand UNION ALL SELECT 'no_weather' FROM demand
+          WHERE temperature_f IS NULL)
+    GROUP BY part
+    """,
+)
+def _(spark, sf_dir):
+    """Every zone-hour gets a prediction, those without weather included."""
+    rows = shapes.stored(
+        shapes.demand(spark, sf_dir).withColumn("hour_of_day", F.col("hour").cast("double"))
+    )
+    spec = ml.ModelSpec(
+        ["pu_location_id", "hour", "day_of_week", "temperature_f", "precipitation_mm"],
+        "demand", 512, max_depth=4, max_iter=5,
+    )
+    model = ml.fit(rows, spec)
+    parts = {"demand": rows, "no_weather": rows.filter("temperature_f IS NULL")}
+    return ml.row_accounting(model, parts).filter("rows_given > 0")
+
+
 @query(
     "period_delta",
     """

@@ -94,8 +94,7 @@ _DIST = ["trip_distance", "fare_amount", "total_amount", "temperature_f", "preci
     ),
 )
 def _(spark, sf_dir):
-    # Accuracy above the row count makes the sketch exact at this scale.
-    rows = profile.distribution(shapes.clean(spark, sf_dir), _DIST, accuracy=100_000)
+    rows = profile.distribution(shapes.stored(shapes.clean(spark, sf_dir)), _DIST, exact=True)
     return rows.withColumns(
         {c: F.round(c, 6) for c in ("avg_value", "stddev_value")}
     )
@@ -621,7 +620,7 @@ def _(spark, sf_dir):
 
 # --- Geometry ---------------------------------------------------------------------------
 
-_HAVERSINE = """2 * 3958.7613 * asin(sqrt(
+HAVERSINE = """2 * 3958.7613 * asin(sqrt(
       pow(sin(radians(d.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude))
       * cos(radians(d.latitude)) * pow(sin(radians(d.longitude - p.longitude) / 2), 2)))"""
 
@@ -635,10 +634,10 @@ def _pairs(spark, sf_dir):
     "route_estimates",
     f"""
     SELECT pu_location_id, do_location_id, trips, p.zone AS pickup_zone_name,
-      d.zone AS dropoff_zone_name, round({_HAVERSINE}, 3) AS trip_distance,
+      d.zone AS dropoff_zone_name, round({HAVERSINE}, 3) AS trip_distance,
       'haversine_zone_centroid' AS distance_method,
       pu_location_id = do_location_id AS same_zone,
-      coalesce(pu_location_id <> do_location_id AND {_HAVERSINE} > 0, false) AS can_predict,
+      coalesce(pu_location_id <> do_location_id AND {HAVERSINE} > 0, false) AS can_predict,
       CASE WHEN p.location_id IS NULL THEN 'unknown pickup zone'
         WHEN d.location_id IS NULL THEN 'unknown dropoff zone'
         WHEN p.latitude IS NULL OR d.latitude IS NULL THEN 'missing centroid coordinates' END

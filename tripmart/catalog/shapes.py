@@ -256,13 +256,13 @@ def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Layers over the typed shapes ---------------------------------------------
 
-# January to the end of the reference window; hours bound the weather broadcast.
-HOURS = silver.window_hours("2023-01-01", "2025-01-01")
+# The weather of these days takes part in joins, as many hours as they have.
+DAYS = ("2023-01-01", "2025-01-01")
 
 
 def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.join_weather(
-        typed_trips(spark, sf_dir), typed_weather(spark, sf_dir), proven_hours=HOURS
+        typed_trips(spark, sf_dir), typed_weather(spark, sf_dir), window=DAYS
     )
 
 
@@ -309,7 +309,7 @@ def zone_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stamped(marts.payment_tip_summary(fare_tip(spark, sf_dir)))
+    return _stamped(marts.payment_tip_summary(fare_tip(spark, sf_dir), exact_median=True))
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -524,7 +524,7 @@ fare_tip AS (
     AND pct <= 100),
 hourly_mart AS (
   SELECT pickup_hour, "hour", day_of_week, "month", pickup_year_month,
-    sum(demand)::INT AS total_demand, count(DISTINCT pu_location_id)::INT AS active_zones,
+    sum(demand)::BIGINT AS total_demand, count(DISTINCT pu_location_id)::INT AS active_zones,
     avg(demand) AS avg_demand_per_active_zone, max(demand)::INT AS max_zone_hour_demand,
     avg(temperature_f) AS avg_temperature_f, avg(precipitation_mm) AS avg_precipitation_mm,
     max(gold_processed_timestamp) AS source_gold_processed_timestamp,
@@ -536,7 +536,7 @@ zone_mart AS (
     max_hourly_demand, active_hours, first_pickup_hour, last_pickup_hour, avg_temperature_f,
     avg_precipitation_mm, source_gold_processed_timestamp,
     TIMESTAMP '{MART_STAMP}' AS dashboard_processed_timestamp
-  FROM (SELECT pickup_year_month, pu_location_id, sum(demand)::INT AS total_demand,
+  FROM (SELECT pickup_year_month, pu_location_id, sum(demand)::BIGINT AS total_demand,
           avg(demand) AS avg_hourly_demand, max(demand)::INT AS max_hourly_demand,
           count(*)::INT AS active_hours, min(pickup_hour) AS first_pickup_hour,
           max(pickup_hour) AS last_pickup_hour, avg(temperature_f) AS avg_temperature_f,
@@ -545,7 +545,7 @@ zone_mart AS (
         FROM demand GROUP BY 1, 2) d
   LEFT JOIN zones ON location_id = pu_location_id),
 payment_mart AS (
-  SELECT pickup_year_month, payment_type, count(*)::INT AS trip_count,
+  SELECT pickup_year_month, payment_type, count(*) AS trip_count,
     sum(fare_amount)::DOUBLE / count(*) AS avg_fare_amount,
     sum(tip_amount)::DOUBLE / count(*) AS avg_tip_amount, avg(tip_percent) AS avg_tip_percent,
     quantile_disc(tip_percent, 0.5) AS median_tip_percent,

@@ -324,7 +324,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     trips = _normalized(spark, sf_dir, True)
     weather = silver.hourly_weather(_readings(spark, sf_dir))
-    joined = silver.join_weather(trips, weather, proven_hours=shapes.HOURS)
+    joined = silver.join_weather(trips, weather, window=shapes.DAYS)
     return joined.select(
         "taxi_type", "offset", "pickup_datetime", "pu_location_id", "fare_amount",
         "temperature_f", "precipitation_mm",

@@ -145,7 +145,7 @@ def _(spark, sf_dir):
     weather = shapes.typed_weather(spark, sf_dir).select(
         "weather_hour", "temperature_f", "precipitation_mm"
     )
-    joined = live.stream_weather_join(trips, weather, proven_hours=shapes.HOURS)
+    joined = live.stream_weather_join(trips, weather, window=shapes.DAYS)
     return _drained(
         spark,
         joined.select("offset", "pickup_hour", "temperature_f", "precipitation_mm"),

@@ -347,14 +347,12 @@ def score_fare_tip(
         helpers = [c for c in scored.columns if c not in rows.columns and c != column]
         return scored.drop(*helpers), round_even(F.greatest(F.col(column), F.lit(0.0)), 2)
 
-    # Models must not see rejected rows: their vectors may hold nulls.
-    rejected = rows.filter(~F.col("valid"))
-    rows = rows.filter("valid")
     rows, fare = predicted(fare_model, "_fare", fallback_fare())
     rows, tip = predicted(tip_model, "_tip", fallback_tip_percent())
     card = F.col("payment_type") == K.CARD_PAYMENT
-    priced = _settle(rows, fare, F.when(card, tip).otherwise(0.0)).drop("_fare", "_tip")
-    priced = priced.withColumn(
-        "model_used", F.lit(fare_model is not None and tip_model is not None)
-    )
-    return priced.unionByName(rejected, allowMissingColumns=True)
+    # Models take rejected rows too, with missing values filled in; their answers are dropped.
+    valid = F.col("valid")
+    tip = F.when(F.coalesce(card, F.lit(False)), tip).otherwise(0.0)
+    priced = _settle(rows, F.when(valid, fare), F.when(valid, tip)).drop("_fare", "_tip")
+    both = F.lit(fare_model is not None and tip_model is not None)
+    return priced.withColumn("model_used", F.when(valid, both))

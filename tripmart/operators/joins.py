@@ -1,15 +1,17 @@
 """Fact-to-dimension joins.
 
-A dimension is broadcast only when its size is proven: either the caller knows
-a bound that follows from the data model (hours in a date window), or the
-optimizer measures it (``spark.sql.autoBroadcastJoinThreshold`` on file sizes,
-and AQE on real shuffle sizes).  Beyond that the join is an ordinary shuffle
-join, and AQE splits partitions that a hot key makes too large.
+A dimension is broadcast only when its size is proven: either it is cut to a
+bounded key range with one row per key right before the join (``of_hours``), its
+keys are limited by construction, or the optimizer measures it
+(``spark.sql.autoBroadcastJoinThreshold`` on file sizes, and AQE on real shuffle
+sizes).  Beyond that the join is an ordinary shuffle join, and AQE splits
+partitions that a hot key makes too large.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,21 @@ def sized(dim: DataFrame, proven_rows: int | None) -> DataFrame:
     return dim
 
 
+def of_hours(dim: DataFrame, column: str, start: str, end: str) -> DataFrame:
+    """``dim`` cut to hours of the days from ``start`` to ``end``, one row per hour.
+
+    That bounds its rows by the hours of the window, so it carries the broadcast
+    hint as long as these are few enough.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    hour = F.col(column)
+    inside = dim.filter(
+        F.to_date(hour).between(first, last) & (F.date_trunc("hour", hour) == hour)
+    ).dropDuplicates([column])
+    days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
+    return sized(inside, 24 * days)
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,

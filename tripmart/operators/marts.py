@@ -28,7 +28,7 @@ def hourly_kpi(demand: DataFrame, *, unique_key: bool = False) -> DataFrame:
     zones = F.count("pu_location_id") if unique_key else F.count_distinct("pu_location_id")
     return _stamped(
         demand.groupBy("pickup_hour", "hour", "day_of_week", "month", "pickup_year_month").agg(
-            F.sum("demand").cast("int").alias("total_demand"),
+            F.sum("demand").alias("total_demand"),
             zones.cast("int").alias("active_zones"),
             F.avg("demand").alias("avg_demand_per_active_zone"),
             F.max("demand").cast("int").alias("max_zone_hour_demand"),
@@ -58,7 +58,7 @@ def zone_summary(demand: DataFrame, zones: DataFrame) -> DataFrame:
     pickup_latitude and pickup_longitude (see ``pickup_zones``).
     """
     summary = demand.groupBy("pickup_year_month", "pu_location_id").agg(
-        F.sum("demand").cast("int").alias("total_demand"),
+        F.sum("demand").alias("total_demand"),
         F.avg("demand").alias("avg_hourly_demand"),
         F.max("demand").cast("int").alias("max_hourly_demand"),
         F.count("*").cast("int").alias("active_hours"),
@@ -87,7 +87,7 @@ def payment_tip_summary(fare_tip: DataFrame, *, exact_median: bool = False) -> D
     }
     sketches = [] if exact_median else [agg.alias(name) for name, agg in approx.items()]
     summary = fare_tip.groupBy(*keys).agg(
-        F.count("*").cast("int").alias("trip_count"),
+        F.count("*").alias("trip_count"),
         decimal_avg(F.col("fare_amount")).alias("avg_fare_amount"),
         decimal_avg(F.col("tip_amount")).alias("avg_tip_amount"),
         F.avg("tip_percent").alias("avg_tip_percent"),
@@ -137,9 +137,14 @@ def refresh_zone_names(
     A zone found in the lookup takes its values even when they are null; a zone
     not found keeps what it has.
     """
-    names = lookup.select(
-        F.col("location_id").cast(mart.schema[key].dataType).alias(key),
-        F.struct("borough", "zone").alias("_found"),
+    # Ids beyond the mart's type match nothing; of a repeated id one row counts.
+    names = (
+        lookup.select(
+            F.col("location_id").try_cast(mart.schema[key].dataType).alias(key),
+            F.struct("borough", "zone").alias("_found"),
+        )
+        .groupBy(key)
+        .agg(F.min("_found").alias("_found"))
     )
     found = F.col("_found").isNotNull()
     return (

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorIndexer
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -85,6 +85,9 @@ def random_split(
 # --- Training ----------------------------------------------------------------
 
 
+_FILLED = "_filled_"
+
+
 class ModelSpec(NamedTuple):
     features: Sequence[str]
     target: str
@@ -104,6 +107,8 @@ TIP_MODEL = ModelSpec(
     K.FARE_TIP_FEATURES, "tip_percent", 2, loss="absolute", max_depth=8, min_rows_per_node=15
 )
 CATEGORICAL = ["pu_location_id", "hour", "day_of_week"]
+# Stands for a missing value: below all features, so that one split sets these rows apart.
+MISSING = -1_000_000.0
 
 
 def fit(train: DataFrame, spec: ModelSpec, *, validation: str | None = None, seed: int = 42):
@@ -111,15 +116,22 @@ def fit(train: DataFrame, spec: ModelSpec, *, validation: str | None = None, see
 
     ``validation`` names a boolean column whose true rows decide early stopping.
     Training is distributed: every tree level is one pass of histogram
-    aggregation over the cached feature vectors.
+    aggregation over the cached feature vectors.  The first stage gives missing
+    features a value of their own, so no row is lost in training or scoring.
     """
     codes = [c for c in spec.features if c in CATEGORICAL and spec.categorical_limit > 2]
     numbers = [c for c in spec.features if c not in codes]
-    stages = []
-    inputs = list(numbers)
+    filled = ", ".join(
+        f"coalesce(nanvl(double(`{c}`), NULL), double({MISSING})) AS `{_FILLED}{c}`"
+        for c in spec.features
+    )
+    stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")]
+    inputs = [_FILLED + c for c in numbers]
     if codes:
         stages += [
-            VectorAssembler(inputCols=codes, outputCol="_codes", handleInvalid="skip"),
+            VectorAssembler(
+                inputCols=[_FILLED + c for c in codes], outputCol="_codes", handleInvalid="error"
+            ),
             VectorIndexer(
                 inputCol="_codes",
                 outputCol="_coded",
@@ -127,8 +139,8 @@ def fit(train: DataFrame, spec: ModelSpec, *, validation: str | None = None, see
                 handleInvalid="keep",
             ),
         ]
-        inputs = ["_coded", *numbers]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
+        inputs = ["_coded", *inputs]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     booster = GBTRegressor(
         featuresCol="features",
         labelCol="_label",
@@ -152,8 +164,10 @@ def n_trees(model: PipelineModel) -> int:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with a prediction for every row, whatever is missing in it."""
     scored = model.transform(df)
-    return scored.drop("_codes", "_coded", "features")
+    helpers = [c for c in scored.columns if c.startswith(_FILLED)]
+    return scored.drop("_codes", "_coded", "features", *helpers)
 
 
 def feature_names(spec: ModelSpec) -> list[str]:
@@ -196,11 +210,10 @@ def importance_shares(gains: DataFrame, top_n: int = 10) -> DataFrame:
 # --- Runs --------------------------------------------------------------------
 
 
-def _score(model: PipelineModel, df: DataFrame, target: str) -> DataFrame:
-    clipped = predict(model, df).withColumn(
-        "_predicted", F.greatest(F.col("prediction"), F.lit(0.0))
-    )
-    return forecast.metrics(clipped, target, "_predicted")
+def _score(model: PipelineModel, df: DataFrame, target: str, *, clip: bool) -> DataFrame:
+    """Scores over every row of ``df``; ``clip`` lifts negative predictions to zero."""
+    value = F.greatest(F.col("prediction"), F.lit(0.0)) if clip else F.col("prediction")
+    return forecast.metrics(predict(model, df).withColumn("_predicted", value), target, "_predicted")
 
 
 def _described(scores: DataFrame, model: PipelineModel, spec: ModelSpec) -> DataFrame:
@@ -219,27 +232,53 @@ def _early_stopping_tail(train: DataFrame, share: float = 0.1) -> DataFrame:
 
 
 def train_demand(
-    features: DataFrame, *, test_size: float = 0.2, spec: ModelSpec = DEMAND_MODEL
+    features: DataFrame,
+    *,
+    test_size: float = 0.2,
+    spec: ModelSpec = DEMAND_MODEL,
+    cv_folds: int = 0,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Demand model and its scores on the last rows before the hold-out month."""
+    """Demand model and its scores on the last rows before the hold-out month.
+
+    With ``cv_folds`` the record also has the spread of RMSE over that many
+    expanding-window folds of the training part.
+    """
     known, _ = hold_out(features)
     # The windows behind the features would otherwise run again for every cut,
     # fit and score.
     known = materialize(known, "demand-features")
     train, test = time_split(known, test_size)
     model = fit(_early_stopping_tail(train), spec, validation="_validation")
-    scores = forecast.with_baseline(_score(model, test, spec.target))
+    scores = forecast.with_baseline(_score(model, test, spec.target, clip=False))
+    if cv_folds:
+        # One row on either side.
+        scores = scores.join(F.broadcast(cross_validate(train, n_splits=cv_folds, spec=spec)))
     return model, _described(scores, model, spec)
 
 
+def row_accounting(model: PipelineModel, parts: dict[str, DataFrame]) -> DataFrame:
+    """Rows given to and scored by a model, per named part."""
+    counts = None
+    for name, df in parts.items():
+        one = predict(model, df).agg(F.count("prediction").alias("rows_scored"))
+        given = df.agg(F.count("*").alias("rows_given"))
+        one = given.join(F.broadcast(one)).select(F.lit(name).alias("part"), "rows_given", "rows_scored")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 def cross_validate(
     features: DataFrame, *, n_splits: int = 5, gap: int = 24, spec: ModelSpec = DEMAND_MODEL
 ) -> DataFrame:
-    """Mean and standard deviation of RMSE over expanding-window folds."""
+    """Mean and standard deviation of RMSE over expanding-window folds.
+
+    Each fold stops early by the last rows of its own training part.
+    """
     known = materialize(features, "cv-features")
     folds = None
     for i, (train, test) in enumerate(time_series_folds(known, n_splits, gap)):
-        scored = predict(fit(train, spec), test)
+        marked = _early_stopping_tail(train)
+        scored = predict(fit(marked, spec, validation="_validation"), test)
         one = forecast.metrics(scored, spec.target, "prediction").withColumn("fold", F.lit(i + 1))
         folds = one if folds is None else folds.unionByName(one)
     return folds.agg(
@@ -257,7 +296,7 @@ def _train_random(
     bucket = F.pmod(F.xxhash64(F.lit(seed + 1), *rows.columns), F.lit(10_000))
     train = train.withColumn("_validation", bucket < round(val_size * 10_000))
     model = fit(train, spec, validation="_validation", seed=seed)
-    return model, _described(_score(model, test, spec.target), model, spec)
+    return model, _described(_score(model, test, spec.target, clip=True), model, spec)
 
 
 def train_fare(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .quantiles import cumulative_counts
 
 
 def unpivot_row(wide: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -146,11 +147,13 @@ QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 
 def distribution(
-    df: DataFrame, columns: Sequence[str], *, accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str], *, accuracy: int = 10_000, exact: bool = False
 ) -> DataFrame:
-    """Count, range, mean, spread and five quantiles per column, in one scan.
+    """Count, range, mean, spread and five quantiles per column.
 
-    Quantiles come from mergeable sketches with relative rank error 1/accuracy.
+    Quantiles come from mergeable sketches with relative rank error 1/accuracy, in
+    the same scan; with ``exact`` they come from distributed value counts in a
+    second one.
     """
     present = [c for c in columns if c in df.columns]
     aggs: list[Column] = []
@@ -162,8 +165,10 @@ def distribution(
             F.max(v).alias(f"{c}__max"),
             F.avg(v).alias(f"{c}__avg"),
             F.stddev(v).alias(f"{c}__std"),
-            F.percentile_approx(v, list(QUANTILES.values()), accuracy).alias(f"{c}__q"),
         ]
+        if not exact:
+            sketch = F.percentile_approx(v, list(QUANTILES.values()), accuracy)
+            aggs.append(sketch.alias(f"{c}__q"))
     rows = []
     for c in present:
         row = {
@@ -174,9 +179,29 @@ def distribution(
             "avg_value": F.col(f"{c}__avg"),
             "stddev_value": F.col(f"{c}__std"),
         }
-        row.update({q: F.col(f"{c}__q")[i] for i, q in enumerate(QUANTILES)})
+        if not exact:
+            row.update({q: F.col(f"{c}__q")[i] for i, q in enumerate(QUANTILES)})
         rows.append(row)
-    return unpivot_row(df.agg(*aggs), rows)
+    found = unpivot_row(df.agg(*aggs), rows)
+    if not exact:
+        return found
+    return found.join(_exact_quantiles(df, present), "column_name", "left")
+
+
+def _exact_quantiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The quantiles of every column, from one ranking of all their values."""
+    pairs = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in columns
+    ]
+    values = df.select(F.inline(F.array(*pairs)))
+    ranked = cumulative_counts(values, ["column_name"], "_v", F.floor("_v"))
+    picks = []
+    for name, share in QUANTILES.items():
+        # Whole percents in whole numbers, so that no border moves by rounding.
+        rank = F.expr(f"greatest(1, (group_rows * {round(share * 100)} + 99) div 100)")
+        hit = (F.col("first_rank") <= rank) & (rank <= F.col("last_rank"))
+        picks.append(F.max(F.when(hit, F.col("_v"))).alias(name))
+    return ranked.groupBy("column_name").agg(*picks)
 
 
 def demand_shape(trips: DataFrame) -> DataFrame:

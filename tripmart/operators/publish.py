@@ -8,6 +8,7 @@ switch together, and a reader never sees an empty or half-written table.
 
 from __future__ import annotations
 
+import secrets
 import time
 import uuid
 from collections.abc import Mapping
@@ -17,9 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import read_jdbc
+from ..sources.readers import is_missing
 from ..sources.writers import write_jdbc
 from .profile import unpivot_row
-from .quality import QualityError, reconcile
+from .quality import QualityError, raise_on_failures, reconcile
 
 RUN_LOG_SCHEMA = (
     "publish_run_id bigint, target_table string, source_dataset string, version_path string, "
@@ -31,7 +33,7 @@ RESULT_SCHEMA = (
     "status string, checked_at timestamp"
 )
 PENDING_NOTE = "Staging promoted; source-target validation pending."
-SUPERSEDED_NOTE = "Superseded by a subsequent publish attempt before validation completed."
+SUPERSEDED_NOTE = "A later publication took its place while it was still open."
 CLOSED_NOTES = {
     "passed": "Validated against the source dataset.",
     "failed": "Source-target validation failed.",
@@ -184,8 +186,10 @@ class Warehouse:
     def _log(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/_{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        except AnalysisException as error:
+            if is_missing(error):
+                return self.spark.createDataFrame([], schema)
+            raise
 
     def _append(self, name: str, df: DataFrame) -> None:
         # One output file: its rename by the commit protocol is the switch.
@@ -278,9 +282,12 @@ class Warehouse:
         """Make staged versions visible, all in one step; returns run ids by table.
 
         Runs of the same tables that are still open are closed as superseded in
-        the same append.
+        the same append.  A root has a single publisher: the log is read, then
+        appended to.  Should two have met all the same, the open runs found after
+        the append show it, and the later one raises.
         """
-        first_id = time.time_ns() // 1000
+        # Microseconds and 10 random bits: later runs have larger ids, two never the same.
+        first_id = (time.time_ns() // 1000 << 10) + secrets.randbits(10)
         run_ids = {table: first_id + i for i, table in enumerate(versions)}
         opened = None
         for table, path in versions.items():
@@ -302,6 +309,13 @@ class Warehouse:
         self._append("publish_run_history", opened.unionByName(self._closing(
             stale, "failed", SUPERSEDED_NOTE
         )))
+        others = (
+            self.runs()
+            .filter(F.col("target_table").isin(list(versions)) & (F.col("status") == "started"))
+            .filter(~F.col("publish_run_id").isin(list(run_ids.values())))
+        )
+        if not others.isEmpty():
+            raise RuntimeError(f"another publisher is at work on {sorted(versions)}")
         return run_ids
 
     def _closing(self, runs: DataFrame, status: str, details: str) -> DataFrame:
@@ -349,9 +363,7 @@ class Warehouse:
 
 
 def _raise_on_mismatch(compared: DataFrame, what: str) -> None:
-    bad = compared.filter("status = 'fail'").limit(100).collect()
-    if bad:
-        text = "; ".join(
-            f"{r.check_name}: expected {r.expected_value}, found {r.actual_value}" for r in bad
-        )
-        raise QualityError(f"{what} failed: {text}")
+    described = F.format_string(
+        "%s: expected %s, found %s", "check_name", "expected_value", "actual_value"
+    )
+    raise_on_failures(compared.select("status", described.alias("text")), what)

@@ -160,7 +160,7 @@ def _calendar_rules(plan: _Plan) -> None:
     plan.must_be_zero("invalid_month_rows", _outside("month", 1, 12))
 
 
-_BASELINE_NOTE = "Publication baseline for serving validation."
+_BASELINE_NOTE = "Compared again after publication."
 
 
 def _demand_rules(plan: _Plan) -> None:
@@ -195,7 +195,7 @@ def _fare_tip_rules(
     plan.info(
         "credit_card_payment_rows",
         F.count_if(F.col("payment_type") == K.CARD_PAYMENT),
-        "Use payment_type = 1 subset when training tip_percent.",
+        "Tip shares are learned from these rows only.",
     )
 
 
@@ -547,12 +547,20 @@ def failed(report: DataFrame) -> DataFrame:
     return report.filter("status = 'fail'")
 
 
+def raise_on_failures(checks: DataFrame, what: str, *, show: int = 100) -> None:
+    """Raise with the number of rows whose status is 'fail' and the first of their texts."""
+    bad = checks.filter("status = 'fail'")
+    found = bad.agg(F.count("*")).first()[0]
+    if found:
+        first = [r.text for r in bad.orderBy("text").limit(show).collect()]
+        more = f"; {found - len(first)} more not listed" if found > len(first) else ""
+        raise QualityError(f"{what}: {found} checks failed: {'; '.join(first)}{more}")
+
+
 def enforce(report: DataFrame, *, show: int = 100) -> None:
     """Raise when any check failed; a report holds a few rows per column.
 
     Call after the report has been written, so that a failing run leaves it.
     """
-    bad = failed(report).select("check_name", "check_value").limit(show).collect()
-    if bad:
-        text = "; ".join(f"{r.check_name}={r.check_value}" for r in bad)
-        raise QualityError(f"{len(bad)} checks failed: {text}")
+    text = F.concat_ws("=", "check_name", F.col("check_value").cast("string"))
+    raise_on_failures(report.select("status", text.alias("text")), "quality gate", show=show)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import parse_local_ts, time_parts
-from .joins import lookup_join
+from .joins import lookup_join, of_hours
 
 ENVELOPE_TYPES = {
     "topic": "string",
@@ -216,9 +216,12 @@ def dedup_transport(df: DataFrame) -> DataFrame:
     A row without an offset was not delivered by the event log; null keys would
     make all such rows copies of each other, so they pass through untouched.
     """
-    addressed = df.filter(F.col("offset").isNotNull())
-    unaddressed = df.filter(F.col("offset").isNull())
-    return keep_first(addressed, K.TRANSPORT_KEY).unionByName(unaddressed)
+    # A number of its own keeps every unaddressed row apart, in the same pass over the input.
+    apart = F.when(F.col("offset").isNull(), F.monotonically_increasing_id())
+    # Copies of one record differ in their arrival at most.
+    arrival = [F.col(c) for c in ("kafka_timestamp",) if c in df.columns] or [F.lit(0)]
+    numbered = df.withColumn("_apart", apart)
+    return keep_first(numbered, [*K.TRANSPORT_KEY, "_apart"], arrival).drop("_apart")
 
 
 def dedup_business(df: DataFrame) -> DataFrame:
@@ -307,12 +310,14 @@ def hourly_weather(readings: DataFrame, mode: str = "first_non_null") -> DataFra
 
 
 def join_weather(
-    trips: DataFrame, weather: DataFrame, *, proven_hours: int | None = None
+    trips: DataFrame, weather: DataFrame, *, window: tuple[str, str] | None = None
 ) -> DataFrame:
     """Trips with the weather of their pickup hour; trips without weather stay.
 
-    ``proven_hours`` is the number of hours the weather table can have (see
-    ``window_hours``); it decides whether the table may be broadcast.
+    ``window`` (first and last day) limits the weather table to the hours that
+    trips of that window can have, one row each, which lets it be broadcast.
     """
     features = weather.select(F.col("weather_hour").alias("pickup_hour"), *TRIP_WEATHER)
-    return lookup_join(trips, features, "pickup_hour", proven_rows=proven_hours)
+    if window is not None:
+        features = of_hours(features, "pickup_hour", *window)
+    return lookup_join(trips, features, "pickup_hour")

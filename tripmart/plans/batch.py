@@ -38,8 +38,7 @@ def trips_with_weather(
     trips = silver.normalize_trips(*parsed, start=start, end=end)
     readings = silver.normalize_weather(silver.parse_weather(bronze_weather), start, end)
     weather = silver.hourly_weather(readings)
-    hours = silver.window_hours(start, end)
-    return silver.join_weather(trips, weather, proven_hours=hours), weather
+    return silver.join_weather(trips, weather, window=(start, end)), weather
 
 
 def run_silver(
@@ -66,7 +65,7 @@ def run_silver(
     joined = silver.join_weather(
         trips,
         read_table(spark, out("hourly_weather")),
-        proven_hours=silver.window_hours(start, end),
+        window=(start, end),
     )
     write_partitioned(joined, out("taxi_weather_trips"), ["pickup_year_month", "taxi_type"])
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import os
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from pyspark.sql import types as T
 from .constants import LOCAL_TIME_ZONE
 
 
-_local_fallback: dict[str, str] = {}
+_local_scratch: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tripmart", **conf: str) -> SparkSession:
@@ -43,16 +46,22 @@ def build_session(app_name: str = "tripmart", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for lineage cuts and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset
-    (a local test session) is a fresh temporary folder used instead.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a session
+    on one machine keeps such tables beside its warehouse until it ends; any other
+    master is refused, as executors would not see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder for master {master}")
     app = spark.sparkContext.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="tripmart-")
-    return _local_fallback[app]
+    if app not in _local_scratch:
+        warehouse = urlparse(spark.conf.get("spark.sql.warehouse.dir")).path
+        _local_scratch[app] = os.path.join(warehouse, f"scratch-{app}")
+        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
+    return _local_scratch[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -35,12 +35,19 @@ def read_tagged_union(
     return union
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because its path does not exist."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The dataset, or None when the path cannot be read."""
+    """The dataset, or None when the path does not exist; damaged data raises."""
     try:
         return read_table(spark, path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if is_missing(error):
+            return None
+        raise
 
 
 def path_status(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
@@ -118,8 +125,10 @@ def read_metrics(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     for model, path in paths.items():
         try:
             doc = spark.read.option("multiLine", True).json(path)
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if is_missing(error):
+                continue
+            raise
         numeric = [f.name for f in doc.schema.fields if isinstance(f.dataType, T.NumericType)]
         if not numeric:
             continue

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as K
-from ..operators.joins import sized
+from ..operators.joins import of_hours
 
 
 def dedup_stream(events: DataFrame, time_column: str, delay: str = "1 hour") -> DataFrame:
@@ -36,12 +36,17 @@ def stream_demand(
 
 
 def stream_weather_join(
-    trips: DataFrame, weather: DataFrame, *, proven_hours: int | None = None
+    trips: DataFrame, weather: DataFrame, *, window: tuple[str, str] | None = None
 ) -> DataFrame:
-    """Streaming trips with the weather of their hour from a stored table."""
+    """Streaming trips with the weather of their hour from a stored table.
+
+    ``window`` as in ``silver.join_weather``.
+    """
     keyed = weather.withColumnRenamed("weather_hour", "pickup_hour")
+    if window is not None:
+        keyed = of_hours(keyed, "pickup_hour", *window)
     return trips.withColumn("pickup_hour", F.date_trunc("hour", "pickup_datetime")).join(
-        sized(keyed, proven_hours), "pickup_hour", "left"
+        keyed, "pickup_hour", "left"
     )
 
 
