@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tripmart import constants as K
 from tripmart.operators import features, forecast, geo, ml, ordering
+from tripmart.plans.batch import Layout, run_score
 
 T0 = datetime(2024, 1, 1)
 
@@ -224,6 +225,16 @@ def test_models_train_and_score(spark, tmp_path):
         features.demand_features(demand), spec=ml.DEMAND_MODEL._replace(**quick))
     row = scores.first()
     assert row.n_features == 24 and 1 <= row.n_trees <= 4 and row.rmse > 0
+    rows = features.demand_features(demand).withColumn("temperature_f", F.lit(None).cast("float"))
+    counted = ml.row_accounting(model, {"no weather": rows}).first()
+    assert counted.rows_given == counted.rows_scored > 0
+    out = Layout(str(tmp_path / "lake"))
+    model.write().save(out("models/demand"))
+    demand.write.parquet(out("gold_demand_features"))
+    run_score(spark, out, out("models/demand"), "2024-01-10")
+    scored = spark.read.parquet(out("demand_scores"))
+    export = spark.read.option("header", True).csv(out("demand_holdout_csv"))
+    assert 0 < scored.count() == export.count() and scored.filter("predicted_demand IS NULL").count() == 0
     importance = ml.importance(spark, model, ml.DEMAND_MODEL).collect()
     assert sum(r.share_pct for r in importance) == pytest.approx(100, abs=1)
     ml.write_metrics(scores, str(tmp_path / "demand"))

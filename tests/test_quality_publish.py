@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tripmart import constants as K
 from tripmart.operators import core as core_ops
-from tripmart.operators import geo, gold, profile, publish, quality
+from tripmart.operators import geo, gold, marts, profile, publish, quality, silver
+from tripmart.operators.joins import of_hours
 from tripmart.sources import read_report, write_report
 
 from .test_core_gold_marts import trips
@@ -263,3 +264,56 @@ def test_polygon_centroids(spark):
     want = (16 * 2 - 4 * 3) / 12
     assert (got["holed"].centroid_x, got["holed"].centroid_y) == pytest.approx((want, want))
     assert not got["flat"].has_area and got["flat"].centroid_x is None
+
+
+def test_failures_are_counted_in_full(spark):
+    checks = spark.range(250).select(
+        F.format_string("c%03d", "id").alias("check_name"), F.lit("1").alias("check_value"),
+        F.lit("fail").alias("status"))
+    with pytest.raises(quality.QualityError, match="250 checks failed: c000=1.*150 more not listed"):
+        quality.enforce(checks)
+
+
+def test_transport_dedup_reads_its_input_once(spark, tmp_path, plan_of):
+    rows = [("t", 0, 1, "a"), ("t", 0, 1, "a"), ("t", 0, None, "b"), ("t", 0, None, "b"), ("t", 1, 1, "c")]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, v string")
+    df = df.withColumn("kafka_timestamp", F.lit("2024-01-01").cast("timestamp"))
+    df.write.parquet(str(tmp_path / "log"))
+    unique = silver.dedup_transport(spark.read.parquet(str(tmp_path / "log")))
+    assert plan_of(unique).count("FileScan") == 1
+    assert sorted(r.v for r in unique.collect()) == ["a", "b", "b", "c"]
+
+
+def test_weather_hours_are_bounded_before_a_broadcast(spark):
+    hours = [("2024-01-01T00:00:00",), ("2024-01-01T00:00:00",), ("2024-01-02T23:00:00",),
+             ("2024-01-03T00:00:00",), ("2024-01-01T00:30:00",)]
+    df = spark.createDataFrame(hours, "h string").select(F.col("h").cast("timestamp").alias("h"))
+    assert of_hours(df, "h", "2024-01-01", "2024-01-02").count() == 2
+
+
+def test_zone_names_take_one_row_per_id(spark):
+    mart = spark.createDataFrame(
+        [(1, "x", "y", 5)], "pu_location_id smallint, pickup_borough string, pickup_zone string, n int")
+    lookup = spark.createDataFrame(
+        [(1, "b", "z"), (1, "a", "z"), (70_000, "c", "z")], "location_id int, borough string, zone string")
+    rows = marts.refresh_zone_names(mart, lookup).collect()
+    assert [(r.pickup_borough, r.n) for r in rows] == [("a", 5)]
+
+
+def test_another_open_run_is_noticed(spark, tmp_path, monkeypatch):
+    store = publish.Warehouse(spark, str(tmp_path / "w"))
+    df = spark.createDataFrame([(1, 10)], "zone int, total_demand int").withColumns(
+        {c: F.lit("2024-01-01").cast("timestamp") for c in
+         ("source_gold_processed_timestamp", "dashboard_processed_timestamp")})
+    path = str(tmp_path / "src")
+    df.write.parquet(path)
+    staged = store.stage("zones", spark.read.parquet(path), "mart")
+    store.promote({"zones": staged}, {"zones": "one"})
+    # A publisher that did not see the open run leaves two of them.
+    real = store.runs
+    monkeypatch.setattr(store, "runs", lambda: real().limit(0) if not seen else real())
+    seen = []
+    append = store._append
+    monkeypatch.setattr(store, "_append", lambda *a: (append(*a), seen.append(1)))
+    with pytest.raises(RuntimeError, match="another publisher"):
+        store.promote({"zones": staged}, {"zones": "two"})

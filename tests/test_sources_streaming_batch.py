@@ -4,8 +4,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tripmart.operators import silver
-from tripmart.plans.batch import Layout, run_all
+from tripmart import constants as K
+from tripmart.operators import publish, silver
+from tripmart.plans.batch import Layout, run_all, run_produce, run_publish, run_validate
+from tripmart.session import shared_dir
 from tripmart.sources import (
     collect_small,
     path_status,
@@ -217,3 +219,47 @@ def test_bronze_to_marts(spark, tmp_path):
     report = spark.read.json(out("quality_reports/gold"))
     assert report.count() == 75 and report.filter("status = 'fail'").count() == 0
     assert silver.window_hours("2024-01-01", "2024-01-02") == 25
+
+    store = publish.Warehouse(spark, str(tmp_path / "serving"))
+    ids = run_publish(spark, out, store.root)
+    assert len(set(ids.values())) == 3
+    run_validate(spark, out, store.root)
+    assert {r.status for r in store.runs().collect()} == {"passed"}
+    assert store.read("dashboard_zone_summary").agg(F.sum("total_demand")).first()[0] == 24
+
+
+def test_produce_sends_every_file_once(spark, tmp_path):
+    out = Layout(str(tmp_path / "lake"))
+    drop = tmp_path / "drop"
+    frame = spark.range(3).select(F.lit(1).alias("VendorID"), "id")
+    frame.coalesce(1).write.parquet(str(tmp_path / "one"))
+    drop.mkdir()
+    part = next((tmp_path / "one").glob("part-*"))
+    (drop / "yellow_tripdata_2024-01.parquet").write_bytes(part.read_bytes())
+    run_produce(spark, str(drop), out)
+    (drop / "green_tripdata_2024-01.parquet").write_bytes(part.read_bytes())
+    run_produce(spark, str(drop), out)
+    run_produce(spark, str(drop), out)
+    rows = spark.read.parquet(out("events")).collect()
+    assert sorted(r.topic for r in rows) == sorted([K.YELLOW_TOPIC, K.GREEN_TOPIC] * 3)
+    assert {json.loads(r.value)["_source_file"] for r in rows} == {
+        "yellow_tripdata_2024-01.parquet", "green_tripdata_2024-01.parquet"}
+
+
+def test_damaged_data_is_not_taken_for_missing(spark, tmp_path):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        try_read(spark, str(tmp_path / "bad")).count()
+
+
+def test_shared_folder_is_refused_or_beside_the_warehouse(spark):
+    class Other:
+        class sparkContext:
+            master, applicationId = "yarn", "x"
+
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Other)
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -4,7 +4,11 @@
         --bronze yellow=s3a://bronze/yellow green=s3a://bronze/green \\
         --weather s3a://bronze/weather --zones s3a://ref/zones.csv
     python -m tripmart ingest --root s3a://lake --servers broker:9092
-    python -m tripmart train --root s3a://lake --model demand
+    python -m tripmart train --root s3a://lake --model demand --cv-folds 5
+    python -m tripmart score --root s3a://lake --from 2024-12-01
+    python -m tripmart publish --root s3a://lake --warehouse s3a://serving
+    python -m tripmart validate --root s3a://lake --warehouse s3a://serving
+    python -m tripmart produce --root s3a://lake --source s3a://drop
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ def _ingest(spark, args, out: batch.Layout) -> None:
 def _train(spark, args, out: batch.Layout) -> None:
     if args.model == "demand":
         rows = features.demand_features(read_table(spark, out("gold_demand_features")))
-        model, scores = ml.train_demand(rows)
+        model, scores = ml.train_demand(rows, cv_folds=args.cv_folds)
     else:
         sampled = features.hash_sample(
             read_table(spark, out("gold_fare_tip_features")), args.sample_percent
@@ -57,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "job",
         choices=["ingest", "silver", "core", "core-quality", "clean", "gold", "gold-quality",
-                 "marts", "all", "train"],
+                 "marts", "all", "train", "score", "publish", "validate", "produce"],
     )
     parser.add_argument("--root", required=True, help="folder that holds the layers")
     parser.add_argument("--bronze", nargs="*", default=[], help="type=path, for silver and all")
@@ -69,6 +73,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-offsets", type=int, default=1_000_000)
     parser.add_argument("--continuous", action="store_true", help="ingest until stopped")
     parser.add_argument("--model", choices=["demand", "fare", "tip"], default="demand")
+    parser.add_argument("--cv-folds", type=int, default=0, help="folds in the demand record")
+    parser.add_argument("--from", dest="score_from", default=ml.HOLD_OUT_FROM, help="for score")
+    parser.add_argument("--warehouse", help="root of published tables, for publish and validate")
+    parser.add_argument("--source", help="folder of trip files, for produce")
     parser.add_argument("--sample-percent", type=int, default=20)
     args = parser.parse_args(argv)
 
@@ -90,6 +98,10 @@ def main(argv: list[str] | None = None) -> None:
             spark, _pairs(args.bronze), args.weather, args.zones, out, **window
         ),
         "train": lambda: _train(spark, args, out),
+        "score": lambda: batch.run_score(spark, out, out("models/demand"), args.score_from),
+        "publish": lambda: batch.run_publish(spark, out, args.warehouse),
+        "validate": lambda: batch.run_validate(spark, out, args.warehouse),
+        "produce": lambda: batch.run_produce(spark, args.source, out),
     }
     jobs[args.job]()
 

@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
 from ..operators import core as core_ops
-from ..operators import gold, marts, quality, silver
+from ..operators import features, forecast, gold, marts, ml, publish, quality, silver
 from ..sources import read_table, read_zones, write_partitioned, write_report
+from ..sources.envelopes import trips_to_envelope
+from ..sources.writers import write_csv
+from ..streaming import live
 
 
 class Layout(NamedTuple):
@@ -124,6 +128,56 @@ def run_marts(spark: SparkSession, out: Layout, zone_file: str) -> None:
         write_partitioned(mart, out(name), ["pickup_year_month"])
 
 
+# Published table: mart, kind of its metrics, measure that is summed.
+PUBLISHED = {
+    "dashboard_hourly_demand_kpi": ("mart", "total_demand"),
+    "dashboard_zone_summary": ("mart", "total_demand"),
+    "dashboard_payment_tip_summary": ("mart", "trip_count"),
+}
+
+
+def run_publish(spark: SparkSession, out: Layout, warehouse: str) -> dict[str, int]:
+    """Stage all marts as new versions, then make them visible in one step."""
+    store = publish.Warehouse(spark, warehouse)
+    staged = {
+        name: store.stage(name, read_table(spark, out(name)), kind, measure=measure)
+        for name, (kind, measure) in PUBLISHED.items()
+    }
+    return store.promote(staged, {name: out(name) for name in staged})
+
+
+def run_validate(spark: SparkSession, out: Layout, warehouse: str) -> None:
+    """Compare what readers see with the marts and close the open runs."""
+    store = publish.Warehouse(spark, warehouse)
+    for name, (kind, measure) in PUBLISHED.items():
+        store.validate(name, read_table(spark, out(name)), kind, measure=measure)
+
+
+def run_score(spark: SparkSession, out: Layout, model_path: str, start: str) -> None:
+    """Predict demand for the hours from ``start`` on with a saved model.
+
+    Writes the scored rows and, as CSV, the hold-out export with one row per zone
+    and hour.
+    """
+    rows = features.demand_features(read_table(spark, out("gold_demand_features")))
+    _, later = ml.hold_out(rows, start)
+    scored = forecast.score_demand(ml.predict(PipelineModel.load(model_path), later))
+    write_partitioned(scored, out("demand_scores"), ["pickup_year_month"])
+    export = ["pickup_hour", "pu_location_id", "zone_name", "demand", "predicted_demand", "abs_error"]
+    write_csv(read_table(spark, out("demand_scores")).select(*export), out("demand_holdout_csv"))
+
+
+def run_produce(spark: SparkSession, source: str, out: Layout) -> None:
+    """Trip files as they arrive in a folder to event envelopes under ``events``.
+
+    File names tell the taxi type.  Every file is read once, as the checkpoint
+    records; the run ends when all files present are done.
+    """
+    schema = read_table(spark, source).schema
+    trips = spark.readStream.schema(schema).parquet(source)
+    live.drain(trips_to_envelope(trips), out("events"), out("_checkpoints/produce"))
+
+
 def run_all(
     spark: SparkSession,
     bronze: dict[str, str],
