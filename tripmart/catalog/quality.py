@@ -497,7 +497,7 @@ def _(spark, sf_dir):
     return quality.join_cardinality(silver.hourly_weather(readings))
 
 
-_MEASURES = ["temperature_f", "humidity_percent", "precipitation_mm", "weather_code",
+MEASURES = ["temperature_f", "humidity_percent", "precipitation_mm", "weather_code",
              "wind_speed_kmh", "wind_direction_deg", "cloud_cover_percent"]
 
 
@@ -508,7 +508,7 @@ _MEASURES = ["temperature_f", "humidity_percent", "precipitation_mm", "weather_c
             WHERE NOT EXISTS (SELECT 1 FROM weather w WHERE w.weather_hour = c.pickup_hour))
         AS hours_missing_in_weather,
       (SELECT count(*) FROM joined WHERE NOT has_weather) AS trips_without_weather_hour,
-      {", ".join(f"0::BIGINT AS mismatched_{m}" for m in _MEASURES)}
+      {", ".join(f"0::BIGINT AS mismatched_{m}" for m in MEASURES)}
     """,
 )
 def _(spark, sf_dir):

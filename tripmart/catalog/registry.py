@@ -41,7 +41,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
 
 
 def _load() -> None:
-    from . import dashboard, gold, models, quality, silver, streaming, volume  # noqa: F401
+    from . import (  # noqa: F401
+        dashboard,
+        gold,
+        models,
+        quality,
+        roundtrips,
+        silver,
+        streaming,
+        volume,
+    )
 
 
 def queries() -> dict[str, Builder]:
