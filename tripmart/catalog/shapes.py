@@ -163,13 +163,18 @@ def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Weather ----------------------------------------------------------------
 
 
+def _moved(ts: str):
+    """Times from three to four, put 60 days back: no trip finds weather for that hour."""
+    return F.when(F.hour(ts) == 3, F.col(ts) - F.expr("INTERVAL 60 DAY")).otherwise(F.col(ts))
+
+
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as one weather reading; none in the hour from three to four."""
+    """Every event as one weather reading; those of the hour from three to four tell another day."""
     e = F.col("event_id")
-    events = table(spark, sf_dir, "events").filter(F.hour("ts") != 3)
+    events = table(spark, sf_dir, "events")
     codes = F.array(*[F.lit(c) for c in (0, 3, 61, 99, 42)])
     payload = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("timestamp"),
+        F.date_format(_moved("ts"), "yyyy-MM-dd'T'HH:mm").alias("timestamp"),
         F.lit(40.7128).alias("latitude"),
         F.lit(-74.0060).alias("longitude"),
         F.lit("NYC_Manhattan").alias("location"),
@@ -200,8 +205,7 @@ def typed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.col("weather_hour")
     hours = (
         table(spark, sf_dir, "events")
-        .filter(F.hour("ts") != 3)
-        .groupBy(F.date_trunc("hour", "ts").alias("weather_hour"))
+        .groupBy(F.date_trunc("hour", _moved("ts")).alias("weather_hour"))
         .agg(F.count("*").alias("readings"))
     )
     step = F.hour(h) + F.day(h)
@@ -230,8 +234,9 @@ def typed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension: customers rolled up to at most 263 zones.
 
-    One zone in 15 is missing and another one in 15 has no latitude.
+    One zone in 15 has an id that no trip uses, and another one in 15 has no latitude.
     """
+    key = F.col("c_custkey") % ZONES + 1
     zone_id = F.col("location_id")
     customers = table(spark, sf_dir, "customer")
     places = table(spark, sf_dir, "nation").join(
@@ -239,9 +244,10 @@ def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     located = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        located.groupBy((F.col("c_custkey") % ZONES + 1).cast("int").alias("location_id"))
+        located.groupBy(
+            F.when(key % 15 == 14, key + 1000).otherwise(key).cast("int").alias("location_id")
+        )
         .agg(F.max("r_name").alias("borough"), F.max("c_name").alias("zone"))
-        .filter(zone_id % 15 != 14)
         .select(
             "location_id",
             "borough",
@@ -336,6 +342,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- SQL twins ----------------------------------------------------------------
 
+_MOVED = "CASE WHEN hour(ts) = 3 THEN ts - INTERVAL 60 DAY ELSE ts END"
+
 CTES = f"""
 WITH trip_rows AS (
   SELECT event_id AS e, ts AS pickup,
@@ -405,8 +413,8 @@ deduped AS (
       pu_location_id, do_location_id, trip_distance, fare_amount, total_amount
     ORDER BY kafka_timestamp, "partition", "offset") = 1),
 readings AS (
-  SELECT event_id AS e, ts, date_trunc('hour', ts)::TIMESTAMP AS weather_hour,
-    CASE WHEN event_id % 3 <> 0 THEN 30 + hour(ts) + day(ts) % 7 + event_id % 3 END::DOUBLE
+  SELECT event_id AS e, moved AS ts, date_trunc('hour', moved)::TIMESTAMP AS weather_hour,
+    CASE WHEN event_id % 3 <> 0 THEN 30 + hour(seen) + day(seen) % 7 + event_id % 3 END::DOUBLE
       AS temperature_f,
     CASE WHEN event_id % 7 <> 0 THEN 40 + event_id % 50 END::DOUBLE AS humidity_percent,
     CASE WHEN event_id % 4 <> 1 THEN CASE WHEN event_id % 5 = 0 THEN 1.5 ELSE 0.0 END END::DOUBLE
@@ -414,7 +422,7 @@ readings AS (
     [0, 3, 61, 99, 42][event_id % 5 + 1]::INT AS weather_code,
     (event_id % 30)::DOUBLE AS wind_speed_kmh, (event_id % 360)::DOUBLE AS wind_direction_deg,
     (event_id % 101)::DOUBLE AS cloud_cover_percent
-  FROM events WHERE hour(ts) <> 3),
+  FROM (SELECT event_id, ts AS seen, {_MOVED} AS moved FROM events)),
 first_readings AS (
   SELECT weather_hour,
     (list(temperature_f ORDER BY ts, e) FILTER (temperature_f IS NOT NULL))[1] AS temperature_f,
@@ -435,17 +443,17 @@ weather AS (
     ((hour(h) + day(h)) % 30)::DOUBLE AS wind_speed_kmh,
     ((hour(h) + day(h)) * 7 % 360)::DOUBLE AS wind_direction_deg,
     ((hour(h) + day(h)) * 3 % 101)::DOUBLE AS cloud_cover_percent
-  FROM (SELECT DISTINCT date_trunc('hour', ts)::TIMESTAMP AS h FROM events WHERE hour(ts) <> 3)),
+  FROM (SELECT DISTINCT date_trunc('hour', {_MOVED})::TIMESTAMP AS h FROM events)),
 zones AS (
   SELECT location_id, borough, zone,
     CASE WHEN location_id % 15 <> 7 THEN 40.5::DOUBLE + (location_id % 50) / 100.0::DOUBLE END
       AS latitude,
     -74.2::DOUBLE + (location_id % 37) / 100.0::DOUBLE AS longitude
-  FROM (SELECT (c_custkey % {ZONES} + 1)::INT AS location_id, max(r_name) AS borough,
+  FROM (SELECT (CASE WHEN (c_custkey % {ZONES} + 1) % 15 = 14 THEN 1000 ELSE 0 END
+            + c_custkey % {ZONES} + 1)::INT AS location_id, max(r_name) AS borough,
           max(c_name) AS zone
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey GROUP BY 1)
-  WHERE location_id % 15 <> 14),
+        JOIN region ON n_regionkey = r_regionkey GROUP BY 1)),
 joined AS (
   SELECT t.*, w.weather_hour IS NOT NULL AS has_weather, w.weather_hour AS weather_timestamp,
     w.temperature_f, w.humidity_percent, w.precipitation_mm, w.weather_code, w.wind_speed_kmh,

@@ -46,12 +46,12 @@ def write_jdbc(
 ) -> None:
     """Write to a database through at most ``writers`` connections.
 
-    ``numPartitions`` caps the connections (Spark coalesces to it before
-    writing); tasks upstream of the write keep their own parallelism only if a
-    shuffle lies between, so the cap is applied to the write alone.
+    ``numPartitions`` caps the connections: Spark would coalesce the whole stage
+    before the write to that many tasks.  The repartition keeps the work upstream
+    on as many tasks as it has.
     """
     out = (
-        df.write.format("jdbc")
+        df.repartition(writers).write.format("jdbc")
         .option("url", url)
         .option("dbtable", table)
         .option("numPartitions", writers)
