@@ -222,8 +222,9 @@ def test_models_train_and_score(spark, tmp_path):
     quick = {"max_iter": 4, "max_depth": 3}
     demand = full(series(spark, range(400), 132).unionByName(series(spark, range(400), 50)))
     model, scores = ml.train_demand(
-        features.demand_features(demand), spec=ml.DEMAND_MODEL._replace(**quick))
+        features.demand_features(demand), spec=ml.DEMAND_MODEL._replace(**quick), cv_folds=2)
     row = scores.first()
+    assert row.folds == 2 and row.cv_rmse_mean > 0
     assert row.n_features == 24 and 1 <= row.n_trees <= 4 and row.rmse > 0
     rows = features.demand_features(demand).withColumn("temperature_f", F.lit(None).cast("float"))
     counted = ml.row_accounting(model, {"no weather": rows}).first()

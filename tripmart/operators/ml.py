@@ -251,8 +251,8 @@ def train_demand(
     model = fit(_early_stopping_tail(train), spec, validation="_validation")
     scores = forecast.with_baseline(_score(model, test, spec.target, clip=False))
     if cv_folds:
-        # One row on either side.
-        scores = scores.join(F.broadcast(cross_validate(train, n_splits=cv_folds, spec=spec)))
+        cv = materialize(cross_validate(train, n_splits=cv_folds, spec=spec), "cv-scores")
+        scores = scores.withColumns({c: cv.select(c).scalar() for c in cv.columns})
     return model, _described(scores, model, spec)
 
 
@@ -260,9 +260,10 @@ def row_accounting(model: PipelineModel, parts: dict[str, DataFrame]) -> DataFra
     """Rows given to and scored by a model, per named part."""
     counts = None
     for name, df in parts.items():
-        one = predict(model, df).agg(F.count("prediction").alias("rows_scored"))
-        given = df.agg(F.count("*").alias("rows_given"))
-        one = given.join(F.broadcast(one)).select(F.lit(name).alias("part"), "rows_given", "rows_scored")
+        scored = predict(model, df).agg(F.count("prediction")).scalar()
+        one = df.agg(F.count("*").alias("rows_given")).select(
+            F.lit(name).alias("part"), "rows_given", scored.alias("rows_scored")
+        )
         counts = one if counts is None else counts.unionByName(one)
     return counts
 
