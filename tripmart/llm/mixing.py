@@ -44,8 +44,8 @@ def rates(
         given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
         weight = F.coalesce(F.try_element_at(given, F.col(name)).cast("double"), weight)
     counts = counts.withColumn("weight", weight)
-    sums = counts.agg(F.sum("weight").alias("weights"), F.sum("rows_in").alias("rows_all"))
-    aim = F.col("rows_all") if total is None else F.lit(int(total))
+    weights_all = counts.agg(F.sum("weight")).scalar()
+    aim = counts.agg(F.sum("rows_in")).scalar() if total is None else F.lit(int(total))
     rate = F.col("share") * aim / F.col("rows_in")
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / RATE_STEP)).cast("int")
     # P(count <= k) of one part, up to where the rest is below the hash's resolution.
@@ -60,10 +60,8 @@ def rates(
         ),
         lambda acc: acc["cdf"],
     )
-    # One row of sums: a scalar next to every source.
     return (
-        counts.join(F.broadcast(sums))
-        .withColumn("share", F.col("weight") / F.col("weights"))
+        counts.withColumn("share", F.col("weight") / weights_all)
         .withColumn("rate", rate)
         .withColumn("parts", parts)
         .withColumn("steps", steps)

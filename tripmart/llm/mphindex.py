@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DOCS_PER_PART = 2048
-MAX_PARTS = 1 << 16
+MAX_PARTS = 1 << 14
 SHARD_IDS = 1 << 21
 # Bits per key and level; twice the keys leaves about 40 % of them to the next level.
 LOAD = 2
