@@ -79,7 +79,7 @@ def test_cache_is_bounded(monkeypatch, reference):
     small = bpe.Codec(bpe.codec(PATH, P.PATTERN).ranks, P.PATTERN)
     text = noise(5, 2000)
     assert ids_of(small.encode(text)) == reference.encode_ordinary(text)
-    assert max(map(len, (small.by_piece, small.by_piece.older, small.by_chunk))) <= 3
+    assert max(map(len, (small.by_piece, small.by_piece.older, small.by_word))) <= 3
 
 
 def test_operator_on_messy_rows(messy, empty, reference):

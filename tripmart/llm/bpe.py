@@ -9,6 +9,9 @@ time, so a piece of n bytes costs O(n log n) whatever it looks like.
 from __future__ import annotations
 
 import base64
+import re
+import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -19,7 +22,7 @@ from pyspark.sql import types as T
 
 from .common import append_columns
 
-# Pieces kept per Python worker, and the longest one kept: bounds of the cache's memory.
+# Pieces and chunks kept per Python worker and generation, and the longest one kept.
 CACHE_PIECES = 1 << 17
 CACHE_CHARS = 64
 
@@ -47,57 +50,61 @@ _UNASSIGNED = dict.fromkeys((c for a, b in YOUNGER for c in range(a, b + 1)), "\
 _POSITION_BITS = 40
 _POSITION = (1 << _POSITION_BITS) - 1
 _NO_PAIR = 1 << 80
+# Children of a tree node: the least of so many numbers takes one call.
+_FAN = 16
 
-
-class PairTree:
-    """Segment tree of the smallest (rank, position); equal ranks give the leftmost."""
-
-    def __init__(self, leaves: list[int]):
-        self.width = width = 1 << max(0, (len(leaves) - 1).bit_length())
-        nodes = [_NO_PAIR] * width + leaves + [_NO_PAIR] * (width - len(leaves))
-        for i in range(width - 1, 0, -1):
-            left, right = nodes[2 * i], nodes[2 * i + 1]
-            nodes[i] = left if left <= right else right
-        self.nodes = nodes
-
-    def put(self, position: int, rank: int | None) -> None:
-        nodes, i = self.nodes, self.width + position
-        nodes[i] = _NO_PAIR if rank is None else rank << _POSITION_BITS | position
-        while i > 1:
-            i >>= 1
-            left, right = nodes[2 * i], nodes[2 * i + 1]
-            best = left if left <= right else right
-            if nodes[i] == best:
-                return
-            nodes[i] = best
-
-    def leftmost_minimum(self) -> int | None:
-        best = self.nodes[1]
-        return None if best == _NO_PAIR else best & _POSITION
+# White space and what follows it up to the next: no match of the pattern goes from one
+# such chunk into the next.  What ``re`` alone takes for white space is left to the pattern.
+_CHUNK = re.compile(r"\s*\S+|\s+")
+_NOT_SPACE = re.compile("[\x1c-\x1f]")
+# White space other than blanks and line feeds.
+_RARE_SPACE = re.compile(r"[^\S \n]")
 
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one piece; a piece that is a token itself is that token."""
+    """Token ids of one piece; a piece that is a token itself is that token.
+
+    ``levels[0]`` holds (rank, position) of the pair at each position in one number,
+    and each further level the smallest of every 16 numbers below: the root is the
+    leftmost of the pairs of smallest rank.
+    """
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
-    n = len(piece)
-    pairs = [ranks.get(piece[i : i + 2]) for i in range(n - 1)]
-    tree = PairTree(
-        [_NO_PAIR if r is None else r << _POSITION_BITS | i for i, r in enumerate(pairs)]
-    )
+    n, rank_of = len(piece), ranks.get
+    pairs = [
+        _NO_PAIR if (rank := rank_of(piece[i : i + 2])) is None else rank << _POSITION_BITS | i
+        for i in range(n - 1)
+    ]
+    levels = [pairs]
+    while len(levels[-1]) > _FAN:
+        below = levels[-1]
+        levels.append([min(below[i : i + _FAN]) for i in range(0, len(below), _FAN)])
+    top = levels[-1]
     end = list(range(1, n + 1))  # where the token that starts here ends
     before = list(range(-1, n))  # where the token left of this start begins
-    while (at := tree.leftmost_minimum()) is not None:
+    while (best := min(top)) != _NO_PAIR:
+        at = best & _POSITION
         middle = end[at]
         stop = end[at] = end[middle]
         if middle < n - 1:
-            tree.put(middle, None)
-        before[stop] = at
-        tree.put(at, ranks.get(piece[at : end[stop]]) if stop < n else None)
+            pairs[middle] = _NO_PAIR
+        pairs[at] = _NO_PAIR
+        if stop < n:
+            before[stop] = at
+            rank = rank_of(piece[at : end[stop]])
+            if rank is not None:
+                pairs[at] = rank << _POSITION_BITS | at
+        left = before[at]
         if at:
-            left = before[at]
-            tree.put(left, ranks.get(piece[left:stop]))
+            rank = rank_of(piece[left:stop])
+            pairs[left] = _NO_PAIR if rank is None else rank << _POSITION_BITS | left
+        if len(levels) > 1:
+            changed = {max(0, left), at, min(middle, n - 2)}
+            for below, above in zip(levels, levels[1:]):
+                changed = {i // _FAN for i in changed}
+                for i in changed:
+                    above[i] = min(below[i * _FAN : (i + 1) * _FAN])
     ids, at = [], 0
     while at < n:
         ids.append(ranks[piece[at : end[at]]])
@@ -105,30 +112,67 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class Codec(dict):
-    """Packed ids (little-endian unsigned 32 bit) by piece, and the way back."""
+class Recent(dict):
+    """A bounded cache of ``compute`` by text: a full generation becomes the older one."""
+
+    def __init__(self, compute: Callable[[str], bytes], limit: int):
+        self.compute, self.limit, self.older = compute, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= CACHE_CHARS:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+class Codec:
+    """Packed ids (little-endian unsigned 32 bit) of texts, and the way back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.tokens = {i: token for token, i in ranks.items()}
+        self.by_piece = Recent(self._piece, CACHE_PIECES)
+        self.by_word = Recent(self._word, CACHE_PIECES)
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge_piece(piece.encode(), self.ranks), "<u4").tobytes()
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        ids = merge_piece(piece.encode(), self.ranks)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def pieces(self, text: str) -> list[str]:
+        """The matches of the pattern in any text."""
         if text.isascii() or not _YOUNGER.search(text):
             return self.pattern.findall(text)
         older = text.translate(_UNASSIGNED)
         return [text[m.start() : m.end()] for m in self.pattern.finditer(older)]
 
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.by_piece.__getitem__, self.pieces(chunk)))
+
+    def _word(self, word: str) -> bytes:
+        """A chunk that starts with a blank, without it."""
+        if word.isalpha() and word.isascii():
+            return self.by_piece[f" {word}"]
+        stem = word[:-1]
+        if stem.isalpha() and stem.isascii() and word[-1] in ",.":
+            return self.by_piece[f" {stem}"] + self.by_piece[word[-1]]
+        return self._chunk(f" {word}")
+
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.pieces(text))) if text else b""
+        if not text:
+            return b""
+        if "  " in text or "\n " in text or text[-1] == " " or _RARE_SPACE.search(text):
+            if _NOT_SPACE.search(text):
+                return self._chunk(text)
+            return b"".join(map(self._chunk, _CHUNK.findall(text)))
+        # Each blank stands between other signs, so it starts a chunk.
+        first, *words = text.split(" ")
+        return (self._chunk(first) if first else b"") + b"".join(map(self.by_word.__getitem__, words))
 
     def decode(self, ids: bytes | memoryview) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
