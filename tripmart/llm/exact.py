@@ -74,7 +74,10 @@ def group_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     groups = hashed.groupBy(full).agg(
         F.max(id_).alias("keep_id"), F.count("*").alias("group_size")
     )
-    shared = hashed.join(groups, full).select(
+    # Keyed by the raw digest, both sides have an exchange of their own: AQE can split a hot text.
+    (raw,) = spare(hashed, "raw")
+    groups = groups.withColumn(raw, F.unhex(full)).drop(full)
+    shared = hashed.join(groups, F.unhex(full) == F.col(raw)).select(
         *columns, "keep_id", "group_size", id_.eqNullSafe(F.col("keep_id")).alias("kept")
     )
     return single.unionByName(shared)
