@@ -26,10 +26,11 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 48, 6
 SLOTS = BANDS * ROWS
-# Buckets that hold several components are refined by further bands up to this depth.
-LEVELS = 3
+# Buckets that hold several components are refined up to this depth, each by the bands
+# that follow its own.
+LEVELS, FOLLOWING = 3, 6
 # Elements whose permutations are in memory together, and words kept per Python worker.
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 CACHE_WORDS = 1 << 18
 
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -190,17 +191,18 @@ def shingle_sets(docs: DataFrame, text: str) -> DataFrame:
 def verify(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (leader, id) whose full shingle sets are similar enough.
 
-    Only texts that a pair names are turned into sets.  A leader of many pairs is
-    a hot key of the last join, which AQE splits.
+    Only texts that a pair names are turned into sets.  The joins are shuffled at
+    every size: how many pairs there are follows the data, and no bound is known.  A
+    leader of many pairs is a hot key of the last join, which AQE splits.
     """
     named = pairs.select(F.col("id")).union(pairs.select("leader")).distinct()
-    sets = materialize(shingle_sets(texts.join(named, "id", "left_semi"), "text"), "shingle-sets")
+    sets = materialize(shingle_sets(texts.join(named.hint("merge"), "id", "left_semi"), "text"), "shingle-sets")
     leaders = sets.select(F.col("id").alias("leader"), F.col("shingles").alias("others"))
     both = F.size(F.array_intersect("shingles", "others"))
     union = F.size("shingles") + F.size("others") - both
     return (
-        pairs.join(sets, "id")
-        .join(leaders, "leader")
+        pairs.join(sets.hint("merge"), "id")
+        .join(leaders.hint("merge"), "leader")
         .filter(100 * both >= percent * union)
         .select("leader", "id")
         .distinct()
@@ -215,9 +217,14 @@ def components(edges: DataFrame) -> DataFrame:
     counts per node before its exchange and is written to the shared folder.
     """
 
-    def checksum(e: DataFrame) -> tuple:
-        hashed = F.xxhash64("u", "v").cast("decimal(38,0)")
-        return tuple(e.agg(F.count("*"), F.sum(hashed)).first())
+    def all_stars(e: DataFrame) -> bool:
+        """Whether every node hangs under one other, which hangs under none."""
+        below = e.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+        above = e.select(F.col("v").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+        counts = below.union(above).groupBy("x").agg(
+            F.sum("below").alias("below"), F.max("above").alias("above")
+        )
+        return counts.filter("below > 1 OR below + above > 1").isEmpty()
 
     def large_star(e: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -234,28 +241,46 @@ def components(edges: DataFrame) -> DataFrame:
 
     e = edges.select(F.greatest("leader", "id").alias("u"), F.least("leader", "id").alias("v"))
     e = materialize(e.filter("u <> v").distinct(), "edges")
-    state = checksum(e)
-    while True:
+    while not all_stars(e):
         e = materialize(small_star(large_star(e)), "edges")
-        state, last = checksum(e), state
-        if state == last:
-            break
     roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
+def _finer(open_: DataFrame, reps: DataFrame) -> DataFrame:
+    """Buckets of two bands for the members of ``open_`` that some stray shares one with.
+
+    A stray is a member outside its bucket's largest component.  Only strays can
+    still lack a link there, so members of that component count where a stray
+    agrees with them on a further band.
+    """
+    follow = F.transform(
+        F.sequence(F.lit(1), F.lit(FOLLOWING)), lambda k: ((F.col("p.at") + k) % BANDS).cast("int")
+    )
+    # One row per member meets its bands; its places are as many as bands and further bands.
+    places = open_.groupBy("id").agg(F.collect_list(F.struct("bucket", "at", "stray")).alias("places"))
+    split = (
+        places.join(reps.select("id", "bands").hint("merge"), "id")
+        .select("id", "bands", F.explode("places").alias("p"))
+        .select("id", "bands", "p.bucket", "p.stray", F.explode(follow).alias("at"))
+        .select("id", "at", "stray", F.xxhash64("bucket", F.get("bands", F.col("at"))).alias("bucket"))
+    )
+    wanted = split.filter("stray").select("bucket").distinct()
+    return materialize(split.drop("stray").join(wanted, "bucket", "left_semi"), "buckets")
+
+
 def _link(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(id, component) of the representatives that are linked with another.
 
     Each member of a bucket is compared with the bucket's smallest id only, so a
     bucket makes fewer pairs than it has members.  Where its members then are in
-    one component, nothing is left to find in it.  Else the bucket is split by
-    every further band: two sets that belong together share many bands, while
-    those that met by a common passage part, and each part has a leader of its own.
+    one component, nothing is left to find in it.  Else its strays meet the other
+    members again in buckets of two bands, then of three: sets that belong together
+    share many bands, those that met by a common passage part, and each of the
+    smaller buckets has a leader of its own.
     """
-    bands = reps.select("id", "bands")
     buckets = reps.select("id", F.posexplode("bands").alias("at", "bucket"))
-    edges = tested = None
+    linked = tested = None
     for level in range(LEVELS):
         groups = buckets.groupBy("bucket").agg(
             F.count("*").alias("members"), F.min("id").alias("leader")
@@ -265,29 +290,37 @@ def _link(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "id"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        links = verify(pairs, texts, percent)
-        edges = materialize(links if edges is None else edges.union(links), "links")
-        linked = components(edges)
+        links = materialize(verify(pairs, texts, percent), "links")
+        if linked is None:
+            linked = components(links)
+        elif not links.isEmpty():
+            # Known components are stars already; only what joins them is new.
+            stars = linked.select(F.col("component").alias("leader"), "id")
+            linked = components(stars.union(links))
         if level == LEVELS - 1:
             break
         tested = pairs if tested is None else tested.union(pairs)
         named = met.filter("members > 2").select("bucket", "at", "id").join(linked, "id", "left")
         named = named.withColumn("component", F.coalesce("component", "id"))
-        mixed = named.groupBy("bucket").agg(
-            (F.min("component") < F.max("component")).alias("mixed")
-        )
-        unsettled = named.join(mixed.filter("mixed"), "bucket", "left_semi")
-        finer = unsettled.join(bands, "id").select(
-            "id", "bucket", F.posexplode("bands").alias("next", "band"), "at"
+        parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        mixed = (
+            parts.groupBy("bucket")
+            .agg(
+                F.count("*").alias("parts"),
+                F.max(F.struct("n", F.col("component").alias("largest"))).alias("most"),
+            )
+            .filter("parts > 1")
+            .select("bucket", "most.largest")
         )
-        buckets = materialize(
-            finer.filter("next > at").select(
-                "id", F.col("next").alias("at"), F.xxhash64("bucket", "band").alias("bucket")
+        open_ = materialize(
+            named.join(mixed, "bucket").select(
+                "id", "at", "bucket", (F.col("component") != F.col("largest")).alias("stray")
             ),
-            "buckets",
+            "open-buckets",
         )
-        if buckets.isEmpty():
+        if open_.isEmpty():
             break
+        buckets = _finer(open_, reps)
     return linked
 
 
