@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 # The white space that separates words, \x20 and \x09-\x0D.
 WORD_SPACE = " \t\n\x0b\f\r"
 WORD_SPACE_PATTERN = r"[\x20\x09-\x0D]+"
+# Rows whose results are in a Python worker's memory together.
+SLICE_ROWS = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,8 +76,9 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            columns = batch.columns
-            made = compute(*columns[width:])
-            yield pa.RecordBatch.from_arrays([*columns[:width], *made], names=names)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                columns = batch.slice(start, SLICE_ROWS).columns
+                made = compute(*columns[width:])
+                yield pa.RecordBatch.from_arrays([*columns[:width], *made], names=names)
 
     return carried.mapInArrow(run, schema)
