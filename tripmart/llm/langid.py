@@ -123,8 +123,9 @@ def training_sets(docs: DataFrame, key: str, text: str, label: str) -> list[tupl
     """At most ``TRAIN_ROWS`` labelled sets of each of at most ``MAX_LANGUAGES`` languages.
 
     Rows are drawn by a hash of key and text, and languages by their row counts.
-    The ranking keeps that many rows per language and task before its exchange,
-    and the n-gram sets are made on the executors.
+    Those counts thin each language to about four times the rows wanted before
+    they are ranked, so what is shuffled doesn't grow with the table; the n-gram
+    sets are made on the executors.
     """
     lang = F.col(f"`{label}`").cast("string")
     rows = docs.select(
@@ -134,10 +135,13 @@ def training_sets(docs: DataFrame, key: str, text: str, label: str) -> list[tupl
     ).filter("lang is not null and text rlike '\\\\p{L}'")
     frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
     draw = Window.partitionBy("lang").orderBy("draw")
+    steps = 1 << 40
+    share = F.pmod("draw", F.lit(steps)).cast("double") * F.col("count") < 4.0 * TRAIN_ROWS * steps
     sample = (
-        rows.withColumn("place", F.row_number().over(draw))
+        rows.join(F.broadcast(frequent), "lang")
+        .filter(share)
+        .withColumn("place", F.row_number().over(draw))
         .filter(F.col("place") <= TRAIN_ROWS)
-        .join(F.broadcast(frequent), "lang", "left_semi")
     )
 
     def make():
