@@ -78,6 +78,35 @@ def test_chains_and_common_passages(spark):
     check(superminhash.near_groups(df), brute(df.collect()))
 
 
+def template(seed, size, more, planted):
+    """Texts of one template (0.70 alike, not linked), and pairs of them that share a bit more."""
+    rng = random.Random(seed)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n)]
+    shared, out = words(704), []
+    for i in range(size):
+        own = words(150)
+        if i % 2 and i < 2 * planted:
+            n = more[i // 2 % len(more)]
+            own[:n] = out[-1][704 : 704 + n]
+        out.append(shared + own)
+    return [" ".join(t) for t in out]
+
+
+def test_pairs_in_large_template_families(spark):
+    # Two documents share 700 + n of 850 shingles each: 0.751 to 0.80 for these n.
+    size, planted = 1200, 80
+    texts = [t for seed in range(2) for t in template(seed, size, (29, 33, 40, 55), planted)]
+    places = list(range(len(texts)))
+    random.Random(5).shuffle(places)
+    want = {places[i]: places[i] for i in range(len(texts))}
+    for start in range(0, len(texts), size):
+        for i in range(start, start + 2 * planted, 2):
+            want[places[i]] = want[places[i + 1]] = min(places[i], places[i + 1])
+    rows = list(zip(places, texts, strict=True))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(superminhash.near_groups(df), {i: (850, c) for i, c in want.items()})
+
+
 def test_messy_rows(messy, empty):
     unique = messy.filter("doc_id is not null").dropDuplicates(["doc_id"])
     check(superminhash.near_groups(unique), brute(unique.collect()))

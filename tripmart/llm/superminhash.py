@@ -29,6 +29,8 @@ SLOTS = BANDS * ROWS
 # Buckets that hold several components are refined up to this depth, each by the bands
 # that follow its own.
 LEVELS, FOLLOWING = 3, 6
+# Holders of a shingle that meet in one task, and pairs of two components verified before the rest.
+SALTED, FIRST = 1 << 10, 8
 # Elements whose permutations are in memory together, and words kept per Python worker.
 CHUNK = 1 << 14
 CACHE_WORDS = 1 << 18
@@ -269,6 +271,140 @@ def _finer(open_: DataFrame, reps: DataFrame) -> DataFrame:
     return materialize(split.drop("stray").join(wanted, "bucket", "left_semi"), "buckets")
 
 
+def _in_mixed(met: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members (id, component, at, bucket, stray) of the buckets that hold several components.
+
+    A bucket of two is left out, as its members were compared.  A stray is a member
+    outside its bucket's largest component.
+    """
+    named = met.filter("members > 2").select("bucket", "at", "id").join(linked, "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
+    parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = (
+        parts.groupBy("bucket")
+        .agg(
+            F.count("*").alias("parts"),
+            F.max(F.struct("n", F.col("component").alias("largest"))).alias("most"),
+        )
+        .filter("parts > 1")
+        .select("bucket", "most.largest")
+    )
+    return named.join(mixed, "bucket").select(
+        "id", "component", "at", "bucket", (F.col("component") != F.col("largest")).alias("stray")
+    )
+
+
+def _candidates(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``open_`` (id, component, stray) that may be similar enough, none left out.
+
+    Columns: leader, id, low and high (their components, in order), common (shingles
+    met by).  The shingles of a set are ranked by how many open sets hold them, those of
+    a single component first.  A pair's first common shingle must leave both sets enough
+    others behind it, which is a prefix of each set and prunes sets that only share what
+    many share.  At least one side is a stray, and the sides' components differ.
+    """
+    sets = shingle_sets(texts.join(open_.hint("merge"), "id"), "text")
+    sets = materialize(
+        sets.withColumn("n", F.size("shingles")).withColumn("unit", F.monotonically_increasing_id()),
+        "open-sets",
+    )
+    words = sets.select("unit", "component", F.explode("shingles").alias("shingle"))
+    shared = (
+        words.groupBy("shingle")
+        .agg(F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo <> hi")
+        .select("shingle", "holders")
+    )
+    ranked = (
+        words.select("unit", "shingle")
+        .join(shared, "shingle")
+        .groupBy("unit")
+        .agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("ranked"))
+    )
+    # Shingles that a set must share with another of any size, and with one no smaller.
+    least = F.expr(f"({percent} * n + 99) div 100")
+    larger = F.expr(f"({2 * percent} * n + {99 + percent}) div {100 + percent}")
+    before = F.col("n") - F.size("ranked")
+    size = F.greatest(F.lit(0), F.col("n") - least + 1 - before).cast("int")
+    prefix = materialize(
+        sets.drop("shingles")
+        .join(ranked, "unit")
+        .select(
+            "unit", "id", "component", "stray", "n", larger.alias("larger"), before.alias("before"),
+            F.posexplode(F.slice("ranked", F.lit(1), size)).alias("k", "at"),
+        )
+        .select(
+            "unit", "id", "component", "stray", "n", "larger", "at.shingle",
+            (F.col("n") - F.col("before") - F.col("k")).alias("left"),
+            F.ceil(F.col("at.holders") / SALTED).cast("long").alias("salts"),
+        ),
+        "prefixes",
+    )
+    a = prefix.filter("left >= larger").withColumn("salt", F.pmod(F.xxhash64("unit"), F.col("salts")))
+    b = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    enough = f"({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent}"
+    met = (
+        a.alias("a")
+        .join(b.alias("b").hint("merge"), ["shingle", "salt"])
+        .filter(
+            "a.component <> b.component and (a.stray or b.stray)"
+            " and (a.n < b.n or (a.n = b.n and a.unit < b.unit))"
+            f" and least(a.left, b.left) >= {enough}"
+        )
+    )
+    return met.groupBy(
+        F.least("a.id", "b.id").alias("leader"),
+        F.greatest("a.id", "b.id").alias("id"),
+        F.least("a.component", "b.component").alias("low"),
+        F.greatest("a.component", "b.component").alias("high"),
+    ).agg(F.count("*").alias("common"))
+
+
+def _finish(
+    linked: DataFrame, met: DataFrame, tested: DataFrame, texts: DataFrame, percent: int
+) -> DataFrame:
+    """``linked`` with every link that members of one bucket of ``met`` still lack.
+
+    All candidates are verified, but for those that others have joined before: the most
+    promising pairs of two components come first.
+    """
+    open_ = materialize(
+        _in_mixed(met, linked).groupBy("id", "component").agg(F.max("stray").alias("stray")), "open-sets"
+    )
+    if open_.isEmpty():
+        return linked
+    pairs = _candidates(open_, texts, percent).join(tested, ["leader", "id"], "left_anti")
+    pairs = materialize(pairs, "candidates")
+    order = Window.partitionBy("low", "high").orderBy(F.desc("common"), "leader", "id")
+    first = pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FIRST)
+    first = materialize(first.select("leader", "id"), "pairs")
+    if first.isEmpty():
+        return linked
+    linked = _joined(linked, materialize(verify(first, texts, percent), "links"))
+    one = linked.select(F.col("id").alias("leader"), F.col("component").alias("low"))
+    other = linked.select("id", F.col("component").alias("high"))
+    rest = (
+        pairs.select("leader", "id")
+        .join(first, ["leader", "id"], "left_anti")
+        .join(one, "leader", "left")
+        .join(other, "id", "left")
+        .filter("coalesce(low, leader) <> coalesce(high, id)")
+        .select("leader", "id")
+    )
+    rest = materialize(rest, "pairs")
+    if rest.isEmpty():
+        return linked
+    return _joined(linked, materialize(verify(rest, texts, percent), "links"))
+
+
+def _joined(linked: DataFrame, links: DataFrame) -> DataFrame:
+    """``linked`` with more links: known components are stars already, only what joins them is new."""
+    if links.isEmpty():
+        return linked
+    stars = linked.select(F.col("component").alias("leader"), "id")
+    return components(stars.union(links))
+
+
 def _link(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(id, component) of the representatives that are linked with another.
 
@@ -277,10 +413,11 @@ def _link(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     one component, nothing is left to find in it.  Else its strays meet the other
     members again in buckets of two bands, then of three: sets that belong together
     share many bands, those that met by a common passage part, and each of the
-    smaller buckets has a leader of its own.
+    smaller buckets has a leader of its own.  What the first buckets then still hold
+    in several components goes to an exact search.
     """
     buckets = reps.select("id", F.posexplode("bands").alias("at", "bucket"))
-    linked = tested = None
+    linked = tested = whole = None
     for level in range(LEVELS):
         groups = buckets.groupBy("bucket").agg(
             F.count("*").alias("members"), F.min("id").alias("leader")
@@ -293,35 +430,19 @@ def _link(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         links = materialize(verify(pairs, texts, percent), "links")
         if linked is None:
             linked = components(links)
-        elif not links.isEmpty():
-            # Known components are stars already; only what joins them is new.
-            stars = linked.select(F.col("component").alias("leader"), "id")
-            linked = components(stars.union(links))
+        else:
+            linked = _joined(linked, links)
+        tested = pairs if tested is None else tested.union(pairs)
+        whole = met if whole is None else whole
         if level == LEVELS - 1:
             break
-        tested = pairs if tested is None else tested.union(pairs)
-        named = met.filter("members > 2").select("bucket", "at", "id").join(linked, "id", "left")
-        named = named.withColumn("component", F.coalesce("component", "id"))
-        parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        mixed = (
-            parts.groupBy("bucket")
-            .agg(
-                F.count("*").alias("parts"),
-                F.max(F.struct("n", F.col("component").alias("largest"))).alias("most"),
-            )
-            .filter("parts > 1")
-            .select("bucket", "most.largest")
-        )
-        open_ = materialize(
-            named.join(mixed, "bucket").select(
-                "id", "at", "bucket", (F.col("component") != F.col("largest")).alias("stray")
-            ),
-            "open-buckets",
-        )
+        open_ = materialize(_in_mixed(met, linked), "open-buckets")
         if open_.isEmpty():
+            if level == 0:
+                return linked
             break
         buckets = _finer(open_, reps)
-    return linked
+    return _finish(linked, whole, tested, texts, percent)
 
 
 def near_groups(
