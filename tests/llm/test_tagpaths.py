@@ -68,6 +68,28 @@ def test_markup(page, text):
     assert tagpaths.main_text(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='right-sidebar'>{0}</body>", "<body class='with-comments'><div>{0}</div></body>",
+    "<html class=no-sidebar><body id=overlay>{0}</body></html>",
+    "<body><article class='post share-enabled'>{0}</article></body>",
+    "<body><main id=search>{0}</main><footer>{1}</footer></body>",
+    "<body><form action=/x><nav>Home</nav><div>{0}</div><footer>{1}</footer></form></body>",
+    "<body><div class='widget'><nav>Home</nav><article>{0}</article></div></body>",
+    "<html><head><title>T</title><meta charset=utf-8><body>{0}</body></html>",
+    "<head><title>T</title>{0}", "<body>{0}<svg viewBox='0 0 1 1' /><math/></body>",
+    "<body><p><svg/></p>{0}</body>",
+])
+def test_a_mark_on_the_whole_page_drops_nothing(page):
+    text = f"<h1>Title</h1><p>{LONG}</p><p>Not <svg a='b' />so short, this.</p>"
+    got = tagpaths.main_text(page.format(text, "Some, other."))
+    assert got == f"Title\n{LONG}\nNot so short, this."
+
+
+def test_comments_longer_than_the_article_stay_out():
+    page = f"<article><p>{LONG}</p></article><div class=comments>" + f"<p>{LONG}</p>" * 9 + "</div>"
+    assert tagpaths.main_text(page) == LONG
+
+
 def test_long_and_nested_pages_take_linear_time():
     started = time.perf_counter()
     deep = "<div>" * 3000 + "<p>" + LONG + "</p>" + "</div>" * 3000

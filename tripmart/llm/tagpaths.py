@@ -23,6 +23,8 @@ from .common import append_columns
 # Width of the smoothing in steps between paths, and the share of the best ratio that is enough.
 SIGMA = 1.0
 THRESHOLD = 0.1
+# A marked container is kept where it holds more than this share of the page.
+MOST = 0.5
 # A block mostly made of links is a menu, whatever its path.
 MAX_LINK_SHARE = 0.5
 
@@ -40,6 +42,7 @@ CLOSED_BY = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
 }
+UNMARKED = frozenset("html body main article".split())
 AROUND = frozenset("nav header footer aside form button select menu dialog head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AROUND_WORDS = frozenset(
@@ -68,23 +71,30 @@ class Block(NamedTuple):
     text: str
     link_chars: int
     around: bool
+    # Numbers of the marked containers it is in, and whether an article or main element holds it.
+    marks: tuple[int, ...] = ()
+    article: bool = False
 
 
 class _Open(NamedTuple):
     name: str
     step: str
     around: bool
+    hidden: bool
+    number: int
 
 
-def _step(name: str, rest: str) -> tuple[str, bool]:
-    """The path step of a tag, and whether it marks what surrounds the article."""
+def _step(name: str, rest: str) -> tuple[str, bool, bool]:
+    """The path step of a tag, whether it marks what surrounds the article, and whether it hides."""
     marks = [(kind.lower(), "".join(m)) for kind, *m in _MARKS.findall(rest)] if rest else []
     words = {w.lower() for _, m in marks for w in _WORD.findall(m)}
     hidden = bool(rest) and bool(
         _HIDDEN.search(_QUOTED.sub("=", rest)) or re.search(r"display\s*:\s*none", rest, re.IGNORECASE)
     )
     classes = [m for kind, m in marks if kind == "class"]
-    return ".".join([name, *classes[:1]]), name in AROUND or hidden or bool(words & AROUND_WORDS)
+    # Classes of a page or an article describe it; a page may be hidden until it is loaded.
+    around = name not in UNMARKED and (name in AROUND or bool(words & AROUND_WORDS))
+    return ".".join([name, *classes[:1]]), around, hidden and name not in ("html", "body")
 
 
 def blocks(page: str) -> list[Block]:
@@ -99,21 +109,26 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(pieces).split())
         if text:
             own = [o for o in stack if o.name not in INLINE]
-            around = any(o.around for o in stack)
-            if around and own and own[-1].name in HEADINGS:
+            names = [o.name for o in stack]
+            inside = len(names)
+            if "article" in names and own[-1].name in HEADINGS:
                 # An article's own header may hold its heading.
-                names = [o.name for o in stack]
-                inside = names.index("article") if "article" in names else len(names)
-                around = any(
-                    o.around and not (i > inside and o.name == "header") for i, o in enumerate(stack)
-                )
-            out.append(Block(tuple(o.step for o in own), text, link_chars, around))
+                inside = names.index("article")
+            marks = tuple(
+                o.number for i, o in enumerate(stack) if o.around and not (i > inside and o.name == "header")
+            )
+            hidden = any(o.hidden for o in stack)
+            article = "article" in names or "main" in names
+            path = tuple(o.step for o in own)
+            out.append(Block(path, text, link_chars, hidden or bool(marks), () if hidden else marks, article))
         pieces.clear()
         link_chars = 0
 
     def text_until(stop: int) -> None:
         nonlocal link_chars
         if stop > at:
+            if stack and stack[-1].name == "head" and not page[at:stop].isspace():
+                pop_to(len(stack) - 1)
             decoded = html.unescape(page[at:stop])
             pieces.append(decoded)
             if links:
@@ -145,6 +160,8 @@ def blocks(page: str) -> list[Block]:
             pop_to(depth)
             continue
         if name in RAW:
+            if name in ("svg", "math") and m["rest"].endswith("/"):
+                continue
             end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             if name != "svg" and name != "math":
@@ -156,9 +173,14 @@ def blocks(page: str) -> list[Block]:
             elif name == "br":
                 pieces.append(" ")
             continue
-        step, around = _step(name, m["rest"])
+        if stack and stack[-1].name == "head":
+            # Any other tag ends a head that is left open.
+            close_block()
+            pop_to(len(stack) - 1)
+        step, around, hidden = _step(name, m["rest"])
+        opened = _Open(name, step, around, hidden, m.start())
         if name in INLINE:
-            stack.append(_Open(name, step, around))
+            stack.append(opened)
             links += name == "a"
             continue
         close_block()
@@ -173,12 +195,39 @@ def blocks(page: str) -> list[Block]:
         # Inline tags left open before a block do not reach into it.
         while stack and stack[-1].name in INLINE:
             pop_to(len(stack) - 1)
-        stack.append(_Open(name, step, around))
+        stack.append(opened)
     text_until(len(page))
     close_block()
     return out
 
 
+def _ratio(length: float, signs: float) -> float:
+    return log(1 + length) * (1 + signs)
+
+
+def keep_wrappers(found: list[Block]) -> list[Block]:
+    """``found`` without the marks of containers that hold most of the page.
+
+    Such a container wraps the page, unless an article or main element lies outside it.
+    """
+    if not any(b.marks for b in found):
+        return found
+    total, articles = 0.0, 0
+    held: dict[int, float] = {}
+    inner: dict[int, int] = {}
+    for b in found:
+        if b.around and not b.marks:
+            continue
+        mass = _ratio(max(0, len(b.text) - 2 * b.link_chars), len(_PUNCTUATION.findall(b.text)))
+        total += mass
+        articles += b.article
+        for m in b.marks:
+            held[m] = held.get(m, 0.0) + mass
+            inner[m] = inner.get(m, 0) + b.article
+    wrappers = {m for m in held if held[m] > MOST * total and inner[m] == articles}
+    return [b._replace(around=not wrappers.issuperset(b.marks)) if b.marks else b for b in found]
+
+
 def _distance(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     """Steps from one path's end to the other's by their common part, the last replaced for one."""
     common = 0
@@ -200,7 +249,7 @@ def path_ratios(found: list[Block]) -> dict[tuple[str, ...], float]:
         length[b.path] = length.get(b.path, 0) + max(0, len(b.text) - 2 * b.link_chars)
         signs[b.path] = signs.get(b.path, 0) + len(_PUNCTUATION.findall(b.text))
         count[b.path] = count.get(b.path, 0) + 1
-    raw = {p: log(1 + length[p] / count[p]) * (1 + signs[p] / count[p]) for p in length}
+    raw = {p: _ratio(length[p] / count[p], signs[p] / count[p]) for p in length}
     smoothed = {}
     for p in raw:
         near = [(exp(-_distance(p, q) ** 2 / (2 * SIGMA**2)), count[q] * raw[q], count[q]) for q in raw]
@@ -212,7 +261,7 @@ def main_text(page: str | None) -> str:
     """The article's blocks joined by line ends; empty if the page has none."""
     if not page:
         return ""
-    found = blocks(page)
+    found = keep_wrappers(blocks(page))
     ratios = path_ratios(found)
     enough = THRESHOLD * max(ratios.values(), default=0.0)
     return "\n".join(
