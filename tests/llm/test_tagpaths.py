@@ -85,6 +85,25 @@ def test_a_mark_on_the_whole_page_drops_nothing(page):
     assert got == f"Title\n{LONG}\nNot so short, this."
 
 
+@pytest.mark.parametrize("tag", ["article", "div class=story"])
+def test_tables_lists_and_links_of_the_article_stay(tag):
+    prose = "Some words, and more of them. " * 13
+    cells = "".join(f"<tr><td>cell {i}</td></tr>" for i in range(30))
+    page = (
+        f"<body><div class=page><ul><li><a href=/>Home</a><li><a href=/b>News</a><li><a href=/c>More</a></ul>"
+        f"<{tag}>" + f"<p>{prose}</p>" * 10 + f"<table>{cells}</table>"
+        f"<div class=facts><ul><li>short item<li>other item</ul></div><p><a href=/x>{LONG}</a></p>"
+        f"<ol><li>A. Writer, <a href=/y>A long title of a work that is referred to here</a></ol>"
+        f"</{tag.split()[0]}></div></body>"
+    )
+    got = tagpaths.main_text(page).split("\n")
+    assert got[:10] == [prose.strip()] * 10
+    assert got[10:] == [
+        *[f"cell {i}" for i in range(30)], "short item", "other item", LONG,
+        "A. Writer, A long title of a work that is referred to here",
+    ]
+
+
 def test_comments_longer_than_the_article_stay_out():
     page = f"<article><p>{LONG}</p></article><div class=comments>" + f"<p>{LONG}</p>" * 9 + "</div>"
     assert tagpaths.main_text(page) == LONG

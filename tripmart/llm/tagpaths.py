@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from itertools import groupby
 from math import exp, log
 from typing import NamedTuple
 
@@ -25,8 +26,10 @@ SIGMA = 1.0
 THRESHOLD = 0.1
 # A marked container is kept where it holds more than this share of the page.
 MOST = 0.5
-# A block mostly made of links is a menu, whatever its path.
+# A block mostly made of links is a menu; in the article's container, one or several blocks
+# of a path with so many links, which are so short.
 MAX_LINK_SHARE = 0.5
+MENU_LINKS, MENU_CHARS = 3, 40
 
 # Tags without an end, tags whose inside is not text, inline tags, tags that
 # an opening tag closes, and tags and names that mark everything around the article.
@@ -42,6 +45,8 @@ CLOSED_BY = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
 }
+# Tags that hold an article's paragraphs, rather than text of their own.
+CONTAINERS = frozenset("html body main article section div center form fieldset".split())
 UNMARKED = frozenset("html body main article".split())
 AROUND = frozenset("nav header footer aside form button select menu dialog head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -74,6 +79,7 @@ class Block(NamedTuple):
     # Numbers of the marked containers it is in, and whether an article or main element holds it.
     marks: tuple[int, ...] = ()
     article: bool = False
+    links: int = 0
 
 
 class _Open(NamedTuple):
@@ -102,10 +108,10 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[_Open] = []
     pieces: list[str] = []
-    links = link_chars = at = 0
+    links = link_chars = link_count = at = 0
 
     def close_block() -> None:
-        nonlocal link_chars
+        nonlocal link_chars, link_count
         text = " ".join("".join(pieces).split())
         if text:
             own = [o for o in stack if o.name not in INLINE]
@@ -120,9 +126,9 @@ def blocks(page: str) -> list[Block]:
             hidden = any(o.hidden for o in stack)
             article = "article" in names or "main" in names
             path = tuple(o.step for o in own)
-            out.append(Block(path, text, link_chars, hidden or bool(marks), () if hidden else marks, article))
+            out.append(Block(path, text, link_chars, hidden or bool(marks), () if hidden else marks, article, link_count))
         pieces.clear()
-        link_chars = 0
+        link_chars, link_count = 0, links
 
     def text_until(stop: int) -> None:
         nonlocal link_chars
@@ -182,6 +188,7 @@ def blocks(page: str) -> list[Block]:
         if name in INLINE:
             stack.append(opened)
             links += name == "a"
+            link_count += name == "a"
             continue
         close_block()
         # A block ends an open paragraph; list items, cells and the like end their equals.
@@ -257,20 +264,68 @@ def path_ratios(found: list[Block]) -> dict[tuple[str, ...], float]:
     return smoothed
 
 
+def container(found: list[Block], ratios: dict[tuple[str, ...], float]) -> tuple[str, ...]:
+    """Path of the element that holds the article.
+
+    That is what the paths above the threshold have in common or, where this is no
+    more than the page, what holds the path with the largest sum of ratios.
+    """
+
+    def holder(path: tuple[str, ...]) -> tuple[str, ...]:
+        depth = len(path)
+        while depth and path[depth - 1].split(".", 1)[0] not in CONTAINERS:
+            depth -= 1
+        return path[:depth]
+
+    enough = THRESHOLD * max(ratios.values())
+    sums: dict[tuple[str, ...], float] = {}
+    for b in found:
+        if not b.around and ratios[b.path] >= enough and b.link_chars <= MAX_LINK_SHARE * len(b.text):
+            sums[b.path] = sums.get(b.path, 0.0) + ratios[b.path]
+    best = max(sums, key=sums.get, default=())
+    for depth in range(len(best), 0, -1):
+        if best[depth - 1].split(".", 1)[0] in ("article", "main"):
+            return best[:depth]
+    common = best
+    for path in sums:
+        steps = 0
+        while steps < min(len(common), len(path)) and common[steps] == path[steps]:
+            steps += 1
+        common = common[:steps]
+    common = holder(common)
+    return common if common and common[-1].split(".", 1)[0] not in ("html", "body") else holder(best)
+
+
+def _menu(run: list[Block]) -> bool:
+    """Whether neighbours of one path are a list of many short links."""
+    size, links = sum(len(b.text) for b in run), sum(b.links for b in run)
+    linked = sum(b.link_chars for b in run)
+    return linked > MAX_LINK_SHARE * size and links >= MENU_LINKS and linked <= MENU_CHARS * links
+
+
 def main_text(page: str | None) -> str:
-    """The article's blocks joined by line ends; empty if the page has none."""
+    """The article's blocks joined by line ends; empty if the page has none.
+
+    Blocks of the article's container are kept, short and unpunctuated ones too, but
+    for menus; elsewhere, blocks of the paths whose ratio is enough.
+    """
     if not page:
         return ""
     found = keep_wrappers(blocks(page))
     ratios = path_ratios(found)
-    enough = THRESHOLD * max(ratios.values(), default=0.0)
-    return "\n".join(
-        b.text
-        for b in found
-        if not b.around
-        and ratios[b.path] >= enough
-        and b.link_chars <= MAX_LINK_SHARE * len(b.text)
-    )
+    if not ratios:
+        return ""
+    enough = THRESHOLD * max(ratios.values())
+    within = container(found, ratios)
+    out = []
+    for path, run in groupby((b for b in found if not b.around), key=lambda b: b.path):
+        run = list(run)
+        if path[: len(within)] == within:
+            if not _menu(run):
+                out += [b.text for b in run]
+        elif ratios[path] >= enough:
+            out += [b.text for b in run if b.link_chars <= MAX_LINK_SHARE * len(b.text)]
+    return "\n".join(out)
 
 
 def extract(pages: DataFrame, page: str = "html", to: str = "text", size: str = "n_chars") -> DataFrame:
