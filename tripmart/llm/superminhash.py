@@ -27,7 +27,7 @@ PERCENT = 75
 BANDS, ROWS = 48, 6
 SLOTS = BANDS * ROWS
 # Buckets that hold several components are refined up to this depth, each by the bands
-# that follow its own.
+# that follow its own.  What this doesn't find is left to the exact search.
 LEVELS, FOLLOWING = 3, 6
 # Holders of a shingle that meet in one task, and pairs of two components verified before the rest.
 SALTED, FIRST = 1 << 10, 8
