@@ -69,3 +69,12 @@ def test_query_equals_its_sql_twin(spark, sf_dir, duck, name):
 def test_entry_runs(spark, sf_dir):
     df = driver.entry(spark)
     assert df.count() > 0 and "demand_share" in df.columns
+
+
+def test_prices_come_from_the_whole_models(spark, sf_dir, monkeypatch):
+    from tripmart.operators import ml
+
+    specs = []
+    monkeypatch.setattr(ml, "fit", lambda rows, spec: specs.append(spec))
+    QUERIES["score_fare_tip_models"](spark, sf_dir)
+    assert specs == [ml.FARE_MODEL, ml.TIP_MODEL]

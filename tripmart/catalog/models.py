@@ -321,9 +321,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Prices from trained models: for valid requests only, never negative, tips for cards only."""
     rows = shapes.stored(_fare_rows(spark, sf_dir))
-    small = {"max_iter": 5, "max_depth": 4}
-    fare = ml.fit(rows, ml.FARE_MODEL._replace(**small))
-    tip = ml.fit(features.tip_features(rows), ml.TIP_MODEL._replace(**small))
+    fare = ml.fit(rows, ml.FARE_MODEL)
+    tip = ml.fit(features.tip_features(rows), ml.TIP_MODEL)
     requests = _requests(spark, sf_dir).drop("trip_distance")
     scored = forecast.score_fare_tip(
         requests, shapes.zone_table(spark, sf_dir), fare_model=fare, tip_model=tip
@@ -494,7 +493,7 @@ def _(spark, sf_dir):
     )
     spec = ml.ModelSpec(
         ["pu_location_id", "hour", "day_of_week", "temperature_f", "precipitation_mm"],
-        "demand", 512, max_depth=4, max_iter=5,
+        "demand", 512,
     )
     model = ml.fit(rows, spec)
     parts = {"demand": rows, "no_weather": rows.filter("temperature_f IS NULL")}
