@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact, hilbert, langid, linededup, mixing, mphindex, rules, superminhash, tagpaths
+from . import (
+    bpe,
+    centroids,
+    exact,
+    hilbert,
+    importance,
+    langid,
+    linededup,
+    mixing,
+    mphindex,
+    rules,
+    superminhash,
+    tagpaths,
+    wordtable,
+)
 from .common import table
 from .twins import TWINS
 
@@ -109,6 +123,25 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mphindex.with_starts(rows, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_rotated_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    coded = wordtable.encode(_texts(spark, sf_dir), path)
+    return wordtable.decode(coded, path).select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -122,6 +155,9 @@ QUERIES = {
         op8_tag_paths,
         op9_exact_dedup,
         op10_token_index,
+        op11_rotated_centroids,
+        op12_importance_draw,
+        op13_word_table,
     )
 }
 
