@@ -26,11 +26,10 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 48, 6
 SLOTS = BANDS * ROWS
-# Buckets that hold several components are refined up to this depth, each by the bands
-# that follow its own.  What this doesn't find is left to the exact search.
-LEVELS, FOLLOWING = 3, 6
-# Holders of a shingle that meet in one task, and pairs of two components verified before the rest.
-SALTED, FIRST = 1 << 10, 8
+# Holders of a shingle, or partners of a leader, that meet in one task; hot leaders at most.
+SALTED, HOT = 1 << 10, 10_000
+# Pairs of two components that are verified before the rest.
+FIRST = 8
 # Elements whose permutations are in memory together, and words kept per Python worker.
 CHUNK = 1 << 14
 CACHE_WORDS = 1 << 18
@@ -191,20 +190,32 @@ def shingle_sets(docs: DataFrame, text: str) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (leader, id) whose full shingle sets are similar enough.
+    """Pairs (leader, id) whose full shingle sets are similar enough; pairs are distinct.
 
     Only texts that a pair names are turned into sets.  The joins are shuffled at
     every size: how many pairs there are follows the data, and no bound is known.  A
-    leader of many pairs is a hot key of the last join, which AQE splits.
+    leader of many pairs gets a copy of its set for every SALTED of them.
     """
     named = pairs.select(F.col("id")).union(pairs.select("leader")).distinct()
     sets = materialize(shingle_sets(texts.join(named.hint("merge"), "id", "left_semi"), "text"), "shingle-sets")
+    counts = pairs.groupBy("leader").agg(F.count("*").alias("n"))
+    least = F.greatest(F.lit(SALTED), F.lit(pairs.count() // HOT))
+    # At most HOT leaders have more than a HOT-th of all pairs.
+    hot = F.broadcast(counts.filter(F.col("n") > least).withColumn("salts", F.ceil(F.col("n") / SALTED)))
+    hot = hot.select("leader", F.col("salts").cast("long"))
+    salts = F.coalesce("salts", F.lit(1).cast("long"))
+    salted = pairs.join(hot, "leader", "left").select(
+        "leader", "id", F.pmod(F.xxhash64("id"), salts).alias("salt")
+    )
     leaders = sets.select(F.col("id").alias("leader"), F.col("shingles").alias("others"))
+    leaders = leaders.join(hot, "leader", "left").select(
+        "leader", "others", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt")
+    )
     both = F.size(F.array_intersect("shingles", "others"))
     union = F.size("shingles") + F.size("others") - both
     return (
-        pairs.join(sets.hint("merge"), "id")
-        .join(leaders.hint("merge"), "leader")
+        salted.join(sets.hint("merge"), "id")
+        .join(leaders.hint("merge"), ["leader", "salt"])
         .filter(100 * both >= percent * union)
         .select("leader", "id")
         .distinct()
@@ -249,35 +260,13 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
-def _finer(open_: DataFrame, reps: DataFrame) -> DataFrame:
-    """Buckets of two bands for the members of ``open_`` that some stray shares one with.
-
-    A stray is a member outside its bucket's largest component.  Only strays can
-    still lack a link there, so members of that component count where a stray
-    agrees with them on a further band.
-    """
-    follow = F.transform(
-        F.sequence(F.lit(1), F.lit(FOLLOWING)), lambda k: ((F.col("p.at") + k) % BANDS).cast("int")
-    )
-    # One row per member meets its bands; its places are as many as bands and further bands.
-    places = open_.groupBy("id").agg(F.collect_list(F.struct("bucket", "at", "stray")).alias("places"))
-    split = (
-        places.join(reps.select("id", "bands").hint("merge"), "id")
-        .select("id", "bands", F.explode("places").alias("p"))
-        .select("id", "bands", "p.bucket", "p.stray", F.explode(follow).alias("at"))
-        .select("id", "at", "stray", F.xxhash64("bucket", F.get("bands", F.col("at"))).alias("bucket"))
-    )
-    wanted = split.filter("stray").select("bucket").distinct()
-    return materialize(split.drop("stray").join(wanted, "bucket", "left_semi"), "buckets")
-
-
 def _in_mixed(met: DataFrame, linked: DataFrame) -> DataFrame:
-    """Members (id, component, at, bucket, stray) of the buckets that hold several components.
+    """Members (id, component, stray) of the buckets that hold several components.
 
     A bucket of two is left out, as its members were compared.  A stray is a member
-    outside its bucket's largest component.
+    outside the largest component of one of its buckets.
     """
-    named = met.filter("members > 2").select("bucket", "at", "id").join(linked, "id", "left")
+    named = met.filter("members > 2").select("bucket", "id").join(linked, "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = (
@@ -289,9 +278,8 @@ def _in_mixed(met: DataFrame, linked: DataFrame) -> DataFrame:
         .filter("parts > 1")
         .select("bucket", "most.largest")
     )
-    return named.join(mixed, "bucket").select(
-        "id", "component", "at", "bucket", (F.col("component") != F.col("largest")).alias("stray")
-    )
+    stray = F.max(F.col("component") != F.col("largest")).alias("stray")
+    return named.join(mixed, "bucket").groupBy("id", "component").agg(stray)
 
 
 def _candidates(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -368,9 +356,7 @@ def _finish(
     All candidates are verified, but for those that others have joined before: the most
     promising pairs of two components come first.
     """
-    open_ = materialize(
-        _in_mixed(met, linked).groupBy("id", "component").agg(F.max("stray").alias("stray")), "open-sets"
-    )
+    open_ = materialize(_in_mixed(met, linked), "open-sets")
     if open_.isEmpty():
         return linked
     pairs = _candidates(open_, texts, percent).join(tested, ["leader", "id"], "left_anti")
@@ -410,39 +396,15 @@ def _link(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     Each member of a bucket is compared with the bucket's smallest id only, so a
     bucket makes fewer pairs than it has members.  Where its members then are in
-    one component, nothing is left to find in it.  Else its strays meet the other
-    members again in buckets of two bands, then of three: sets that belong together
-    share many bands, those that met by a common passage part, and each of the
-    smaller buckets has a leader of its own.  What the first buckets then still hold
+    one component, nothing is left to find in it.  What the buckets then still hold
     in several components goes to an exact search.
     """
-    buckets = reps.select("id", F.posexplode("bands").alias("at", "bucket"))
-    linked = tested = whole = None
-    for level in range(LEVELS):
-        groups = buckets.groupBy("bucket").agg(
-            F.count("*").alias("members"), F.min("id").alias("leader")
-        )
-        met = materialize(buckets.join(groups.filter("members > 1"), "bucket"), "buckets")
-        pairs = met.filter("id <> leader").select("leader", "id").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["leader", "id"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        links = materialize(verify(pairs, texts, percent), "links")
-        if linked is None:
-            linked = components(links)
-        else:
-            linked = _joined(linked, links)
-        tested = pairs if tested is None else tested.union(pairs)
-        whole = met if whole is None else whole
-        if level == LEVELS - 1:
-            break
-        open_ = materialize(_in_mixed(met, linked), "open-buckets")
-        if open_.isEmpty():
-            if level == 0:
-                return linked
-            break
-        buckets = _finer(open_, reps)
-    return _finish(linked, whole, tested, texts, percent)
+    buckets = reps.select("id", F.explode("bands").alias("bucket"))
+    groups = buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("id").alias("leader"))
+    met = materialize(buckets.join(groups.filter("members > 1"), "bucket"), "buckets")
+    pairs = materialize(met.filter("id <> leader").select("leader", "id").distinct(), "pairs")
+    linked = components(materialize(verify(pairs, texts, percent), "links"))
+    return _finish(linked, met, pairs, texts, percent)
 
 
 def near_groups(
