@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import publish, silver
 from ..session import materialize, scratch_path
 from ..sources.envelopes import trips_to_envelope
-from ..streaming import bronze, live
+from ..streaming import bronze, live, merged
 from . import shapes
 from .registry import query
 
@@ -114,6 +114,79 @@ def _(spark, sf_dir):
     return _drained(spark, live.stream_demand(trips), "stream-demand")
 
 
+@query(
+    "stream_demand_merged",
+    f"""
+    SELECT (user_id % {shapes.ZONES} + 1)::INT AS pu_location_id,
+      date_trunc('hour', ts)::TIMESTAMP AS pickup_hour, count(*) AS demand
+    FROM events GROUP BY 1, 2
+    """,
+)
+def _(spark, sf_dir):
+    """All hours of all events, which arrive in several files and out of order."""
+    base = scratch_path(spark, "stream-merged")
+    rows = shapes.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("pickup_datetime"),
+        (F.col("user_id") % shapes.ZONES + 1).cast("int").alias("pu_location_id"),
+    )
+    rows.repartition(8, F.date_trunc("day", "pickup_datetime")).write.parquet(f"{base}/arrived")
+    trips = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    table = merged.demand_table(spark, f"{base}/demand")
+    # The second run finds nothing new and changes nothing.
+    for _run in range(2):
+        merged.merge_demand(
+            trips.parquet(f"{base}/arrived"), table, f"{base}/checkpoint", fold_every=3
+        ).awaitTermination()
+    return table.read()
+
+
+@query(
+    "stream_three_feeds",
+    """
+    SELECT feed, topic, "partition", "offset", count(*) OVER (PARTITION BY feed) AS feed_rows
+    FROM (
+      SELECT taxi_type AS feed, 'nyc_taxi_' || taxi_type AS topic, (e % 4)::INT AS "partition",
+        CASE WHEN copy = 2 THEN -(e + 1) ELSE e END AS "offset" FROM copies
+      UNION ALL SELECT 'weather', 'weather_stream', (event_id % 2)::INT, event_id FROM events)
+    """,
+)
+def _(spark, sf_dir):
+    """Yellow, green and weather folders drained side by side; rows as the listener counts them."""
+    base = scratch_path(spark, "stream-feeds")
+    trips = shapes.bronze_trips(spark, sf_dir)
+    logs = {
+        "yellow": trips.filter("taxi_type = 'yellow'"),
+        "green": trips.filter("taxi_type = 'green'"),
+        "weather": shapes.bronze_weather(spark, sf_dir),
+    }
+    feeds = []
+    for name, log in logs.items():
+        log.select(
+            F.lit(None).cast("binary").alias("key"),
+            F.col("json_data").cast("binary").alias("value"),
+            "topic",
+            "partition",
+            "offset",
+            F.col("kafka_timestamp").alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        ).write.parquet(f"{base}/log/{name}")
+        events = bronze.read_envelope_stream(spark, f"{base}/log/{name}")
+        topic = "weather_stream" if name == "weather" else f"nyc_taxi_{name}"
+        feeds.append(
+            bronze.Feed(
+                events, *bronze.topic_tag(topic), f"{base}/bronze/{name}", f"{base}/checkpoint/{name}"
+            )
+        )
+    result = None
+    for done in bronze.run_ingestion(spark, feeds):
+        part = spark.read.parquet(done.feed.path).select(
+            F.col(done.feed.tag).alias("feed"), "topic", "partition", "offset",
+            F.lit(done.rows).cast("long").alias("feed_rows"),
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 @query(
     "stream_dedup",
     """

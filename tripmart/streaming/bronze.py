@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import constants as K
 
@@ -109,14 +110,76 @@ def topic_tag(topic: str) -> tuple[str, str]:
     return "taxi_type", "yellow" if "yellow" in topic else "green"
 
 
+class FeedProgress(StreamingQueryListener):
+    """What the queries of a run have done: batches, rows and errors by run id."""
+
+    def __init__(self) -> None:
+        self._news = threading.Condition()
+        self.rows: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: dict[str, str | None] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        key = str(progress.runId)
+        with self._news:
+            self.rows[key] = self.rows.get(key, 0) + progress.numInputRows
+            self.batches[key] = self.batches.get(key, 0) + (progress.numInputRows > 0)
+            self._news.notify_all()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._news:
+            self.ended[str(event.runId)] = event.exception
+            self._news.notify_all()
+
+    def wait(
+        self, queries: Sequence[StreamingQuery], *, for_all: bool, grace: float = 30.0
+    ) -> None:
+        """Return when one query has failed, or all (else any) of them have ended.
+
+        Events come a little after the fact; should they not come at all, the queries'
+        own state decides after ``grace`` seconds.
+        """
+        wanted = [str(q.runId) for q in queries]
+
+        def settled() -> bool:
+            found = [k for k in wanted if k in self.ended]
+            failed = any(self.ended[k] for k in found)
+            return failed or len(found) == len(wanted) or (not for_all and bool(found))
+
+        with self._news:
+            while not self._news.wait_for(settled, grace):
+                active = [q.isActive for q in queries]
+                if not any(active) or (not all(active) and not for_all):
+                    return
+
+
+class Ingested(NamedTuple):
+    """A feed after its run."""
+
+    feed: Feed
+    query: StreamingQuery
+    batches: int
+    rows: int
+
+
 def run_ingestion(
     spark: SparkSession, feeds: Sequence[Feed], *, available_now: bool = True
-) -> list[StreamingQuery]:
-    """Run several feeds side by side.
+) -> list[Ingested]:
+    """Run several feeds side by side and say what each has ingested.
 
-    Draining waits for all of them; continuous mode waits until any one ends.
-    When one fails, the feeds started here are stopped and the error is raised.
+    Draining waits for all of them; continuous mode waits until any one ends.  A
+    listener tells of the first that fails, whichever it is: the feeds still running
+    are stopped at once and its error is raised.
     """
+    progress = FeedProgress()
+    spark.streams.addListener(progress)
     running: list[StreamingQuery] = []
     try:
         for feed in feeds:
@@ -126,13 +189,17 @@ def run_ingestion(
                     bronze, feed.path, feed.checkpoint, available_now=available_now
                 )
             )
-        if available_now:
-            for query in running:
-                query.awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
+        progress.wait(running, for_all=available_now)
+        for query in running:
+            if query.exception() is not None:
+                raise query.exception()
     except BaseException:
         for query in running:
             query.stop()
         raise
-    return running
+    finally:
+        spark.streams.removeListener(progress)
+    return [
+        Ingested(feed, q, progress.batches.get(str(q.runId), 0), progress.rows.get(str(q.runId), 0))
+        for feed, q in zip(feeds, running, strict=True)
+    ]
