@@ -15,16 +15,15 @@ from tripmart import catalog
 
 QUERIES = catalog.queries()
 TWINS = catalog.oracle_sql()
-NO_TWIN = {
-    "hash_sample", "random_split", "train_demand", "train_fare", "train_tip",
-    "volume_median_approx",
-}
+NO_TWIN = {"train_demand", "train_fare", "train_tip", "cross_validate", "volume_median_approx"}
 CROSS_SECTION = [
     "parse_mixed", "normalize_trips", "hourly_weather", "zone_demand_from_json", "core_table",
     "fare_tip_features", "payment_tip_summary_exact", "refresh_zone_names", "demand_lags_time",
     "summary", "zone_summary_share", "json_fields", "distribution", "quality_summary",
     "weather_conformance", "route_estimates", "polygon_centroids", "time_series_folds",
     "fallback_fare_tip", "stream_demand", "publish_cycle", "volume_median_exact", "volume_dedup",
+    "stream_demand_merged", "stream_three_feeds", "partition_backfill", "payload_sketches",
+    "hash_sample", "random_split", "feature_gains", "spikes", "envelope_source_files",
 ]
 COMPARED = sorted(TWINS) if os.environ.get("TRIPMART_ALL") else CROSS_SECTION
 

@@ -106,6 +106,67 @@ def test_expanding_folds_with_gap(spark):
         ml.time_series_folds(demand.limit(3), n_splits=5)
 
 
+def test_marked_folds_take_one_scan(spark, plan_of):
+    demand = series(spark, range(120))
+    sides = ml.fold_sides(ml.mark_folds(demand, n_splits=5, gap=4)).select("fold", "side", "demand")
+    assert plan_of(sides).count("Scan") == 1 and "Exchange" not in plan_of(sides)
+    rows = sides.collect()
+    for i, (train, test) in enumerate(ml.time_series_folds(demand, n_splits=5, gap=4), start=1):
+        for side, df in (("train", train), ("test", test)):
+            want = sorted(r.demand for r in df.collect())
+            assert df.columns == demand.columns
+            assert sorted(r.demand for r in rows if (r.fold, r.side) == (i, side)) == want
+    # Hours with several rows stay whole, and a gap of all rows before leaves none to train on.
+    double = demand.unionByName(series(spark, range(120), zone=2))
+    folds = ml.time_series_folds(double, n_splits=3, gap=500)
+    assert [a.count() for a, _ in folds] == [0, 0, 0]
+    assert sum(b.count() for _, b in folds) == 180
+
+
+def test_spine_fills_the_calendar(spark):
+    known = full(series(spark, (0, 5, 30), zone=1).unionByName(series(spark, (3, 5), zone=2)))
+    dense = features.hourly_spine(known)
+    assert dense.dtypes == known.dtypes and dense.count() == 2 * 31
+    rows = {(r.pu_location_id, r.pickup_hour): r for r in dense.collect()}
+    there = {(r.pu_location_id, r.pickup_hour): r for r in known.collect()}
+    assert {k: rows[k] for k in there} == there
+    assert sum(r.demand for r in rows.values()) == sum(r.demand for r in there.values())
+    missing = rows[2, T0 + timedelta(hours=30)]
+    assert (missing.demand, missing.hour, missing.temperature_f) == (0, 6, 36.0)
+    assert rows[1, T0 + timedelta(hours=7)].temperature_f is None
+    assert features.hourly_spine(known.limit(0)).count() == 0
+
+
+def test_portable_hash_equals_md5(spark):
+    import hashlib
+
+    from tripmart.functions import portable_bucket
+
+    df = spark.createDataFrame([(1, "a"), (None, "é"), (7, None)], "i int, s string")
+    got = [r.b for r in df.select(portable_bucket(["i", "s"], 1000, 5).alias("b")).collect()]
+    want = [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 1000 for t in ("5|1|a", "5||é", "5|7|")]
+    assert got == want
+
+
+def test_gains_and_permutation_find_a_planted_signal(spark, tmp_path):
+    spec = ml.ModelSpec(["a", "b", "c"], "y", 2, max_depth=3, max_iter=5)
+    rows = spark.range(600).select(
+        "id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("c"))
+    rows = rows.withColumn("y", F.col("b") * 10 + F.col("a"))
+    model = ml.fit(rows, spec)
+    path = str(tmp_path / "model")
+    model.write().save(path)
+    gains = {r.feature: r for r in ml.split_gains(spark, path, model, spec).collect()}
+    assert set(gains) == {"a", "b", "c"} and gains["b"].gain > 10 * max(gains["a"].gain, gains["c"].gain)
+    assert sum(r.splits for r in gains.values()) > 5
+    first = ml.permutation_importance(model, rows, spec, ["id"], bucket_rows=100)
+    again = ml.permutation_importance(model, rows.repartition(5), spec, ["id"], bucket_rows=100)
+    rise = {r.feature: r.rise for r in first.collect()}
+    assert rise["b"] > 10 > abs(rise["a"]) and abs(rise["c"]) < 1
+    assert {r.feature: round(r.rise, 9) for r in again.collect()} == {k: round(v, 9) for k, v in rise.items()}
+
+
 def test_random_split_ignores_partitioning(spark):
     df = spark.range(1000).withColumn("x", F.col("id") * 2)
     train, test = ml.random_split(df)

@@ -407,14 +407,14 @@ def _(spark, sf_dir):
     """
     SELECT d.pu_location_id, d.pickup_hour, d.demand, zone_mean,
       round(zone_std, 6) AS zone_std, round((d.demand - zone_mean) / zone_std, 6) AS z_score
-    FROM district_demand d JOIN (
+    FROM dense_demand d JOIN (
       SELECT pu_location_id, avg(demand) AS zone_mean, stddev_pop(demand) AS zone_std
-      FROM district_demand GROUP BY 1) s ON s.pu_location_id = d.pu_location_id
+      FROM dense_demand GROUP BY 1) s ON s.pu_location_id = d.pu_location_id
     WHERE zone_std > 0 AND abs((d.demand - zone_mean) / zone_std) > 2.5
     """,
 )
 def _(spark, sf_dir):
-    found = q.spikes(shapes.stored(shapes.district_demand(spark, sf_dir)), 2.5)
+    found = q.spikes(shapes.stored(shapes.dense_demand(spark, sf_dir)), 2.5)
     return rounded(found, "zone_std", "z_score")
 
 

@@ -276,7 +276,14 @@ def _(spark, sf_dir):
     return features.tip_features(rows).drop(*_NOT_COMPARED)
 
 
-@query("hash_sample")
+@query(
+    "hash_sample",
+    """
+    SELECT * EXCLUDE (gold_processed_timestamp) FROM fare_tip
+    WHERE ('0x' || left(md5('|' || pu_location_id || '|' || "hour" || '|' || trip_distance), 8))
+      ::BIGINT % 100 < 20
+    """,
+)
 def _(spark, sf_dir):
     rows = features.hash_sample(shapes.fare_tip(spark, sf_dir), 20)
     return rows.drop("gold_processed_timestamp")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import features, forecast, ml, ordering
 from ..plans import dashboard as q
+from ..session import scratch_path
 from . import shapes
 from .dashboard import rounded
 from .quality import HAVERSINE
@@ -43,16 +44,15 @@ def _(spark, sf_dir):
 @query(
     "forecast_metrics_by_zone",
     f"""
-    {_METRICS.replace("SELECT", "SELECT pu_location_id,", 1).replace(", 6)", " + 3e-8, 6)")}
+    {_METRICS.replace("SELECT", "SELECT pu_location_id,", 1).replace(", 6)", ", 10)")}
     FROM (SELECT *, demand - predicted_demand AS e FROM scored) GROUP BY 1
     """,
 )
 def _(spark, sf_dir):
     scores = forecast.metrics(shapes.scored(spark, sf_dir), by=["pu_location_id"])
-    # Errors are multiples of 0.05, so many results lie exactly on a rounding border;
-    # the same small shift on both sides moves them off it.
-    figures = ("rmse", "mae", "mape", "r2")
-    return rounded(scores.withColumns({c: F.col(c) + 3e-8 for c in figures}), *figures)
+    # Errors are multiples of 0.05 and a zone has few rows: ten digits hold many of the
+    # figures in full, where six would cut them on a rounding border.
+    return scores.withColumns({c: F.round(c, 10) for c in ("rmse", "mae", "mape", "r2")})
 
 
 _PROFILE = """count(demand) AS "rows", round(avg(demand), 6) AS actual_mean,
@@ -388,19 +388,32 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    folds = None
-    demand = shapes.stored(shapes.demand(spark, sf_dir))
-    for i, (train, test) in enumerate(ml.time_series_folds(demand)):
-        sides = train.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionAll(
-            test.select(F.lit(0).alias("a"), F.lit(1).alias("b"))
-        )
-        one = sides.agg(
-            F.lit(i + 1).cast("bigint").alias("fold"),
-            F.sum("a").alias("train_rows"),
-            F.sum("b").alias("test_rows"),
-        )
-        folds = one if folds is None else folds.unionByName(one)
-    return folds
+    """All folds from one scan of the marked rows."""
+    marked = ml.mark_folds(shapes.stored(shapes.demand(spark, sf_dir)))
+    return ml.fold_sides(marked).groupBy(F.col("fold").cast("bigint").alias("fold")).agg(
+        F.count_if(F.col("side") == "train").alias("train_rows"),
+        F.count_if(F.col("side") == "test").alias("test_rows"),
+    )
+
+
+@query(
+    "early_stopping_tail",
+    """
+    SELECT pickup_hour >= (SELECT pickup_hour FROM (
+        SELECT pickup_hour, row_number() OVER (ORDER BY pickup_hour) AS rn, count(*) OVER () AS n
+        FROM demand) WHERE rn = floor(n * 0.9::DOUBLE) + 1) AS validates,
+      count(*) AS "rows", min(pickup_hour) AS first_hour, max(pickup_hour) AS last_hour
+    FROM demand GROUP BY 1
+    """,
+)
+def _(spark, sf_dir):
+    """The last tenth of the rows in time decides when training stops."""
+    marked = ml.early_stopping_tail(shapes.stored(shapes.demand(spark, sf_dir)))
+    return marked.groupBy(F.col("_validation").alias("validates")).agg(
+        F.count("*").alias("rows"),
+        F.min("pickup_hour").alias("first_hour"),
+        F.max("pickup_hour").alias("last_hour"),
+    )
 
 
 @query(
@@ -416,14 +429,20 @@ def _(spark, sf_dir):
     return ordering.with_row_index(demand, "pickup_hour", ["pu_location_id"])
 
 
-@query("random_split")
+@query(
+    "random_split",
+    """
+    SELECT CASE WHEN ('0x' || left(md5('42|' || "offset" || '|' || taxi_type), 8))::BIGINT % 10000
+        < 2000 THEN 'test' ELSE 'train' END AS side,
+      "offset", pu_location_id FROM trips
+    """,
+)
 def _(spark, sf_dir):
-    rows = shapes.fare_tip(spark, sf_dir).drop("gold_processed_timestamp")
-    train, test = ml.random_split(rows)
-    sides = train.select(F.lit("train").alias("side")).unionAll(
-        test.select(F.lit("test").alias("side"))
-    )
-    return sides.groupBy("side").agg(F.count("*").alias("rows"))
+    """Which trips train and which test, as any engine draws them."""
+    trips = shapes.typed_trips(spark, sf_dir)
+    sides = zip(("train", "test"), ml.random_split(trips, keys=["offset", "taxi_type"]), strict=True)
+    train, test = (df.select(F.lit(side).alias("side"), "offset", "pu_location_id") for side, df in sides)
+    return train.unionAll(test)
 
 
 @query(
@@ -453,13 +472,69 @@ def _(spark, sf_dir):
 # --- Training (no SQL twin for the scores) -----------------------------------------
 
 
+_PLANTED = ml.ModelSpec(
+    ["trip_distance", "pu_location_id", "hour", "day_of_week", "passenger_count"],
+    "label", 2, max_depth=4, max_iter=10,
+)
+
+
+@query(
+    "feature_gains",
+    """
+    SELECT method, feature, 5::BIGINT AS features, true AS has_gain
+    FROM (
+      SELECT unnest(['trip_distance', 'pu_location_id', 'hour', 'day_of_week', 'passenger_count'])
+          AS feature,
+        unnest([abs(corr(trip_distance, label)), abs(corr(pu_location_id, label)),
+                abs(corr("hour", label)), abs(corr(day_of_week, label)),
+                abs(corr(passenger_count, label))]) AS strength
+      FROM (SELECT *, trip_distance::DOUBLE * 3 + "hour" / 4.0::DOUBLE AS label FROM fare_tip)
+      ORDER BY strength DESC LIMIT 1),
+      (VALUES ('split gain'), ('permutation')) m(method)
+    """,
+)
+def _(spark, sf_dir):
+    """A model of a planted signal: what its trees and a permutation say matters most."""
+    trips = shapes.fare_tip(spark, sf_dir).drop("gold_processed_timestamp").withColumns(
+        {
+            "label": F.col("trip_distance").cast("double") * 3 + F.col("hour") / F.lit(4.0),
+            "row": F.monotonically_increasing_id(),
+        }
+    )
+    rows = shapes.stored(trips)
+    model = ml.fit(rows, _PLANTED)
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    gains = ml.split_gains(spark, path, model, _PLANTED).select("feature", "gain")
+    permuted = ml.permutation_importance(model, rows, _PLANTED, ["row"])
+    found = None
+    for name, scores in (("split gain", gains), ("permutation", permuted.select("feature", F.col("rise").alias("gain")))):
+        scores = shapes.stored(scores)
+        one = ml.importance_shares(scores, 1).select(
+            F.lit(name).alias("method"),
+            "feature",
+            scores.agg(F.count("*")).scalar().alias("features"),
+            (F.col("gain") > 0).alias("has_gain"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+# The published model looks back a week; every zone has that many hours on the calendar.
 @query("train_demand")
 def _(spark, sf_dir):
-    rows = features.demand_features(shapes.district_demand(spark, sf_dir))
+    rows = features.demand_features(shapes.dense_demand(spark, sf_dir))
     _, scores = ml.train_demand(rows)
     return scores
 
 
+@query("cross_validate")
+def _(spark, sf_dir):
+    """Spread of the error over five folds of all zones, with trees cut short to five."""
+    rows = features.demand_features(shapes.dense_demand(spark, sf_dir))
+    return ml.cross_validate(rows, spec=ml.DEMAND_MODEL._replace(max_iter=5))
+
+
 def _fare_rows(spark, sf_dir):
     rows = features.fare_features(shapes.fare_tip(spark, sf_dir))
     return rows.drop("gold_processed_timestamp")
@@ -481,22 +556,25 @@ def _(spark, sf_dir):
     "model_row_accounting",
     """
     SELECT part, count(*) AS rows_given, count(*) AS rows_scored
-    FROM (SELECT 'demand' AS part FROM demand UNION ALL SELECT 'no_weather' FROM demand
-          WHERE temperature_f IS NULL)
+    FROM (SELECT 'demand' AS part FROM dense_demand
+          UNION ALL SELECT 'no_weather' FROM dense_demand
+          WHERE temperature_f IS NULL OR precipitation_mm IS NULL)
     GROUP BY part
     """,
 )
 def _(spark, sf_dir):
-    """Every zone-hour gets a prediction, those without weather included."""
+    """Every zone-hour gets a prediction, those without weather or history included.
+
+    The demand model as it is trained, on the rows that have a history.
+    """
     rows = shapes.stored(
-        shapes.demand(spark, sf_dir).withColumn("hour_of_day", F.col("hour").cast("double"))
+        features.demand_features(shapes.dense_demand(spark, sf_dir), complete_only=False)
     )
-    spec = ml.ModelSpec(
-        ["pu_location_id", "hour", "day_of_week", "temperature_f", "precipitation_mm"],
-        "demand", 512,
-    )
-    model = ml.fit(rows, spec)
-    parts = {"demand": rows, "no_weather": rows.filter("temperature_f IS NULL")}
+    model, _ = ml.train_demand(rows.dropna(subset=features.REQUIRED_LAGS))
+    parts = {
+        "demand": rows,
+        "no_weather": rows.filter("temperature_f IS NULL OR precipitation_mm IS NULL"),
+    }
     return ml.row_accounting(model, parts).filter("rows_given > 0")
 
 

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import forecast, ml, profile, publish, quality
-from ..session import scratch_path
-from ..sources import read_report, read_tagged_union, read_zones, write_partitioned, write_report
-from ..sources.readers import read_metrics
+from ..operators import forecast, ml, profile, publish, quality, silver, sketches
+from ..session import materialize, scratch_path
+from ..sources import (
+    read_report,
+    read_tagged_union,
+    read_zones,
+    rewrite_partitions,
+    trips_to_envelope,
+    write_partitioned,
+    write_report,
+)
+from ..sources.readers import collect_small, read_metrics, sample, try_read
 from ..sources.writers import write_csv
 from . import shapes
 from .quality import MEASURES
@@ -62,6 +70,168 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "partition_backfill",
+    """
+    SELECT strftime(l_shipdate, '%Y-%m') AS pickup_year_month, count(*) AS items,
+      (sum(l_linenumber) * CASE strftime(l_shipdate, '%Y-%m') WHEN '1995-03' THEN 10 ELSE 1 END)
+        ::BIGINT AS line_sum
+    FROM lineitem GROUP BY 1
+    """,
+)
+def _(spark, sf_dir):
+    """Line items by month; the corrected rows of one month then take that month's place."""
+    path = scratch_path(spark, "backfill")
+    items = shapes.table(spark, sf_dir, "lineitem").select(
+        "l_linenumber", F.date_format("l_shipdate", "yyyy-MM").alias("pickup_year_month")
+    )
+    write_partitioned(items, path, ["pickup_year_month"])
+    corrected = items.filter("pickup_year_month = '1995-03'").withColumn(
+        "l_linenumber", F.col("l_linenumber") * 10
+    )
+    rewrite_partitions(corrected, path, ["pickup_year_month"])
+    back = spark.read.schema("l_linenumber bigint, pickup_year_month string").parquet(path)
+    return back.groupBy("pickup_year_month").agg(
+        F.count("*").alias("items"), F.sum("l_linenumber").alias("line_sum")
+    )
+
+
+@query(
+    "payload_sketches",
+    """
+    SELECT topic, count(*) AS event_rows, 0::BIGINT AS missing_payloads,
+      true AS p50_in_bounds, true AS p95_in_bounds, true AS distinct_in_bounds,
+      true AS sums_agree
+    FROM (SELECT 'nyc_taxi_' || taxi_type AS topic FROM copies
+          UNION ALL SELECT 'weather_stream' FROM events) GROUP BY 1
+    """,
+)
+def _(spark, sf_dir):
+    """Sketches of all envelopes by topic and day, stored, merged, and held against exact counts."""
+    columns = ["topic", "partition", "offset", "json_data"]
+    trips = shapes.bronze_trips(spark, sf_dir).select(*columns, "ingestion_date")
+    weather = shapes.bronze_weather(spark, sf_dir).select(
+        *columns, F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("ingestion_date")
+    )
+    envelopes = materialize(trips.unionByName(weather), "envelopes")
+    path = scratch_path(spark, "sketches")
+    write_partitioned(sketches.daily_sketches(envelopes), path, ["ingestion_date"])
+    merged = sketches.merged_profile(spark.read.parquet(path))
+    size = F.length("json_data")
+    exact = (
+        envelopes.join(F.broadcast(merged), "topic")
+        .groupBy("topic", "event_rows", "missing_payloads", "distinct_records", "payload_chars")
+        .agg(
+            # Share of rows below, and up to, the estimated quantiles.
+            *[
+                F.struct(F.avg((size < F.col(c)).cast("int")), F.avg((size <= F.col(c)).cast("int")))
+                .alias(name)
+                for name, c in (("p50", "p50_payload_chars"), ("p95", "p95_payload_chars"))
+            ],
+            F.countDistinct("partition", "offset").alias("records"),
+            F.sum(size).alias("chars"),
+        )
+    )
+
+    def in_bounds(name, p):
+        low, high = F.col(f"{name}.col1"), F.col(f"{name}.col2")
+        off = F.lit(sketches.RANK_ERROR)
+        return ((low <= p + off) & (high >= p - off)).alias(f"{name}_in_bounds")
+
+    apart = F.abs(F.col("distinct_records") - F.col("records"))
+    return exact.select(
+        "topic",
+        "event_rows",
+        "missing_payloads",
+        in_bounds("p50", F.lit(0.5)),
+        in_bounds("p95", F.lit(0.95)),
+        (apart <= 3 * sketches.KEY_ERROR * F.col("records")).alias("distinct_in_bounds"),
+        (F.col("payload_chars") == F.col("chars")).alias("sums_agree"),
+    )
+
+
+@query(
+    "envelope_source_files",
+    """
+    SELECT e AS event, 'nyc_taxi_' || taxi_type AS topic,
+      taxi_type || '_tripdata_2024-' || lpad(month(pickup)::VARCHAR, 2, '0') || '.parquet'
+        AS source_file,
+      z.borough AS pickup_zone_borough, z.zone AS pickup_zone_name
+    FROM trip_rows LEFT JOIN zones z ON z.location_id = pu_location_id
+    """,
+)
+def _(spark, sf_dir):
+    """Trip files of each type and month to envelopes; every row tells the file it is from."""
+    drop = scratch_path(spark, "drop")
+    trips = shapes.typed_trips(spark, sf_dir).select(
+        "taxi_type",
+        F.col("offset").alias("event"),
+        F.col("pu_location_id").alias("PULocationID"),
+        F.col("do_location_id").alias("DOLocationID"),
+        F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup"),
+    )
+    trips = materialize(trips, "trips")
+    months = F.date_format("pickup", "yyyy-MM")
+    found = collect_small(trips.select("taxi_type", months.alias("month")).distinct())
+    for kind, month in found:
+        one = trips.filter((F.col("taxi_type") == kind) & (months == month)).drop("taxi_type")
+        one.write.parquet(f"{drop}/{kind}_tripdata_{month}.parquet")
+    rows = spark.read.parquet(f"{drop}/*")
+    events = trips_to_envelope(rows, zones=shapes.zone_table(spark, sf_dir))
+    fields = F.from_json(
+        "value", "event bigint, _source_file string, pickup_zone_borough string, pickup_zone_name string"
+    )
+    return events.select("topic", fields.alias("r")).select(
+        F.col("r.event").alias("event"), "topic", F.col("r._source_file").alias("source_file"),
+        "r.pickup_zone_borough", "r.pickup_zone_name",
+    )
+
+
+@query(
+    "older_envelopes",
+    """
+    SELECT topic, "partition", "offset", kafka_timestamp, taxi_type, pickup_datetime,
+      pu_location_id FROM parsed
+    """,
+)
+def _(spark, sf_dir):
+    """Envelopes of an older layout, without type tag and ingestion columns, still parse."""
+    older = shapes.bronze_trips(spark, sf_dir).drop("ingestion_timestamp", "ingestion_date", "key")
+    path = scratch_path(spark, "older")
+    older.write.parquet(path)
+    # A dataset that isn't there is left out; one that is there is read.
+    parts = [try_read(spark, p) for p in (f"{path}-absent", path)]
+    (stored,) = [silver.ensure_envelope(df) for df in parts if df is not None]
+    typed = silver.type_trips(silver.parse_trips(stored)).dropna(subset=["pickup_datetime"])
+    return typed.select(
+        "topic", "partition", "offset", "kafka_timestamp", "taxi_type", "pickup_datetime",
+        "pu_location_id",
+    )
+
+
+@query(
+    "sampled_sources",
+    """
+    SELECT taxi_type, least(count(*), 500) AS sampled, true AS all_from_source
+    FROM trips GROUP BY 1
+    """,
+)
+def _(spark, sf_dir):
+    """The first 500 rows of each type, and whether each of them is a row of its source."""
+    trips = shapes.stored(shapes.typed_trips(spark, sf_dir).select("taxi_type", "offset"))
+    kinds = {k: trips.filter(F.col("taxi_type") == k).select("offset") for k in ("yellow", "green")}
+    rows = sample(kinds, 500)
+    source = trips.withColumn("there", F.lit(True))
+    return (
+        rows.join(source, ["taxi_type", "offset"], "left")
+        .groupBy("taxi_type")
+        .agg(
+            F.count("*").alias("sampled"),
+            F.bool_and(F.coalesce("there", F.lit(False))).alias("all_from_source"),
+        )
+    )
+
+
 @query(
     "stored_report",
     "SELECT 'critical_null_pickup_datetime' AS check_name, "

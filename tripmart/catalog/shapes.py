@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import core as core_ops
-from ..operators import gold, marts, silver
+from ..operators import features, gold, marts, silver
 from ..session import materialize
 from ..sources.envelopes import JSON_OPTIONS
 
@@ -295,6 +295,12 @@ def district_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.demand_features(trips).drop("gold_processed_timestamp")
 
 
+def dense_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand of every zone in every hour, 0 where nobody was picked up."""
+    known = demand(spark, sf_dir).drop("gold_processed_timestamp")
+    return features.hourly_spine(stored(known))
+
+
 def fare_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fare_tip_features(core(spark, sf_dir)).withColumn(
         "gold_processed_timestamp", F.lit(GOLD_STAMP).cast("timestamp")
@@ -516,6 +522,18 @@ district_demand AS (
     avg(temperature_f)::FLOAT AS temperature_f, avg(precipitation_mm)::FLOAT AS precipitation_mm,
     strftime(pickup_hour, '%Y-%m') AS pickup_year_month
   FROM candidates GROUP BY 1, 2),
+hours AS (
+  SELECT t AS pickup_hour, max(temperature_f) AS temperature_f,
+    max(precipitation_mm) AS precipitation_mm
+  FROM (SELECT unnest(generate_series(min(pickup_hour), max(pickup_hour), INTERVAL 1 HOUR)) AS t
+        FROM demand) LEFT JOIN demand ON pickup_hour = t GROUP BY 1),
+dense_demand AS (
+  SELECT z.pu_location_id, h.pickup_hour, coalesce(d.demand, 0)::INT AS demand,
+    hour(h.pickup_hour)::TINYINT AS "hour", (dayofweek(h.pickup_hour) + 1)::TINYINT AS day_of_week,
+    month(h.pickup_hour)::TINYINT AS "month", h.temperature_f, h.precipitation_mm,
+    strftime(h.pickup_hour, '%Y-%m') AS pickup_year_month
+  FROM (SELECT DISTINCT pu_location_id FROM demand) z CROSS JOIN hours h
+  LEFT JOIN demand d ON d.pu_location_id = z.pu_location_id AND d.pickup_hour = h.pickup_hour),
 tipped AS (
   SELECT *, (tip_amount::FLOAT::DOUBLE / nullif(fare_amount::FLOAT::DOUBLE, 0)) * 100.0::DOUBLE
     AS pct

@@ -11,6 +11,7 @@ from .calendar import (
     time_parts,
     trunc_hour,
 )
+from .hashing import portable_bucket
 from .labels import (
     day_label,
     is_airport,
@@ -32,6 +33,6 @@ from .measures import (
 __all__ = [
     "cyclical", "day_label", "decimal_avg", "haversine_miles", "is_airport", "is_cold",
     "is_core_zone", "is_holiday", "is_raining", "is_rush_hour", "is_weekend",
-    "parse_local_ts", "payment_label", "percent_change", "round_even", "safe_ratio", "time_parts",
-    "trunc_hour", "weather_description", "weighted_avg", "zone_display_name", "zone_type",
+    "parse_local_ts", "payment_label", "percent_change", "portable_bucket", "round_even",
+    "safe_ratio", "time_parts", "trunc_hour", "weather_description", "weighted_avg", "zone_display_name", "zone_type",
 ]

@@ -17,7 +17,9 @@ from ..functions import (
     is_raining,
     is_rush_hour,
     is_weekend,
+    portable_bucket,
 )
+from .joins import lookup_join
 
 LAG_HOURS = (1, 2, 24, 48, 168)
 REQUIRED_LAGS = [f"demand_lag{n}h" for n in LAG_HOURS] + ["demand_vmo_3day"]
@@ -66,6 +68,41 @@ def lags(demand: DataFrame, offsets: Sequence[int], mode: str = "row") -> DataFr
     return demand.withColumns({f"demand_lag{n}h": _lag(n, mode) for n in offsets})
 
 
+def hourly_spine(demand: DataFrame) -> DataFrame:
+    """Every zone in every hour between the first and the last: no trips are a demand of 0.
+
+    Week-long lags then exist for any zone.  A zone has one row per hour of the calendar;
+    the grid is made from the zones, and nothing is paired with anything.  Weather is the
+    hour's own, where any zone knows it.
+    """
+    hour = F.col("pickup_hour")
+    first, last = demand.agg(F.min("pickup_hour"), F.max("pickup_hour")).first()
+    if first is None:
+        return demand
+    step = F.expr("INTERVAL 1 HOUR")
+    zones = demand.select("pu_location_id").distinct()
+    calendar = F.sequence(F.lit(first), F.lit(last), step)
+    grid = zones.select("pu_location_id", F.explode(calendar).alias("pickup_hour"))
+    weather = demand.groupBy("pickup_hour").agg(
+        F.max("temperature_f").alias("temperature_f"),
+        F.max("precipitation_mm").alias("precipitation_mm"),
+    )
+    hours = int((last - first).total_seconds()) // 3600 + 1
+    known = demand.select("pu_location_id", "pickup_hour", "demand")
+    filled = grid.join(known, ["pu_location_id", "pickup_hour"], "left")
+    filled = lookup_join(filled, weather, "pickup_hour", proven_rows=hours)
+    kinds = {f.name: f.dataType for f in demand.schema.fields}
+    parts = {
+        "demand": F.coalesce("demand", F.lit(0)),
+        "hour": F.hour(hour),
+        "day_of_week": F.dayofweek(hour),
+        "month": F.month(hour),
+        "pickup_year_month": F.date_format(hour, "yyyy-MM"),
+    }
+    names = [c for c in demand.columns if c in parts or c in filled.columns]
+    return filled.select(*[parts.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in names])
+
+
 def demand_features(
     demand: DataFrame,
     *,
@@ -148,11 +185,12 @@ def hash_sample(
 ) -> DataFrame:
     """Deterministic sample by key hash; ``percent`` is clamped to 1..100.
 
-    Rows with a null key part are never sampled.
+    Any engine draws the same rows, as the hash is one of the keys' text.  Rows with a
+    null key part are never sampled.
     """
     share = max(1, min(100, int(percent)))
     known = df.dropna(subset=list(keys))
-    return known.filter(F.pmod(F.xxhash64(*keys), F.lit(100)) < share)
+    return known.filter(portable_bucket(keys, 100) < share)
 
 
 def rolling(demand: DataFrame, hours: int) -> DataFrame:

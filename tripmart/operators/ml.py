@@ -8,10 +8,11 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorIndexer
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import portable_bucket
 from ..session import materialize
 from . import forecast
 from .features import tip_features
@@ -40,44 +41,70 @@ def time_split(df: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, DataFr
     return df.filter(F.col("pickup_hour") < cut), df.filter(F.col("pickup_hour") >= cut)
 
 
-def time_series_folds(
-    df: DataFrame, n_splits: int = 5, gap: int = 24
-) -> list[tuple[DataFrame, DataFrame]]:
-    """Expanding-window folds: fold i tests the i-th block, trains on what precedes.
+def mark_folds(df: DataFrame, n_splits: int = 5, gap: int = 24) -> DataFrame:
+    """Expanding-window folds as two columns, so that one scan serves all of them.
 
-    ``gap`` rows before each test block are left out of training.  Row positions
-    are translated to hours, so folds are plain time filters.
+    Fold i (from 1) tests the i-th block of rows in time and trains on what precedes it,
+    less the ``gap`` rows before the block.  ``test_fold`` is the fold that a row tests (0
+    for none), ``train_from`` the first fold that it trains; it trains all later ones too.
+    Row positions are translated to hours: no hour is split over folds.
     """
     n = df.count()
     block = n // (n_splits + 1)
     if block == 0:
         raise ValueError(f"{n} rows are too few for {n_splits} folds")
-    marks = {}
-    for i in range(n_splits):
-        first = n - (n_splits - i) * block
-        marks[f"train{i}"] = max(first - gap, 0)
-        marks[f"test{i}"] = first
-        if i + 1 < n_splits:
-            marks[f"end{i}"] = first + block
+    firsts = [n - (n_splits - i) * block for i in range(n_splits)]
+    marks = {f"test{i}": first for i, first in enumerate(firsts)}
+    marks |= {f"train{i}": max(first - gap, 0) for i, first in enumerate(firsts)}
     at = time_at_row(df, "pickup_hour", marks)
-    hour = F.col("pickup_hour")
-    folds = []
-    for i in range(n_splits):
-        test = df.filter(hour >= F.lit(at[f"test{i}"]))
-        if i + 1 < n_splits:
-            test = test.filter(hour < F.lit(at[f"end{i}"]))
-        folds.append((df.filter(hour < F.lit(at[f"train{i}"])), test))
-    return folds
+
+    def passed(kind: str) -> Column:
+        """How many borders of a kind a row's hour has reached."""
+        borders = F.array(*[F.lit(at[f"{kind}{i}"]) for i in range(n_splits)])
+        return F.size(F.filter(borders, lambda border: border <= F.col("pickup_hour")))
+
+    return df.withColumns({"test_fold": passed("test"), "train_from": passed("train") + 1})
+
+
+def fold_sides(marked: DataFrame, n_splits: int = 5) -> DataFrame:
+    """One row per fold a marked row takes part in: ``fold`` and ``side``."""
+    numbers = F.sequence(F.lit(1), F.lit(n_splits))
+    sides = F.filter(
+        F.transform(
+            numbers,
+            lambda i: F.struct(
+                i.alias("fold"),
+                F.when(i == F.col("test_fold"), "test").when(i >= F.col("train_from"), "train").alias("side"),
+            ),
+        ),
+        lambda s: s["side"].isNotNull(),
+    )
+    return marked.select("*", F.inline(sides))
+
+
+def time_series_folds(
+    df: DataFrame, n_splits: int = 5, gap: int = 24
+) -> list[tuple[DataFrame, DataFrame]]:
+    """(train, test) of each fold of ``mark_folds``, as filters on its columns."""
+    marked = mark_folds(df, n_splits, gap)
+    marks = ["test_fold", "train_from"]
+    return [
+        (
+            marked.filter((F.col("train_from") <= i) & (F.col("test_fold") != i)).drop(*marks),
+            marked.filter(F.col("test_fold") == i).drop(*marks),
+        )
+        for i in range(1, n_splits + 1)
+    ]
 
 
 def random_split(
     df: DataFrame, test_size: float = 0.2, seed: int = 42, keys: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Split by row hash: repeatable whatever the partitioning.
+    """Split by a hash of the keys' text: repeatable in any partitioning and any engine.
 
-    Equal rows fall on the same side.
+    Rows with equal keys fall on the same side.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *(keys or df.columns)), F.lit(10_000))
+    bucket = portable_bucket(keys or df.columns, 10_000, seed)
     limit = round(test_size * 10_000)
     return df.filter(bucket >= limit), df.filter(bucket < limit)
 
@@ -187,6 +214,73 @@ def importance(
     return importance_shares(gains, top_n)
 
 
+def split_gains(
+    spark: SparkSession, path: str, model: PipelineModel, spec: ModelSpec
+) -> DataFrame:
+    """Gain and number of splits per feature, from the trees of a model saved at ``path``.
+
+    Every node tells by how much its split lowers the variance of the rows it holds; a
+    feature's gain is the sum over its splits, times rows and the tree's weight.  Features
+    that no tree splits by have none.
+    """
+    at = len(model.stages) - 1
+    stage = f"{path}/stages/{at:0{len(str(len(model.stages)))}d}_{model.stages[at].uid}"
+    nodes = spark.read.parquet(f"{stage}/data").select("treeID", "nodeData.*")
+    trees = spark.read.parquet(f"{stage}/treesMetadata").toDF("treeID", "metadata", "weights")
+    trees = trees.drop("metadata")
+    # One row per tree, fifty or so.
+    splits = nodes.filter("leftChild >= 0").join(F.broadcast(trees), "treeID")
+    names = F.array(*[F.lit(name) for name in feature_names(spec)])
+    found = splits.groupBy(F.get(names, F.col("split.featureIndex")).alias("feature")).agg(
+        F.sum(F.abs("weights") * F.col("gain") * F.col("rawCount")).alias("gain"),
+        F.count("*").alias("splits"),
+    )
+    every = spark.createDataFrame([(name,) for name in feature_names(spec)], "feature string")
+    return every.join(F.broadcast(found), "feature", "left").fillna(0, ["gain", "splits"])
+
+
+def permutation_importance(
+    model: PipelineModel,
+    df: DataFrame,
+    spec: ModelSpec,
+    keys: Sequence[str],
+    *,
+    seed: int = 42,
+    bucket_rows: int = 4096,
+) -> DataFrame:
+    """(feature, rmse, rise): error with one feature at a time taken from another row.
+
+    The order of a hash of ``keys``, which tell rows apart, hands every feature of a row on
+    to the next one; the order is kept within buckets of some ``bucket_rows`` rows, which
+    no task has to sort with others.  A row is scored as it is and once per feature, all in
+    one pass.
+    """
+    buckets = max(1, df.count() // bucket_rows)
+    shuffled = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    ring = Window.partitionBy(portable_bucket(keys, buckets, seed)).orderBy(shuffled, *keys)
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    values = F.struct(*[F.col(c) for c in spec.features])
+    # The last row of a bucket hands on to the first.
+    given = F.coalesce(F.lag(values).over(ring), F.last(values).over(whole))
+    rows = df.withColumn("_given", given)
+    variants = F.explode(F.array(F.lit(None).cast("string"), *[F.lit(c) for c in spec.features]))
+    rows = rows.withColumn("_variant", variants).withColumns(
+        {
+            c: F.when(F.col("_variant") == c, F.col("_given")[c]).otherwise(F.col(c))
+            for c in spec.features
+        }
+    )
+    apart = F.col("prediction") - F.col(spec.target)
+    scores = predict(model, rows.drop("_given")).groupBy("_variant").agg(
+        F.sqrt(F.avg(apart * apart)).alias("rmse")
+    )
+    scores = materialize(scores, "permutation-scores")
+    base = scores.filter("_variant IS NULL").select("rmse").scalar()
+    return scores.filter("_variant IS NOT NULL").select(
+        F.col("_variant").alias("feature"), "rmse", (F.col("rmse") - base).alias("rise")
+    )
+
+
 def importance_shares(gains: DataFrame, top_n: int = 10) -> DataFrame:
     """Share of total gain (percent), rank and running coverage of the top N.
 
@@ -225,7 +319,7 @@ def _described(scores: DataFrame, model: PipelineModel, spec: ModelSpec) -> Data
     )
 
 
-def _early_stopping_tail(train: DataFrame, share: float = 0.1) -> DataFrame:
+def early_stopping_tail(train: DataFrame, share: float = 0.1) -> DataFrame:
     """Mark the last rows in time as validation rows."""
     at = time_at_fraction(train, "pickup_hour", {"cut": 1 - share})["cut"]
     return train.withColumn("_validation", F.col("pickup_hour") >= F.lit(at))
@@ -248,7 +342,7 @@ def train_demand(
     # fit and score.
     known = materialize(known, "demand-features")
     train, test = time_split(known, test_size)
-    model = fit(_early_stopping_tail(train), spec, validation="_validation")
+    model = fit(early_stopping_tail(train), spec, validation="_validation")
     scores = forecast.with_baseline(_score(model, test, spec.target, clip=False))
     if cv_folds:
         cv = materialize(cross_validate(train, n_splits=cv_folds, spec=spec), "cv-scores")
@@ -278,7 +372,7 @@ def cross_validate(
     known = materialize(features, "cv-features")
     folds = None
     for i, (train, test) in enumerate(time_series_folds(known, n_splits, gap)):
-        marked = _early_stopping_tail(train)
+        marked = early_stopping_tail(train)
         scored = predict(fit(marked, spec, validation="_validation"), test)
         one = forecast.metrics(scored, spec.target, "prediction").withColumn("fold", F.lit(i + 1))
         folds = one if folds is None else folds.unionByName(one)
@@ -294,7 +388,7 @@ def _train_random(
 ) -> tuple[PipelineModel, DataFrame]:
     rows = materialize(rows, f"{spec.target}-features")
     train, test = random_split(rows, test_size, seed)
-    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), *rows.columns), F.lit(10_000))
+    bucket = portable_bucket(rows.columns, 10_000, seed + 1)
     train = train.withColumn("_validation", bucket < round(val_size * 10_000))
     model = fit(train, spec, validation="_validation", seed=seed)
     return model, _described(_score(model, test, spec.target, clip=True), model, spec)

@@ -19,8 +19,14 @@ JSON_OPTIONS = {
 }
 
 
-def _source_file() -> Column:
-    return F.element_at(F.split(F.input_file_name(), "/"), -1)
+def source_file_name() -> Column:
+    """The trip file that a row was read from, by the file source's own metadata.
+
+    A dataset written by Spark is a folder of part files; the folder has the name then.
+    """
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    named = F.regexp_extract(path, "([^/]*tripdata[^/]*)", 1)
+    return F.when(named != "", named).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
 def trips_to_envelope(
@@ -36,7 +42,7 @@ def trips_to_envelope(
     and drop-off zone attributes are added.  On a stream the checkpoint of the
     query remembers which files were sent.
     """
-    file_name = _source_file() if source_file is None else source_file
+    file_name = source_file_name() if source_file is None else source_file
     lowered = F.lower(F.col("_source_file"))
     kind = F.when(lowered.contains("yellow"), "yellow").when(lowered.contains("green"), "green")
     topic = F.when(F.col("_taxi_type") == "yellow", K.YELLOW_TOPIC).when(

@@ -23,6 +23,17 @@ def write_partitioned(
     df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
+def rewrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of, and leave all others as they are.
+
+    For a backfill: the corrected rows of a month take the place of that month.  The new
+    files become visible when the job commits; without rows nothing changes.
+    """
+    df.hint("rebalance", *keys).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*keys).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
