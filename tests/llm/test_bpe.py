@@ -5,6 +5,7 @@ import struct
 import time
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -76,10 +77,61 @@ def test_merges_take_the_leftmost_of_equal_ranks():
 
 def test_cache_is_bounded(monkeypatch, reference):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
-    small = bpe.Codec(bpe.codec(PATH, P.PATTERN).ranks, P.PATTERN)
-    text = noise(5, 2000)
-    assert ids_of(small.encode(text)) == reference.encode_ordinary(text)
-    assert max(map(len, (small.by_piece, small.by_piece.older, small.by_word))) <= 3
+    small = bpe.Codec(bpe.codec(PATH, P.PATTERN).merge.ranks, P.PATTERN)
+    for seed in range(5):
+        text = noise(seed, 2000)
+        assert ids_of(small.encode(text)) == reference.encode_ordinary(text)
+    assert max(len(x) for c in (small.by_piece, small.by_chunk) for x in (c.young, c.old)) <= 3
+
+
+def test_pieces_merged_together_equal_those_merged_alone():
+    merge = bpe.codec(PATH, P.PATTERN).merge
+    rng = random.Random(4)
+    pieces = [bytes(rng.choice(b"abcehinorst \xc3\xa9") for _ in range(rng.randrange(1, 24))) for _ in range(6000)]
+    for piece, packed in zip(pieces, merge(pieces), strict=True):
+        assert ids_of(packed) == bpe.merge_piece(piece, merge.ranks)
+    assert merge([]) == []
+
+
+def test_merges_of_a_small_vocabulary():
+    ranks = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aab": 257, b"bb": 258}
+    merge = bpe.Merger(ranks)
+    for piece in (b"aaab", b"aaaab", b"aab", b"abbb", b"z", b"aaaaaaaaaaaaaaaabb"):
+        assert ids_of(merge([piece])[0]) == bpe.merge_piece(piece, ranks)
+    del ranks[b"z"]
+    assert ids_of(bpe.Merger(ranks)([b"aab", b"bab"])[1]) == [98, 97, 98]
+
+
+def test_another_pattern_is_matched_in_full(reference):
+    ranks = bpe.codec(PATH, P.PATTERN).merge.ranks
+    pattern = r"\p{L}+ ?|[^\p{L}]"
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(ranks, pattern)
+    for seed in range(20):
+        text = noise(seed, 300) + " plain words, here. "
+        assert ids_of(codec.encode(text)) == other.encode_ordinary(text)
+    assert P.PATTERN == bpe.WORDWISE
+
+
+def test_slices_of_any_size(monkeypatch, reference):
+    codec = bpe.codec(PATH, P.PATTERN)
+    texts = [None, "", " ", "a", " a", "a ", "a  b", "x\ny z", "x\n z", "\ta b", *[noise(s, 90) for s in range(40)]]
+    for size in (1, 50, 1 << 22):
+        monkeypatch.setattr(bpe, "SLICE_BYTES", size)
+        packed = codec.encode_all(pa.array(texts))
+        assert [ids_of(x) for x in packed.to_pylist()] == [reference.encode_ordinary(t or "") for t in texts]
+        assert codec.decode_all(packed).to_pylist() == [(t or "").encode() for t in texts]
+    assert codec.encode_all(pa.array(texts)[3:5]).to_pylist() == codec.encode_all(pa.array(texts[3:5])).to_pylist()
+
+
+def test_decode_of_nulls_and_foreign_ids():
+    codec = bpe.codec(PATH, P.PATTERN)
+    some = pa.array([codec.encode("ab c"), None, b"", codec.encode("d")], pa.binary())
+    assert codec.decode_all(some).to_pylist() == [b"ab c", None, b"", b"d"]
+    assert codec.decode_all(some[1:]).to_pylist() == [None, b"", b"d"]
+    assert codec.decode_all(some[:0]).to_pylist() == []
+    with pytest.raises((ValueError, IndexError)):
+        codec.decode(struct.pack("<I", 1 << 30))
 
 
 def test_operator_on_messy_rows(messy, empty, reference):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,11 @@ WORD_SPACE = " \t\n\x0b\f\r"
 WORD_SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 # Rows whose results are in a Python worker's memory together.
 SLICE_ROWS = 1000
+# Runs of signs behind or before an ASCII letter or digit, not with an apostrophe, which
+# starts contractions.
+_SIGNS = rb"[!-&(-/:-@\[-`{-~]+"
+_TAIL = re.compile(rb"(?<=[a-z0-9])(" + _SIGNS + rb")(?=[\x09-\x0D\x20]|\Z)")
+_HEAD = re.compile(rb"(?<![^\x09-\x0D\x20])(" + _SIGNS + rb")(?=[a-z0-9])")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -82,3 +90,57 @@ def append_columns(
                 yield pa.RecordBatch.from_arrays([*columns[:width], *made], names=names)
 
     return carried.mapInArrow(run, schema)
+
+
+def words_of(text: bytes) -> bytes:
+    """A text with blanks where a lower-casing tokenizer splits anyway, in small letters if safe.
+
+    Fewer distinct words then stand for the same ids: such a tokenizer drops white space
+    and splits between letters or digits and signs.  Texts in which a special token may
+    stand are left as they are; those with combining marks keep their case, as some marks
+    join with small letters only.
+    """
+    if b"<|" in text:
+        return text
+    if b"\xcc" not in text and b"\xcd" not in text:
+        text = text.lower()
+    return _HEAD.sub(rb"\1 ", _TAIL.sub(rb" \1", text))
+
+
+def numbered_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(number of the word at each position, positions per text, the distinct words).
+
+    Words are ``words_of`` the texts.  An empty word stands where white space starts or
+    ends a text.
+    """
+    ready = pa.array(map(words_of, texts), pa.binary()).cast(pa.string())
+    listed = pc.ascii_split_whitespace(ready)
+    numbered = listed.flatten().dictionary_encode()
+    counts = pc.list_value_length(listed).to_numpy().astype(np.int64)
+    return numbered.indices.to_numpy(), counts, numbered.dictionary.cast(pa.binary())
+
+
+def by_position(
+    coded: Sequence[bytes], position: np.ndarray, dtype: str = "<u4"
+) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ends): the packed ids at each position after one another, and where each ends."""
+    flat = np.frombuffer(b"".join(coded), dtype)
+    length = np.fromiter(map(len, coded), np.int64, len(coded)) // flat.itemsize
+    start = np.cumsum(length) - length
+    n = length[position]
+    ends = np.cumsum(n)
+    source = np.repeat(start[position] - (ends - n), n)
+    source += np.arange(len(source))
+    return flat[source], ends
+
+
+def cut_binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary values between offsets, counted in items of ``values``."""
+    offsets = offsets * values.itemsize
+    if offsets[-1] > np.iinfo(np.int32).max:
+        data = values.tobytes()
+        return pa.array([data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.Array.from_buffers(
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), data]
+    )
