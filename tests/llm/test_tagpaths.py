@@ -1,6 +1,8 @@
 import html
+import random
 import re
 import time
+from collections import Counter
 
 import pytest
 
@@ -126,3 +128,99 @@ def test_messy_rows(spark):
     assert out.columns == ["page_id", "url", "html", "text", "n_chars"]
     assert sorted(r.text for r in out.collect()) == ["", "", "", "x, y."]
     assert tagpaths.extract(df.limit(0)).count() == 0
+
+
+def given_pages(sf_dir):
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{sf_dir}/pages.parquet").column("html").to_pylist()
+
+
+def scrambled(page, rng):
+    """The article as a plain div and the advert under a name of no meaning."""
+    name = "".join(rng.choice("qxzwvk") for _ in range(6))
+    return re.sub(r"<(/?)article>", r"<\1div>", page).replace('class="ad"', f'class="{name}"')
+
+
+def test_given_pages_without_names():
+    rng = random.Random(1)
+    kept = total = gone = rest = 0
+    for page in given_pages("/root/testdata/sf0.1"):
+        got = tagpaths.main_text(scrambled(page, rng))
+        want, have = Counter(plain(page).split("\n")), Counter(got.split("\n"))
+        kept += sum(len(t) * n for t, n in (want & have).items())
+        total += sum(len(t) * n for t, n in want.items())
+        around = [" ".join(x.split()) for x in re.findall(r'class="ad">(.*?)</div>|<footer>(.*?)</footer>', page, re.DOTALL)[0] if x]
+        rest += sum(map(len, around))
+        gone += sum(len(html.unescape(x)) for x in around if html.unescape(x) not in got)
+    assert kept >= 0.99 * total and gone >= 0.95 * rest
+
+
+PROSE = "".join(f"<p>{LONG}</p>" for _ in range(3))
+OUTSIDE = [
+    "<div>3 Comments</div>",
+    "<div class=x1>" + "".join(f"<span>label number {i} </span>" for i in range(60)) + "</div>",
+    "<div>" + "".join(f"<div>thing {i} of the shop</div>" for i in range(60)) + "</div>",
+    "<div><table>" + "".join(f"<tr><td>size {i}</td><td>{i} cm</td></tr>" for i in range(50)) + "</table></div>",
+    "<div class=kommentare>" + "".join(
+        f"<div><b>User {i}</b> <time>12.03.</time><p>Yes, I do think so too.</p></div>" for i in range(4)) + "</div>",
+    "<div class=werbung><div><p>Buy now! Only here.</p></div></div>",
+    "<div><h3>Latest</h3><ul><li>Some other story<li>Yet another one</ul></div>",
+]
+
+
+@pytest.mark.parametrize("extra", OUTSIDE)
+@pytest.mark.parametrize("shape", [
+    "<body><div>{1}</div>{0}</body>", "<body>{0}<div><div>{0}<div class=q>{1}</div></div></div></body>",
+])
+def test_ratios_tell_the_article_where_no_name_does(shape, extra):
+    page = shape.format(extra, f"<h1>Title</h1>{PROSE}<p>Short.</p>")
+    assert tagpaths.main_text(page) == "\n".join(["Title", *[LONG] * 3, "Short."])
+
+
+def test_without_ratios_the_longer_list_would_win(monkeypatch):
+    monkeypatch.setattr(tagpaths, "path_ratios", lambda page: [1.0] * len(page.above))
+    lost = 0
+    for extra in OUTSIDE:
+        page = f"<body><div><h1>Title</h1>{PROSE}<p>Short.</p></div>{extra}</body>"
+        lost += tagpaths.main_text(page) != "\n".join(["Title", *[LONG] * 3, "Short."])
+    assert lost >= 3
+
+
+def test_items_of_readers_stay_out_however_long():
+    items = "".join(f"<li><a href=/u{i}>User {i}</a><p>{LONG}</p></li>" for i in range(9))
+    page = f"<body><div><h1>Title</h1>{PROSE}</div><div class=k><ol>{items}</ol></div></body>"
+    assert tagpaths.main_text(page) == "\n".join(["Title", *[LONG] * 3])
+    inside = f"<body><div><h1>Title</h1>{PROSE}<ol>{items}</ol></div></body>"
+    assert tagpaths.main_text(inside) == "\n".join(["Title", *[LONG] * 3])
+
+
+@pytest.mark.parametrize("part", [
+    f"<section id='advertising'><h2>On it</h2><p>{LONG}</p></section>", "<h2 id='related-work'>On it</h2>",
+    "<h2 id='social-media'>On it</h2>", "<div class='post-header'><h2>On it</h2></div>",
+    f"<p class='notice'>{LONG}</p>", f"<p class='copyright'>{LONG}</p>", "<header><h2>On it</h2></header>",
+])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_names_inside_the_article_drop_none_of_its_text(tag, part):
+    page = f"<body><div>Menu</div><{tag}>{part}{PROSE}</{tag}></body>"
+    own = [t for t in ("On it", LONG) if t in part]
+    assert tagpaths.main_text(page) == "\n".join([*own, *[LONG] * 3])
+
+
+def test_an_article_in_several_parts_is_kept_whole():
+    halves = f"<div class=part><p>{LONG}</p><p>{LONG}</p></div>" * 2
+    assert tagpaths.main_text(f"<body><div>Menu</div>{halves}</body>").count(LONG) == 4
+    sections = f"<section><h2>Head</h2><p>{LONG}</p></section>" * 5
+    got = tagpaths.main_text(f"<body><div><h1>Title</h1>{sections}</div></body>")
+    assert got.count(LONG) == 5 and got.count("Head") == 5 and got.startswith("Title")
+
+
+def test_many_paths_take_linear_time():
+    rng = random.Random(2)
+    name = lambda: "".join(rng.choice("abcdef") for _ in range(9))
+    page = "<body><div>" + "".join(f"<p class={name()}>{LONG}</p>" for _ in range(20_000)) + "</div>"
+    started = time.perf_counter()
+    assert tagpaths.main_text(page).count("\n") == 19_999
+    deep = "<div>" * 2000 + f"<p>{LONG}</p>" * 2000 + "</div>" * 2000
+    assert tagpaths.main_text(deep).count("\n") == 1999
+    assert time.perf_counter() - started < 6
