@@ -120,18 +120,36 @@ def _(spark, sf_dir):
     return profile.payloads(events)
 
 
+_PAYLOAD_ROWS = """(
+      SELECT 'yellow' AS kind, e % 97 = 13 AS broken, taxi_type = 'yellow' AS own FROM copies
+        WHERE taxi_type = 'yellow'
+      UNION ALL SELECT 'green', e % 97 = 13, true FROM copies WHERE taxi_type = 'green'
+      UNION ALL SELECT 'weather', false, true FROM events)"""
+
+
 @query(
     "json_fields",
-    """
-    SELECT f AS expected_field, count(*) FILTER (e % 97 <> 13 AND f <> 'pickup_zone_name')
-        AS present_rows, count(*) AS total_rows, count(*) FILTER (e % 97 = 13) AS unreadable_rows
-    FROM copies, (VALUES ('tpep_pickup_datetime'), ('VendorID'), ('PULocationID'),
-      ('pickup_zone_name')) t(f) GROUP BY f
+    f"""
+    SELECT kind, f AS expected_field,
+      count(*) FILTER (NOT broken AND f <> 'pickup_zone_name') AS present_rows,
+      count(*) AS total_rows, count(*) FILTER (broken) AS unreadable_rows
+    FROM {_PAYLOAD_ROWS} JOIN (VALUES
+      {", ".join(f"('{kind}', '{f}')" for kind, fields in K.EXPECTED_PAYLOAD_FIELDS.items()
+                 for f in [*fields, "pickup_zone_name"])}) t(k, f) ON k = kind
+    GROUP BY 1, 2
     """,
 )
 def _(spark, sf_dir):
-    expected = [*K.EXPECTED_PAYLOAD_FIELDS["yellow"], "pickup_zone_name"]
-    return profile.json_fields(shapes.bronze_trips(spark, sf_dir), expected)
+    """Expected payload fields of all three feeds, and one that no payload has."""
+    trips = shapes.bronze_trips(spark, sf_dir)
+    feeds = {kind: trips.filter(F.col("taxi_type") == kind) for kind in ("yellow", "green")}
+    feeds["weather"] = shapes.bronze_weather(spark, sf_dir)
+    found = None
+    for kind, feed in feeds.items():
+        expected = [*K.EXPECTED_PAYLOAD_FIELDS[kind], "pickup_zone_name"]
+        one = profile.json_fields(feed, expected).withColumn("kind", F.lit(kind))
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 @query(
@@ -199,24 +217,6 @@ def _(spark, sf_dir):
     return profile.zones(shapes.zone_table(spark, sf_dir))
 
 
-@query(
-    "schema_matrix",
-    """
-    SELECT dataset_name, column_name, is_present FROM (VALUES
-      ('trips', 'pickup_datetime', true), ('trips', 'temperature_f', false),
-      ('core', 'pickup_datetime', true), ('core', 'temperature_f', true))
-      t(dataset_name, column_name, is_present)
-    WHERE EXISTS (SELECT 1 FROM events)
-    """,
-)
-def _(spark, sf_dir):
-    found = profile.schemas(
-        {"trips": shapes.typed_trips(spark, sf_dir), "core": shapes.core(spark, sf_dir)},
-        ["pickup_datetime", "temperature_f"],
-    )
-    return found.drop("data_type")
-
-
 # --- Checks -----------------------------------------------------------------------------
 
 
@@ -342,49 +342,140 @@ def _(spark, sf_dir):
     return quality.rule_counts(shapes.core(spark, sf_dir), rules)
 
 
-@query(
-    "constraint_checks",
-    _zero_rules(
-        "hourly_mart",
-        {
-            **{
-                f"not_null_{c}": f'"{c}" IS NULL'
-                for c in (
-                    "pickup_hour", "hour", "day_of_week", "month", "pickup_year_month",
-                    "total_demand", "active_zones", "avg_demand_per_active_zone",
-                    "max_zone_hour_demand", "avg_temperature_f", "avg_precipitation_mm",
-                    "source_gold_processed_timestamp", "dashboard_processed_timestamp",
-                )
-            },
-            "check_hour": 'NOT "hour" BETWEEN 0 AND 23',
-            "check_day_of_week": "NOT day_of_week BETWEEN 1 AND 7",
-            "check_month": 'NOT "month" BETWEEN 1 AND 12',
-            "check_total_demand": "NOT total_demand > 0",
-            "check_active_zones": "NOT active_zones > 0",
-            "check_max_zone_hour_demand": "NOT max_zone_hour_demand > 0",
-        },
+# Column names of each warehouse table that must have a value, and its key.
+_NOT_NULL = {
+    "hourly_kpi": [
+        "pickup_hour", "hour", "day_of_week", "month", "pickup_year_month", "total_demand",
+        "active_zones", "avg_demand_per_active_zone", "max_zone_hour_demand", "avg_temperature_f",
+        "avg_precipitation_mm", "source_gold_processed_timestamp", "dashboard_processed_timestamp",
+    ],
+    "zone_summary": [
+        "pickup_year_month", "pu_location_id", "total_demand", "avg_hourly_demand",
+        "max_hourly_demand", "active_hours", "first_pickup_hour", "last_pickup_hour",
+        "avg_temperature_f", "avg_precipitation_mm", "source_gold_processed_timestamp",
+        "dashboard_processed_timestamp",
+    ],
+    "payment_tip_summary": [
+        "pickup_year_month", "trip_count", "avg_fare_amount", "avg_tip_amount", "avg_tip_percent",
+        "median_tip_percent", "median_fare_amount", "avg_trip_distance", "min_fare_amount",
+        "max_fare_amount", "min_tip_percent", "max_tip_percent", "month",
+        "source_gold_processed_timestamp", "dashboard_processed_timestamp",
+    ],
+    "demand": [
+        "pu_location_id", "pickup_hour", "demand", "hour", "day_of_week", "month", "temperature_f",
+        "precipitation_mm", "pickup_year_month", "gold_processed_timestamp",
+    ],
+    "fare_tip": [
+        "fare_amount", "tip_amount", "tip_percent", "trip_distance", "pu_location_id",
+        "do_location_id", "hour", "day_of_week", "month", "temperature_f", "precipitation_mm",
+        "pickup_year_month", "gold_processed_timestamp",
+    ],
+}
+_MART_OF = {
+    "hourly_kpi": "hourly_mart", "zone_summary": "zone_mart", "payment_tip_summary": "payment_mart",
+    "demand": "demand", "fare_tip": "fare_tip",
+}
+
+
+def _constraint_sql(name: str) -> str:
+    source = _MART_OF[name]
+    rules = {f"not_null_{c}": f'"{c}" IS NULL' for c in _NOT_NULL[name]}
+    for column, condition in quality.TABLE_CONSTRAINTS[name].items():
+        for word in ("hour", "month"):
+            if column == word:
+                condition = f'"{word}"' + condition.removeprefix(word)
+        rules[f"check_{column}"] = f"NOT ({condition})"
+    parts = [f"SELECT '{name}' AS table_name, * FROM ({_zero_rules(source, rules)})"]
+    if keys := quality.PRIMARY_KEYS.get(name):
+        parts.append(f"""SELECT '{name}', 'primary_key', count(*)::VARCHAR,
+          CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END
+        FROM (SELECT 1 FROM {source} GROUP BY {", ".join(keys)} HAVING count(*) > 1)""")
+    return "\nUNION ALL ".join(parts)
+
+
+@query("constraint_checks", "\nUNION ALL ".join(map(_constraint_sql, _MART_OF)))
+def _(spark, sf_dir):
+    """Constraints of all five warehouse tables."""
+    tables = {
+        "hourly_kpi": shapes.hourly_mart, "zone_summary": shapes.zone_mart,
+        "payment_tip_summary": shapes.payment_mart, "demand": shapes.demand,
+        "fare_tip": shapes.fare_tip,
+    }
+    found = None
+    for name, build in tables.items():
+        report = _checks(quality.constraints(build(spark, sf_dir), name))
+        one = report.withColumn("table_name", F.lit(name))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _summary_sql(table: str, types: str, contract: dict[str, str]) -> str:
+    """Statuses per kind: null checks and row counts from the rows, the schema from ``types``.
+
+    ``types`` is a query that gives column names and kinds as DuckDB sees them.
+    """
+    kinds = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT",
+             "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "timestamp": "TIMESTAMP", "date": "DATE"}
+    wanted = ", ".join(
+        f"('{c}', '{kinds.get(k, k.upper())}')" for c, k in contract.items()
     )
-    + """
-    UNION ALL SELECT 'primary_key', count(*)::VARCHAR,
-      CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END
-    FROM (SELECT pickup_hour FROM hourly_mart GROUP BY 1 HAVING count(*) > 1)
-    """,
-)
+    return f"""
+    SELECT 'null' AS check_kind, status, count(*) AS check_count
+    FROM ({_null_check_sql(table, K.CORE_REQUIRED, K.CORE_NULLABLE)}) GROUP BY 2
+    UNION ALL
+    SELECT 'schema', status, count(*) FROM (
+      SELECT CASE WHEN replace(t.kind, ' ', '') = replace(w.kind, ' ', '') THEN 'pass' ELSE 'fail' END
+        AS status
+      FROM (VALUES {wanted}) w(name, kind) LEFT JOIN ({types}) t ON t.name = w.name
+      UNION ALL SELECT unnest(['pass', 'pass'])
+      UNION ALL SELECT CASE WHEN count(t.name) = count(*) THEN 'pass' ELSE 'fail' END
+      FROM (VALUES {wanted}) w(name, kind) LEFT JOIN ({types}) t ON t.name = w.name) GROUP BY 2
+    UNION ALL
+    SELECT 'value', status, count(*) FROM (
+      SELECT CASE WHEN count(*) > 0 THEN 'pass' ELSE 'fail' END AS status FROM {table}
+      UNION ALL SELECT unnest(['pass', 'pass', 'pass', 'pass'])) GROUP BY 2"""
+
+
+# The kinds of the columns, from a row of each.
+_CORE_TYPES = """SELECT name, kind FROM (
+      SELECT unnest([{names}]) AS name, unnest([{kinds}]) AS kind FROM (SELECT * FROM {table} LIMIT 1))"""
+
+
+def _types_of(table: str, columns: list[str]) -> str:
+    return _CORE_TYPES.format(
+        table=table,
+        names=", ".join(f"'{c}'" for c in columns),
+        kinds=", ".join(f'typeof("{c}")' for c in columns),
+    )
+
+
+# The twins have no processing time: its column always passes.
+_CORE_COLUMNS = {c: k for c, k in K.CORE_CONTRACT.items() if c != "core_processed_timestamp"}
+
+
+@query("quality_summary", _summary_sql("core", _types_of("core", list(_CORE_COLUMNS)), _CORE_COLUMNS))
 def _(spark, sf_dir):
-    return _checks(quality.constraints(shapes.hourly_mart(spark, sf_dir), "hourly_kpi"))
+    return quality.summarize(quality.check_table(shapes.core(spark, sf_dir), "core"))
+
+
+_BROKEN = """(SELECT * REPLACE (CASE WHEN pu_location_id % 5 = 0 THEN NULL ELSE pickup_datetime END
+        AS pickup_datetime, fare_amount::DOUBLE AS fare_amount) FROM core)"""
 
 
 @query(
-    "quality_summary",
-    f"""
-    SELECT 'null' AS check_kind, status, count(*) AS check_count
-    FROM ({_null_check_sql("core", K.CORE_REQUIRED, K.CORE_NULLABLE)}) GROUP BY 2
-    UNION ALL SELECT 'schema', 'pass', {len(K.CORE_CONTRACT) + 2}
-    UNION ALL SELECT 'value', 'pass', 5
-    """,
+    "quality_summary_tampered",
+    _summary_sql(_BROKEN, _types_of(_BROKEN, [c for c in _CORE_COLUMNS if c != "extra"]), _CORE_COLUMNS),
 )
 def _(spark, sf_dir):
-    return quality.summarize(quality.check_table(shapes.core(spark, sf_dir), "core"))
+    """Core with lost pickup times, fares of another type and a column less."""
+    core = shapes.core(spark, sf_dir).withColumns(
+        {
+            "pickup_datetime": F.when(F.col("pu_location_id") % 5 != 0, F.col("pickup_datetime")),
+            "fare_amount": F.col("fare_amount").cast("double"),
+        }
+    )
+    return quality.summarize(quality.check_table(core.drop("extra"), "core"))
 
 
 @query(
@@ -412,21 +503,30 @@ def _(spark, sf_dir):
     return quality.retention(shapes.core(spark, sf_dir), shapes.clean(spark, sf_dir))
 
 
-@query(
-    "lineage",
-    """
-    SELECT 'enriched_row_count' AS check_name, count(*)::VARCHAR AS check_value, 'pass' AS status
-    FROM joined
-    UNION ALL SELECT 'core_row_count_for_compare', count(*)::VARCHAR, 'pass' FROM core
-    UNION ALL SELECT 'core_matches_enriched_count', 'true', 'pass' FROM core HAVING count(*) > 0
-    """,
-)
+def _lineage_sql(source: str, target: str) -> str:
+    return f"""
+    SELECT unnest(['enriched_row_count', 'core_row_count_for_compare', 'core_matches_enriched_count'])
+        AS check_name,
+      unnest([s::VARCHAR, t::VARCHAR, (s = t)::VARCHAR]) AS check_value,
+      unnest(['pass', 'pass', CASE WHEN s = t THEN 'pass' ELSE 'fail' END]) AS status
+    FROM (SELECT (SELECT count(*) FROM {source}) AS s, (SELECT count(*) FROM {target}) AS t)"""
+
+
+@query("lineage", _lineage_sql("joined", "core"))
 def _(spark, sf_dir):
     return _checks(
         quality.lineage(shapes.joined_trips(spark, sf_dir), shapes.core(spark, sf_dir))
     )
 
 
+@query("lineage_broken", _lineage_sql("joined", "clean"))
+def _(spark, sf_dir):
+    """A target that has lost rows on the way fails."""
+    return _checks(
+        quality.lineage(shapes.joined_trips(spark, sf_dir), shapes.clean(spark, sf_dir))
+    )
+
+
 @query(
     "candidate_ratio",
     """
@@ -484,19 +584,28 @@ def _(spark, sf_dir):
     return quality.join_coverage(shapes.joined_trips(spark, sf_dir))
 
 
-@query(
-    "join_cardinality",
-    """
-    SELECT count(*) AS weather_hour_count, count(*) FILTER (n > 1) AS duplicate_weather_hours,
-      max(n) AS max_rows_per_weather_hour, 'pass' AS weather_join_cardinality_status
-    FROM (SELECT weather_hour, count(*) AS n FROM first_readings GROUP BY 1)
-    """,
-)
+def _cardinality_sql(table: str) -> str:
+    return f"""
+    SELECT *, CASE WHEN duplicate_weather_hours = 0 THEN 'pass' ELSE 'fail' END
+      AS weather_join_cardinality_status
+    FROM (SELECT count(*) AS weather_hour_count, count(*) FILTER (n > 1) AS duplicate_weather_hours,
+            max(n) AS max_rows_per_weather_hour
+          FROM (SELECT weather_hour, count(*) AS n FROM {table} GROUP BY 1))"""
+
+
+@query("join_cardinality", _cardinality_sql("first_readings"))
 def _(spark, sf_dir):
     readings = silver.normalize_weather(silver.parse_weather(shapes.bronze_weather(spark, sf_dir)))
     return quality.join_cardinality(silver.hourly_weather(readings))
 
 
+@query("join_cardinality_readings", _cardinality_sql("readings"))
+def _(spark, sf_dir):
+    """Readings not yet reduced to one an hour would multiply trips, and fail."""
+    readings = silver.normalize_weather(silver.parse_weather(shapes.bronze_weather(spark, sf_dir)))
+    return quality.join_cardinality(readings)
+
+
 MEASURES = ["temperature_f", "humidity_percent", "precipitation_mm", "weather_code",
              "wind_speed_kmh", "wind_direction_deg", "cloud_cover_percent"]
 
