@@ -317,3 +317,26 @@ def test_another_open_run_is_noticed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(store, "_append", lambda *a: (append(*a), seen.append(1)))
     with pytest.raises(RuntimeError, match="another publisher"):
         store.promote({"zones": staged}, {"zones": "two"})
+
+
+def test_exact_distribution_takes_all_figures_from_value_counts(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    far = (1e9 + rng.integers(0, 40, 999) / 8).tolist()
+    rows = [(v, float(i % 7), None if i % 3 else i, None) for i, v in enumerate(far)]
+    df = spark.createDataFrame(rows, "far double, small float, some int, none double")
+    got = {r.column_name: r for r in profile.distribution(df, [*df.columns, "absent"], exact=True).collect()}
+    assert set(got) == set(df.columns)
+    for at, name in enumerate(df.columns[:3]):
+        values = np.sort(np.array([r[at] for r in rows if r[at] is not None], float))
+        row = got[name]
+        assert (row.non_null_count, row.min_value, row.max_value) == (len(values), values[0], values[-1])
+        assert row.avg_value == pytest.approx(values.mean(), rel=1e-12)
+        assert row.stddev_value == pytest.approx(values.std(ddof=1), rel=1e-9)
+        for q, share in (("p25", 25), ("p50", 50), ("p99", 99)):
+            assert row[q] == values[max(1, -(-len(values) * share // 100)) - 1]
+    none = got["none"]
+    assert none.non_null_count == 0 and none.avg_value is none.p50 is none.stddev_value is None
+    one = profile.distribution(df.limit(1), ["small"], exact=True).first()
+    assert one.stddev_value is None and one.p95 == one.max_value

@@ -94,7 +94,7 @@ _DIST = ["trip_distance", "fare_amount", "total_amount", "temperature_f", "preci
     ),
 )
 def _(spark, sf_dir):
-    rows = profile.distribution(shapes.stored(shapes.clean(spark, sf_dir)), _DIST, exact=True)
+    rows = profile.distribution(shapes.clean(spark, sf_dir), _DIST, exact=True)
     return rows.withColumns(
         {c: F.round(c, 6) for c in ("avg_value", "stddev_value")}
     )

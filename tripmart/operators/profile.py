@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import materialize
 from .quantiles import cumulative_counts
 
 
@@ -152,10 +153,11 @@ def distribution(
     """Count, range, mean, spread and five quantiles per column.
 
     Quantiles come from mergeable sketches with relative rank error 1/accuracy, in
-    the same scan; with ``exact`` they come from distributed value counts in a
-    second one.
+    the same scan; with ``exact`` all figures come from counts of the distinct values.
     """
     present = [c for c in columns if c in df.columns]
+    if exact:
+        return _exact_distribution(df, present)
     aggs: list[Column] = []
     for c in present:
         v = F.col(c).cast("double")
@@ -165,43 +167,58 @@ def distribution(
             F.max(v).alias(f"{c}__max"),
             F.avg(v).alias(f"{c}__avg"),
             F.stddev(v).alias(f"{c}__std"),
+            F.percentile_approx(v, list(QUANTILES.values()), accuracy).alias(f"{c}__q"),
         ]
-        if not exact:
-            sketch = F.percentile_approx(v, list(QUANTILES.values()), accuracy)
-            aggs.append(sketch.alias(f"{c}__q"))
-    rows = []
-    for c in present:
-        row = {
+    rows = [
+        {
             "column_name": F.lit(c),
             "non_null_count": F.col(f"{c}__n"),
             "min_value": F.col(f"{c}__min"),
             "max_value": F.col(f"{c}__max"),
             "avg_value": F.col(f"{c}__avg"),
             "stddev_value": F.col(f"{c}__std"),
+            **{q: F.col(f"{c}__q")[i] for i, q in enumerate(QUANTILES)},
         }
-        if not exact:
-            row.update({q: F.col(f"{c}__q")[i] for i, q in enumerate(QUANTILES)})
-        rows.append(row)
-    found = unpivot_row(df.agg(*aggs), rows)
-    if not exact:
-        return found
-    return found.join(_exact_quantiles(df, present), "column_name", "left")
+        for c in present
+    ]
+    return unpivot_row(df.agg(*aggs), rows)
 
 
-def _exact_quantiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The quantiles of every column, from one ranking of all their values."""
+def _exact_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All figures from one scan: the columns' distinct values are counted and stored."""
     pairs = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in columns
     ]
-    values = df.select(F.inline(F.array(*pairs)))
-    ranked = cumulative_counts(values, ["column_name"], "_v", F.floor("_v"))
+    values = df.select(F.inline(F.array(*pairs))).filter("_v IS NOT NULL")
+    counts = materialize(
+        values.groupBy("column_name", "_v").agg(F.count("*").alias("_rows")), "value-counts"
+    )
+    v, rows = F.col("_v"), F.col("_rows")
+    sums = counts.groupBy("column_name").agg(
+        F.sum("_rows").alias("non_null_count"),
+        F.min("_v").alias("min_value"),
+        F.max("_v").alias("max_value"),
+        F.try_divide(F.sum(v * rows), F.sum("_rows")).alias("avg_value"),
+    )
+    # A row per column.  Squares of distances from the mean lose no digits to its size.
+    sums = F.broadcast(sums)
+    apart = v - F.col("avg_value")
+    spread = counts.join(sums, "column_name").groupBy("column_name").agg(
+        F.sqrt(F.try_divide(F.sum(apart * apart * rows), F.sum("_rows") - 1)).alias("stddev_value")
+    )
+    ranked = cumulative_counts(counts, ["column_name"], "_v", F.floor("_v"), weight="_rows")
     picks = []
     for name, share in QUANTILES.items():
         # Whole percents in whole numbers, so that no border moves by rounding.
         rank = F.expr(f"greatest(1, (group_rows * {round(share * 100)} + 99) div 100)")
         hit = (F.col("first_rank") <= rank) & (rank <= F.col("last_rank"))
-        picks.append(F.max(F.when(hit, F.col("_v"))).alias(name))
-    return ranked.groupBy("column_name").agg(*picks)
+        picks.append(F.max(F.when(hit, v)).alias(name))
+    quantiles = ranked.groupBy("column_name").agg(*picks)
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    found = every.join(sums, "column_name", "left").fillna(0, ["non_null_count"])
+    for part in (spread, quantiles):
+        found = found.join(F.broadcast(part), "column_name", "left")
+    return found
 
 
 def demand_shape(trips: DataFrame) -> DataFrame:

@@ -15,19 +15,20 @@ from pyspark.sql import functions as F
 
 
 def cumulative_counts(
-    df: DataFrame, keys: Sequence[str], value: str, bucket: Column
+    df: DataFrame, keys: Sequence[str], value: str, bucket: Column, weight: str | None = None
 ) -> DataFrame:
     """Distinct values per group with their count ``n`` and ranks.
 
     Adds ``first_rank`` and ``last_rank`` (1-based positions of the value among
     the group's sorted rows) and ``group_rows``.  ``bucket`` must not decrease
-    as ``value`` grows.  Null values are left out.
+    as ``value`` grows.  Null values are left out.  With ``weight``, a row stands for
+    that many.
     """
     keys = list(keys)
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, bucket.alias("_bucket"), F.col(value).alias("_value"))
-        .agg(F.count("*").alias("n"))
+        .agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     )
     totals = counted.groupBy(*keys, "_bucket").agg(F.sum("n").alias("_rows"))
     in_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
