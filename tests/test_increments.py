@@ -1,5 +1,6 @@
 """Tables that grow: merged stream counts, several feeds, backfills, sketches that add up."""
 
+import json
 import os
 import random
 from datetime import datetime, timedelta
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmart.operators import sketches
+from tripmart.plans.batch import Layout, run_all, run_backfill
 from tripmart.sources import rewrite_partitions, trips_to_envelope, write_partitioned
 from tripmart.streaming import bronze, merged
 
@@ -150,6 +152,57 @@ def test_backfill_leaves_other_months_as_they_are(spark, tmp_path):
     assert files_of(path) == after
 
 
+def bronze_rows(fares):
+    """A trip and a reading for each hour of some days of two months; fares by month."""
+    hours = [datetime(2024, m, d, h) for m in (1, 2) for d in (3, 4) for h in range(3)]
+    trips_ = [("t", 0, i, at, json.dumps({
+        "VendorID": 1, "tpep_pickup_datetime": at.isoformat(),
+        "tpep_dropoff_datetime": (at + timedelta(minutes=9)).isoformat(), "passenger_count": 1.0,
+        "trip_distance": 2.0, "RatecodeID": 1.0, "PULocationID": 1, "DOLocationID": 2,
+        "payment_type": 1.0, "fare_amount": fares[at.month], "extra": 0.0, "mta_tax": 0.5,
+        "tip_amount": 2.0, "tolls_amount": 0.0, "improvement_surcharge": 1.0,
+        "total_amount": fares[at.month] + 3.5, "_source_file": "y"})) for i, at in enumerate(hours)]
+    weather = [("w", 0, i, at, json.dumps({
+        "timestamp": at.strftime("%Y-%m-%dT%H:%M"), "temperature_f": 30.0, "humidity_percent": 50.0,
+        "precipitation_mm": 0.0, "weather_code": 3, "wind_speed_kmh": 5.0,
+        "wind_direction_deg": 10.0, "cloud_cover_percent": 80.0})) for i, at in enumerate(hours)]
+    return trips_, weather
+
+
+def test_backfill_of_a_month_through_all_layers(spark, tmp_path):
+    schema = "topic string, partition int, offset bigint, kafka_timestamp timestamp, json_data string"
+
+    def land(name, fares):
+        trips_, weather = bronze_rows(fares)
+        paths = str(tmp_path / f"y-{name}"), str(tmp_path / f"w-{name}")
+        spark.createDataFrame(trips_, schema).write.parquet(paths[0])
+        spark.createDataFrame(weather, schema).write.parquet(paths[1])
+        return {"yellow": paths[0]}, paths[1]
+
+    zones = tmp_path / "zones.csv"
+    zones.write_text("LocationID,Borough,Zone,Latitude,Longitude\n1,EWR,Newark Airport,40.69,-74.17\n")
+    out, want = Layout(str(tmp_path / "lake")), Layout(str(tmp_path / "want"))
+    run_all(spark, *land("wrong", {1: 10.0, 2: 11.0}), str(zones), out)
+    layers = [
+        "taxi_weather_trips", "taxi_weather_trips_core", "taxi_weather_trips_clean", "hourly_weather",
+        "gold_demand_features", "gold_fare_tip_features", "dashboard_hourly_demand_kpi",
+        "dashboard_zone_summary", "dashboard_payment_tip_summary",
+    ]
+    before = {x: files_of(out(x)) for x in layers}
+    corrected = land("right", {1: 10.0, 2: 15.0})
+    run_backfill(spark, *corrected, str(zones), out, "2024-02")
+    run_all(spark, *corrected, str(zones), want)
+    for x in layers:
+        after = files_of(out(x))
+        january = {f for f in before[x] if "2024-01" in f}
+        assert january and {f: before[x][f] for f in january} == {f: after.get(f) for f in january}
+        stamps = [c for c in spark.read.parquet(out(x)).columns if "processed" in c]
+        got, fresh = (spark.read.parquet(at(x)).drop(*stamps) for at in (out, want))
+        assert got.exceptAll(fresh).isEmpty() and fresh.exceptAll(got).isEmpty()
+    with pytest.raises(ValueError, match="2024-03"):
+        run_backfill(spark, *corrected, str(zones), out, "2024-03")
+
+
 def test_sketches_of_days_add_up(spark, tmp_path):
     rng = random.Random(4)
     rows = [("t", 0, i, "x" * int(rng.expovariate(0.01)), f"2024-01-{i % 9 + 1:02d}") for i in range(20_000)]

@@ -3,6 +3,8 @@
     spark-submit ... python -m tripmart all --root s3a://lake \\
         --bronze yellow=s3a://bronze/yellow green=s3a://bronze/green \\
         --weather s3a://bronze/weather --zones s3a://ref/zones.csv
+    python -m tripmart backfill --root s3a://lake --month 2024-03 --bronze ... --weather ... \\
+        --zones ...
     python -m tripmart ingest --root s3a://lake --servers broker:9092
     python -m tripmart train --root s3a://lake --model demand --cv-folds 5
     python -m tripmart score --root s3a://lake --from 2024-12-01
@@ -61,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "job",
         choices=["ingest", "silver", "core", "core-quality", "clean", "gold", "gold-quality",
-                 "marts", "all", "train", "score", "publish", "validate", "produce"],
+                 "marts", "all", "backfill", "train", "score", "publish", "validate", "produce"],
     )
     parser.add_argument("--root", required=True, help="folder that holds the layers")
     parser.add_argument("--bronze", nargs="*", default=[], help="type=path, for silver and all")
@@ -69,6 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--zones", help="zone CSV, for marts and all")
     parser.add_argument("--start", default=K.WINDOW_START)
     parser.add_argument("--end", default=K.WINDOW_END)
+    parser.add_argument("--month", help="yyyy-MM, for backfill")
     parser.add_argument("--servers", help="Kafka bootstrap servers, for ingest")
     parser.add_argument("--max-offsets", type=int, default=1_000_000)
     parser.add_argument("--continuous", action="store_true", help="ingest until stopped")
@@ -97,6 +100,9 @@ def main(argv: list[str] | None = None) -> None:
         "all": lambda: batch.run_all(
             spark, _pairs(args.bronze), args.weather, args.zones, out, **window
         ),
+        "backfill": lambda: batch.run_backfill(
+            spark, _pairs(args.bronze), args.weather, args.zones, out, args.month
+        ),
         "train": lambda: _train(spark, args, out),
         "score": lambda: batch.run_score(spark, out, out("models/demand"), args.score_from),
         "publish": lambda: batch.run_publish(spark, out, args.warehouse),

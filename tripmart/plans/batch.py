@@ -7,15 +7,24 @@ optimizer real sizes for the dimension joins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, timedelta
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import core as core_ops
 from ..operators import features, forecast, gold, marts, ml, publish, quality, silver
-from ..sources import read_table, read_zones, write_partitioned, write_report
+from ..sources import (
+    read_table,
+    read_zones,
+    rewrite_partitions,
+    write_partitioned,
+    write_report,
+)
 from ..sources.envelopes import trips_to_envelope
 from ..sources.writers import write_csv
 from ..streaming import live
@@ -30,6 +39,17 @@ class Layout(NamedTuple):
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def _store(df: DataFrame, path: str, keys: Sequence[str], month: str | None) -> None:
+    """The whole dataset, or the partitions of one month only."""
+    (write_partitioned if month is None else rewrite_partitions)(df, path, keys)
+
+
+def _layer(spark: SparkSession, path: str, month: str | None) -> DataFrame:
+    """A stored layer, or the partitions of one month of it."""
+    rows = read_table(spark, path)
+    return rows if month is None else rows.filter(F.col("pickup_year_month") == month)
+
+
 def trips_with_weather(
     bronze: dict[str, DataFrame],
     bronze_weather: DataFrame,
@@ -53,6 +73,7 @@ def run_silver(
     *,
     start: str = K.WINDOW_START,
     end: str = K.WINDOW_END,
+    month: str | None = None,
 ) -> None:
     """Bronze paths to Silver hourly weather and trips.
 
@@ -61,9 +82,7 @@ def run_silver(
     """
     parsed_weather = silver.parse_weather(read_table(spark, bronze_weather))
     readings = silver.normalize_weather(parsed_weather, start, end)
-    write_partitioned(
-        silver.hourly_weather(readings), out("hourly_weather"), ["weather_year_month"]
-    )
+    _store(silver.hourly_weather(readings), out("hourly_weather"), ["weather_year_month"], month)
     parsed = [silver.parse_trips(read_table(spark, p), kind) for kind, p in bronze.items()]
     trips = silver.normalize_trips(*parsed, start=start, end=end)
     joined = silver.join_weather(
@@ -71,21 +90,19 @@ def run_silver(
         read_table(spark, out("hourly_weather")),
         window=(start, end),
     )
-    write_partitioned(joined, out("taxi_weather_trips"), ["pickup_year_month", "taxi_type"])
+    _store(joined, out("taxi_weather_trips"), ["pickup_year_month", "taxi_type"], month)
 
 
-def run_core(spark: SparkSession, out: Layout) -> None:
-    trips = read_table(spark, out("taxi_weather_trips"))
-    write_partitioned(
-        core_ops.build_core(trips), out("taxi_weather_trips_core"), ["pickup_year_month"]
-    )
+def run_core(spark: SparkSession, out: Layout, month: str | None = None) -> None:
+    trips = _layer(spark, out("taxi_weather_trips"), month)
+    core = core_ops.build_core(trips)
+    _store(core, out("taxi_weather_trips_core"), ["pickup_year_month"], month)
 
 
-def run_clean(spark: SparkSession, out: Layout) -> None:
-    core = read_table(spark, out("taxi_weather_trips_core"))
-    write_partitioned(
-        core_ops.build_clean(core), out("taxi_weather_trips_clean"), ["pickup_year_month"]
-    )
+def run_clean(spark: SparkSession, out: Layout, month: str | None = None) -> None:
+    core = _layer(spark, out("taxi_weather_trips_core"), month)
+    clean = core_ops.build_clean(core)
+    _store(clean, out("taxi_weather_trips_clean"), ["pickup_year_month"], month)
 
 
 def run_core_quality(spark: SparkSession, out: Layout) -> None:
@@ -98,11 +115,11 @@ def run_core_quality(spark: SparkSession, out: Layout) -> None:
     _report_and_enforce(spark, report, out("quality_reports/silver_core"))
 
 
-def run_gold(spark: SparkSession, out: Layout) -> None:
-    core = read_table(spark, out("taxi_weather_trips_core"))
-    month = ["pickup_year_month"]
-    write_partitioned(gold.demand_features(core), out("gold_demand_features"), month)
-    write_partitioned(gold.fare_tip_features(core), out("gold_fare_tip_features"), month)
+def run_gold(spark: SparkSession, out: Layout, month: str | None = None) -> None:
+    core = _layer(spark, out("taxi_weather_trips_core"), month)
+    keys = ["pickup_year_month"]
+    _store(gold.demand_features(core), out("gold_demand_features"), keys, month)
+    _store(gold.fare_tip_features(core), out("gold_fare_tip_features"), keys, month)
 
 
 def run_gold_quality(spark: SparkSession, out: Layout) -> None:
@@ -115,9 +132,11 @@ def run_gold_quality(spark: SparkSession, out: Layout) -> None:
     _report_and_enforce(spark, report, out("quality_reports/gold"))
 
 
-def run_marts(spark: SparkSession, out: Layout, zone_file: str) -> None:
-    demand = read_table(spark, out("gold_demand_features"))
-    fare_tip = read_table(spark, out("gold_fare_tip_features"))
+def run_marts(
+    spark: SparkSession, out: Layout, zone_file: str, month: str | None = None
+) -> None:
+    demand = _layer(spark, out("gold_demand_features"), month)
+    fare_tip = _layer(spark, out("gold_fare_tip_features"), month)
     zones = marts.pickup_zones(read_zones(spark, zone_file))
     built = {
         "dashboard_hourly_demand_kpi": marts.hourly_kpi(demand, unique_key=True),
@@ -125,7 +144,7 @@ def run_marts(spark: SparkSession, out: Layout, zone_file: str) -> None:
         "dashboard_payment_tip_summary": marts.payment_tip_summary(fare_tip),
     }
     for name, mart in built.items():
-        write_partitioned(mart, out(name), ["pickup_year_month"])
+        _store(mart, out(name), ["pickup_year_month"], month)
 
 
 # Published table: mart, kind of its metrics, measure that is summed.
@@ -197,6 +216,35 @@ def run_all(
     run_marts(spark, out, zone_file)
 
 
+def run_backfill(
+    spark: SparkSession,
+    bronze: dict[str, str],
+    bronze_weather: str,
+    zone_file: str,
+    out: Layout,
+    month: str,
+) -> None:
+    """One month again, from Bronze to the marts, in the place of what the layers have of it.
+
+    Every layer keys its partitions by month and derives a month from that month alone, so
+    the others are neither read nor written.  Quality gates run over the layers as they
+    then are.  A month without trips in Bronze is refused and changes nothing.
+    """
+    first = date.fromisoformat(f"{month}-01")
+    after = (first + timedelta(days=32)).replace(day=1)
+    window = {"start": first.isoformat(), "end": after.isoformat()}
+    parsed = [silver.parse_trips(read_table(spark, p), kind) for kind, p in bronze.items()]
+    if silver.normalize_trips(*parsed, **window).isEmpty():
+        raise ValueError(f"no trips of {month} in Bronze")
+    run_silver(spark, bronze, bronze_weather, out, **window, month=month)
+    run_core(spark, out, month)
+    run_core_quality(spark, out)
+    run_clean(spark, out, month)
+    run_gold(spark, out, month)
+    run_gold_quality(spark, out)
+    run_marts(spark, out, zone_file, month)
+
+
 def _report_and_enforce(spark: SparkSession, report: DataFrame, path: str) -> None:
     """Store the report, then raise on failed checks as stored."""
     write_report(report, path)
