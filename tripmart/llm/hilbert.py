@@ -10,6 +10,8 @@ from .common import spare, utf8_size
 BITS = 4
 # Cells of the curve that rows of one cell are dealt to by hash, so that no cell is sorted alone.
 SUBCELLS = 4096
+# Bytes of text that a file of a shard holds, about.
+FILE_BYTES = 1 << 27
 
 
 def curve_index(point: tuple[int, ...], bits: int) -> int:
@@ -84,6 +86,8 @@ def assign_shards(
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     size = utf8_size(body) + 8
     first, second = (F.col(f"`{n}`").cast("string") for n in names)
+    # Rows without a key are told apart by their texts.
+    spread = F.when(id_.isNull(), F.xxhash64(body)).otherwise(F.xxhash64(id_))
     rows = docs.select(
         id_.alias("key"),
         size.alias("size"),
@@ -91,7 +95,7 @@ def assign_shards(
         name_level(first).alias("x"),
         name_level(second).alias("y"),
         size_level(size).alias("z"),
-        F.pmod(F.xxhash64(id_), F.lit(SUBCELLS)).cast("int").alias("subcell"),
+        F.pmod(spread, F.lit(SUBCELLS)).cast("int").alias("subcell"),
     )
     side = range(1 << BITS)
     curve = docs.sparkSession.createDataFrame(
@@ -132,14 +136,25 @@ def assign_shards(
     )
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> None:
+def write_shards(
+    docs: DataFrame,
+    assigned: DataFrame,
+    path: str,
+    key: str = "doc_id",
+    file_bytes: int = FILE_BYTES,
+) -> None:
     """Write ``docs`` as one folder per shard, rows in slot order.
 
-    Keys must be unique.  A shard may be several files where Spark splits it.
+    A shard is as many files as its share of the texts' bytes takes: rows are dealt by
+    ranges of (shard, slot), so that no task writes much more than ``file_bytes``, and the
+    files' names are in slot order.  Keys must be unique; one row may have none.
     """
-    shard, slot = spare(docs, "shard", "slot")
+    shard, slot, own = spare(docs, "shard", "slot", "key")
     placed = assigned.select(
-        F.col(f"`{key}`"), F.col("shard").alias(shard), F.col("slot").alias(slot)
+        F.col(f"`{key}`").alias(own), F.col("shard").alias(shard), F.col("slot").alias(slot)
     )
-    rows = docs.join(placed, key)
-    rows.repartition(shard).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
+    total, shards = assigned.agg(F.sum("size"), F.countDistinct("shard")).first()
+    ranges = max(1, shards, -(-(total or 0) // file_bytes))
+    rows = docs.join(placed, F.col(f"`{key}`").eqNullSafe(F.col(own))).drop(own)
+    dealt = rows.repartitionByRange(ranges, shard, slot).sortWithinPartitions(shard, slot)
+    dealt.write.partitionBy(shard).parquet(path)
