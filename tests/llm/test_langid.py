@@ -80,3 +80,21 @@ def test_messy_rows(messy, empty, spark):
     assert langid.identify(empty, messy).count() == 0
     one = messy.filter("lang = 'en'")
     assert {r.lang_pred for r in langid.identify(messy, one).collect()} == {"en", "und"}
+
+
+def test_a_hundred_languages_are_learned(spark):
+    """Each language has syllables of its own; the bound of the sample is shared out."""
+    rng = np.random.default_rng(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for n in range(100):
+        own = ["".join(rng.choice(list(letters), 3)) for _ in range(12)]
+        for _ in range(60):
+            rows.append((len(rows), " ".join("".join(rng.choice(own, 2)) for _ in range(30)), f"l{n:03d}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    test = F.col("doc_id") % 4 == 0
+    sets = langid.training_sets(df.filter(~test), "doc_id", "text", "lang")
+    assert len({lang for lang, _ in sets}) == 100 and len(sets) <= langid.SAMPLE_ROWS
+    assert max(sum(lang == x for lang, _ in sets) for x in ("l000", "l099")) == langid.SAMPLE_ROWS // 100
+    found = langid.predict(df.filter(test), langid.fit(sets)).collect()
+    assert np.mean([r.lang_pred == r.lang for r in found]) > 0.95

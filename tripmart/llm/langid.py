@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .common import append_columns
 
 LONGEST = 4
 # n-grams are hashed to this many bits: the width of all presence vectors.
 BITS = 16
-# Bounds of the training sample, per language and in all.
-TRAIN_ROWS, LANDMARKS, MAX_LANGUAGES = 256, 48, 64
+# Bounds of the training sample and of the landmarks in it, per language and in all.
+TRAIN_ROWS, SAMPLE_ROWS = 256, 4096
+LANDMARKS, ALL_LANDMARKS = 48, 768
 RIDGE = 1e-3
 BATCH = 64
 UNDETERMINED = "und"
@@ -89,12 +91,13 @@ class Model(NamedTuple):
 
 
 def fit(samples: list[tuple[str, np.ndarray]]) -> Model:
-    """A model of labelled sets; the first ``LANDMARKS`` of each language are landmarks."""
+    """A model of labelled sets; the first few of each language are landmarks."""
     languages = sorted({lang for lang, _ in samples})
+    share = max(1, min(LANDMARKS, ALL_LANDMARKS // len(languages)))
     taken = dict.fromkeys(languages, 0)
     chosen = []
     for lang, ids in samples:
-        if taken[lang] < LANDMARKS:
+        if taken[lang] < share:
             taken[lang] += 1
             chosen.append(ids)
     landmarks = presence(chosen)
@@ -120,10 +123,11 @@ def fit(samples: list[tuple[str, np.ndarray]]) -> Model:
 
 
 def training_sets(docs: DataFrame, key: str, text: str, label: str) -> list[tuple[str, np.ndarray]]:
-    """At most ``TRAIN_ROWS`` labelled sets of each of at most ``MAX_LANGUAGES`` languages.
+    """At most ``TRAIN_ROWS`` labelled sets of each language and ``SAMPLE_ROWS`` in all.
 
-    Rows are drawn by a hash of key and text, and languages by their row counts.
-    Those counts thin each language to about four times the rows wanted before
+    The rows of the sample are shared out evenly: with many languages each has fewer, with
+    as many as rows one each (and beyond, the most frequent ones).  Rows are drawn by a hash
+    of key and text.  The languages' counts thin each language to about four times the rows wanted before
     they are ranked, so what is shuffled doesn't grow with the table; the n-gram
     sets are made on the executors.
     """
@@ -133,15 +137,18 @@ def training_sets(docs: DataFrame, key: str, text: str, label: str) -> list[tupl
         F.col(f"`{text}`").alias("text"),
         F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("draw"),
     ).filter("lang is not null and text rlike '\\\\p{L}'")
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    # No more languages than rows in the sample.
+    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS)
+    frequent = materialize(frequent, "languages")
+    each = max(1, min(TRAIN_ROWS, SAMPLE_ROWS // max(1, frequent.count())))
     draw = Window.partitionBy("lang").orderBy("draw")
     steps = 1 << 40
-    share = F.pmod("draw", F.lit(steps)).cast("double") * F.col("count") < 4.0 * TRAIN_ROWS * steps
+    share = F.pmod("draw", F.lit(steps)).cast("double") * F.col("count") < 4.0 * each * steps
     sample = (
         rows.join(F.broadcast(frequent), "lang")
         .filter(share)
         .withColumn("place", F.row_number().over(draw))
-        .filter(F.col("place") <= TRAIN_ROWS)
+        .filter(F.col("place") <= each)
     )
 
     def make():
@@ -168,7 +175,8 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     Repeated rows are scored each; columns of these names are replaced.
     """
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 1.3 MB for four languages
+    # A quarter of a megabyte for each language.
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         fitted = sent.value
