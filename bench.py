@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from tripmart import catalog  # noqa: E402
 from tripmart.catalog import shapes  # noqa: E402
-from tripmart.operators import core, gold, marts, silver  # noqa: E402
+from tripmart.operators import core, gold, marts, profile, silver  # noqa: E402
+from tripmart.plans import dashboard  # noqa: E402
 from tripmart.session import build_session, materialize  # noqa: E402
 
 HEADLINE = [
@@ -54,6 +55,8 @@ HEADLINE = [
     "volume_quality",
 ]
 
+MEASURED = ["trip_distance", "fare_amount", "total_amount", "tip_amount", "temperature_f"]
+
 
 def stages(spark: SparkSession, sf_dir: str, cpus: int) -> dict[str, Callable[[], DataFrame]]:
     """The batch stages, each over its stored input in a few files per core."""
@@ -69,6 +72,10 @@ def stages(spark: SparkSession, sf_dir: str, cpus: int) -> dict[str, Callable[[]
     demand = stored(gold.demand_features(facts), "bench-demand")
     fares = stored(gold.fare_tip_features(facts), "bench-fares")
     zones = materialize(marts.pickup_zones(shapes.zone_table(spark, sf_dir)), "bench-zones")
+    clean = stored(core.build_clean(facts), "bench-clean")
+    hourly = materialize(marts.hourly_kpi(demand, unique_key=True), "bench-hourly")
+    payment = materialize(marts.payment_tip_summary(fares), "bench-payment")
+    months = tuple(dashboard.month_extent(hourly).first())
     return {
         "stage_silver": lambda: silver.normalize_trips(silver.parse_trips(bronze, "yellow")),
         "stage_weather_join": lambda: silver.join_weather(trips, weather, window=shapes.DAYS),
@@ -78,6 +85,8 @@ def stages(spark: SparkSession, sf_dir: str, cpus: int) -> dict[str, Callable[[]
         "stage_mart_hourly": lambda: marts.hourly_kpi(demand, unique_key=True),
         "stage_mart_zones": lambda: marts.zone_summary(demand, zones),
         "stage_mart_payment": lambda: marts.payment_tip_summary(fares),
+        "stage_summary": lambda: dashboard.summary(hourly, payment, *months),
+        "stage_distribution": lambda: profile.distribution(clean, MEASURED, exact=True),
         "stage_mart_payment_exact": lambda: marts.payment_tip_summary(fares, exact_median=True),
     }
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..plans import dashboard as q
+from ..sources import collect_small
 from . import shapes
 from .registry import query
 
@@ -362,6 +363,34 @@ def _(spark, sf_dir):
     return q.available_months(shapes.hourly_mart(spark, sf_dir))
 
 
+@query(
+    "month_selections",
+    """
+    SELECT selection, count(*) AS "hours", sum(total_demand)::BIGINT AS total_demand
+    FROM hourly_mart JOIN (
+      SELECT unnest(['reversed', 'unknown', 'one']) AS selection,
+        unnest([min(pickup_year_month), min(pickup_year_month), min(pickup_year_month)]) AS a,
+        unnest([max(pickup_year_month), max(pickup_year_month), min(pickup_year_month)]) AS b
+      FROM hourly_mart) ON pickup_year_month BETWEEN a AND b
+    GROUP BY 1
+    """,
+)
+def _(spark, sf_dir):
+    """Hours of three selections: bounds the wrong way round, an unknown month, a single one."""
+    hourly = shapes.stored(shapes.hourly_mart(spark, sf_dir))
+    months = [r.pickup_year_month for r in collect_small(q.available_months(hourly))]
+    picks = {"reversed": (months[-1], months[0]), "unknown": ("1900-01", months[0]),
+             "one": (months[0], months[0])}
+    found = None
+    for name, (start, end) in picks.items():
+        chosen = q.month_range(hourly, *q.month_bounds(months, start, end))
+        one = chosen.select(F.lit(name).alias("selection"), "total_demand")
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy("selection").agg(
+        F.count("*").alias("hours"), F.sum("total_demand").cast("bigint").alias("total_demand")
+    )
+
+
 @query(
     "month_extent",
     """
