@@ -32,11 +32,11 @@ RESULT_SCHEMA = (
     "publish_run_id bigint, check_name string, expected_value string, actual_value string, "
     "status string, checked_at timestamp"
 )
-PENDING_NOTE = "Staging promoted; source-target validation pending."
+PENDING_NOTE = "Readers see this version; its figures are still to be compared."
 SUPERSEDED_NOTE = "A later publication took its place while it was still open."
 CLOSED_NOTES = {
     "passed": "Validated against the source dataset.",
-    "failed": "Source-target validation failed.",
+    "failed": "Some figures of the published version differ from the source.",
 }
 
 

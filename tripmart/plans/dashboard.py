@@ -24,6 +24,7 @@ from ..functions import (
     weighted_avg,
 )
 from ..operators.joins import sized
+from ..sources.readers import collect_small
 
 MONTH = "pickup_year_month"
 
@@ -383,10 +384,10 @@ def zone_trend(
 def zone_trend_pivot(trend: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Months as rows, zones as columns, missing months as zero.
 
-    A trend holds at most its ``limit`` zone names, so listing them is bounded.
+    A trend holds at most its ``limit`` zone names; more than a thousand are refused.
     """
     if names is None:
-        names = [r[0] for r in trend.select("pickup_zone").distinct().collect()]
+        names = [r[0] for r in collect_small(trend.select("pickup_zone").distinct())]
         names = sorted(n for n in names if n is not None)
     wide = trend.groupBy(MONTH).pivot("pickup_zone", list(names)).sum("total_demand")
     return wide.fillna(0, subset=list(names)).orderBy(MONTH)

@@ -58,8 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError(f"spark.checkpoint.dir must name a shared folder for master {master}")
     app = spark.sparkContext.applicationId
     if app not in _local_scratch:
-        warehouse = urlparse(spark.conf.get("spark.sql.warehouse.dir")).path
-        _local_scratch[app] = os.path.join(warehouse, f"scratch-{app}")
+        warehouse = urlparse(spark.conf.get("spark.sql.warehouse.dir"))
+        if warehouse.scheme not in ("", "file"):
+            raise ValueError("spark.checkpoint.dir must name a folder where the warehouse is remote")
+        _local_scratch[app] = os.path.join(warehouse.path, f"scratch-{app}")
         atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
     return _local_scratch[app]
 
