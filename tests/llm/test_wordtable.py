@@ -1,13 +1,18 @@
 """BPE by distinct words against the tokenizers library."""
 
 import hashlib
+import os
+import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripmart.llm import queries, wordtable
+from tripmart.llm.common import by_position, words_of
 
 from .conftest import noise
 
@@ -34,6 +39,8 @@ def test_query_equals_the_library(spark, sf_dir, documents, library):
 def check(df, library):
     coded = wordtable.decode(wordtable.encode(df, WORDS), WORDS)
     assert coded.columns == [c for c in df.columns if c != "text"] + ["token_ids", "decoded"]
+    both = wordtable.encode(df, WORDS, decoded="decoded")
+    assert sorted(map(str, both.collect())) == sorted(map(str, coded.collect()))
     others = [c for c in df.columns if c != "text"]
     want = []
     for r in df.collect():
@@ -48,6 +55,20 @@ def test_messy_rows(messy, library, monkeypatch, size):
     check(messy, library)
 
 
+def test_input_out_of_an_exchange(spark, documents, library):
+    some = documents.select("doc_id", "text").repartition(3).dropDuplicates(["doc_id"])
+    got = {r.doc_id: r.token_ids for r in wordtable.encode(some, WORDS).collect()}
+    for r in documents.collect():
+        assert got[r.doc_id] == library.encode(r.text or "", add_special_tokens=False).ids
+
+
+def test_a_block_that_changes_is_an_error(documents):
+    random_word = F.udf(lambda: os.urandom(4).hex()).asNondeterministic()
+    unstable = documents.select("doc_id", F.concat("text", F.lit(" "), random_word()).alias("text"))
+    with pytest.raises(Exception, match="came out differently"):
+        wordtable.encode(unstable, WORDS).count()
+
+
 def test_empty_table(empty):
     assert wordtable.decode(wordtable.encode(empty, WORDS), WORDS).count() == 0
 
@@ -65,11 +86,34 @@ def test_noise_special_tokens_and_all_characters(spark, library):
         assert ids[i] == library.encode(t, add_special_tokens=False).ids, repr(t[:60])
 
 
-def test_each_distinct_word_is_encoded_once(documents):
-    blocks = wordtable.split(documents.select("doc_id", "text"), "text")
-    words = {w for r in documents.collect() for w in (r.text or "").encode().split()}
-    table = wordtable.word_table(blocks, WORDS).collect()
+def test_each_distinct_word_is_encoded_once(documents, monkeypatch, library):
+    monkeypatch.setattr(wordtable, "BLOCK_BYTES", 5000)
+    monkeypatch.setattr(wordtable, "PART_BYTES", 20_000)
+    questions = wordtable.asked(wordtable.Source(documents.select("doc_id", "text"), "text"))
+    assert questions.select("part").distinct().count() > 3
+    words = {w for r in documents.collect() for w in words_of((r.text or "").encode()).split()}
+    table = [r for r in wordtable.word_table(questions, WORDS).collect() if r.word]
     assert len(table) == len(words) and {bytes(r.word) for r in table} == words
+    for r in table[::50]:
+        assert list(r.ids) == library.encode(bytes(r.word).decode(), add_special_tokens=False).ids
+
+
+def test_words_are_split_where_the_tokenizer_splits(library):
+    rng = random.Random(3)
+    alphabet = "abcXYZ012'\".,!?-#%&*()<|> \n\té\u0301\u030aWßİ\u4e2d٣"
+    for _ in range(4000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 25)))
+        ids = library.encode(text, add_special_tokens=False).ids
+        parts = words_of(text.encode()).split()
+        apart = [i for w in parts for i in library.encode(w.decode(), add_special_tokens=False).ids]
+        assert apart == ids, repr(text)
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 0], [3, 255], [1, 256, 65535], [70000, 2], [2**32 - 1, 0]])
+def test_packed_numbers(values):
+    zstd = pa.Codec("zstd")
+    given = np.array(values, np.int64)
+    assert wordtable._unpacked(wordtable._packed(given, zstd), zstd).tolist() == values
 
 
 def test_decode_of_foreign_ids(spark, library):
@@ -82,6 +126,6 @@ def test_decode_of_foreign_ids(spark, library):
 
 def test_ids_by_position():
     coded = [np.array(x, "<u4").tobytes() for x in ([7], [], [8, 9])]
-    ids, ends = wordtable.by_position(coded, np.array([2, 0, 1, 2, 2]))
+    ids, ends = by_position(coded, np.array([2, 0, 1, 2, 2]))
     assert ids.tolist() == [8, 9, 7, 8, 9, 8, 9] and ends.tolist() == [2, 3, 3, 5, 7]
-    assert wordtable.by_position([], np.zeros(0, np.int64))[0].tolist() == []
+    assert by_position([], np.zeros(0, np.int64))[0].tolist() == []

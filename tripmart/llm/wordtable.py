@@ -1,13 +1,18 @@
 """BPE through a table of distinct words.
 
-The tokenizer splits at white space and drops it, so a text's ids are those of its words.
-Spark splits the texts, a few megabytes of them to a block; a block is stored as numbers
-that point into its own list of distinct words.  The lists of all blocks make one table of
-distinct words, each of which the tokenizers library encodes once.  Its ids are joined back
-by word and then, at every position of every text, by number.
-
-A word takes part once a block, however often it occurs: the join that a frequent word is
-the hot key of has a row per some megabytes of text for it, and no more.
+The tokenizer splits at white space, and between a word and signs, so a text's ids are
+those of its words.  Spark splits the texts, some megabytes of them to a block; a block
+becomes numbers that point into its own list of distinct words.  The words of all lists
+are dealt by hash over parts of a distinct-word table; a part encodes each of its words
+once and answers the blocks that asked, and a block joins ids with words by position.
+
+A word takes part once a block, however often it occurs, and travels with the other words
+that a block asks a part for, packed in one row.  So rows are no more than pairs of a word
+and a block, and a word that every block asks for costs its part some bytes a block.
+
+Blocks are cut twice, once for the questions and once for the positions: that costs less
+than to store the positions.  A block is told by its place in the scan and a digest of its
+texts; one that came out differently the second time would find no answer, and is an error.
 """
 
 from __future__ import annotations
@@ -18,19 +23,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
-from .common import append_columns, spare
+from ..session import materialize
+from .common import append_columns, by_position, numbered_words, spare
 
 # Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 22
+# Bytes of text for each part of the table: some megabytes of distinct words.
+PART_BYTES = 1 << 24
 # Distinct words given to the tokenizer at once.
 WORDS = 1 << 12
 
-
 @lru_cache(maxsize=1)
 def tokenizer(path: str):
     """The tokenizer of a file that every worker has installed."""
@@ -44,174 +53,281 @@ def tokenizer(path: str):
     return found
 
 
-def _blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Runs (first, after the last) of texts that make a block each."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > BLOCK_BYTES:
-            yield start, i
-            start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+def _blocks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs (first, after the last) of texts of these sizes that make a block each."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, "right")))
+        yield start, stop
+        start = stop
+
+
+def _packed(values: np.ndarray, zstd: pa.Codec) -> bytes:
+    """Non-negative integers by planes: all lowest bytes first, then the next; compressed."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
+    raw = np.ascontiguousarray(planes.T).tobytes()
+    return len(raw).to_bytes(8, "little") + bytes([width]) + zstd.compress(raw, asbytes=True)
+
+
+def _unpacked(packed: bytes, zstd: pa.Codec) -> np.ndarray:
+    size, width = int.from_bytes(packed[:8], "little"), packed[8]
+    raw = zstd.decompress(packed[9:], size, asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    wide = np.zeros((planes.shape[1], 4), np.uint8)
+    wide[:, :width] = planes.T
+    return wide.view("<u4").ravel().astype(np.int64)
+
+
+def _text(packed: bytes, zstd: pa.Codec) -> list[bytes]:
+    """Words from a packed list; they have no blanks in them."""
+    size = int.from_bytes(packed[:8], "little")
+    return zstd.decompress(packed[8:], size, asbytes=True).split(b" ")
+
+
+def _packed_text(words: list[bytes], zstd: pa.Codec) -> bytes:
+    raw = b" ".join(words)
+    return len(raw).to_bytes(8, "little") + zstd.compress(raw, asbytes=True)
+
+
+class Source:
+    """Texts to be cut into blocks, with the columns that go with them."""
+
+    def __init__(self, docs: DataFrame, text: str):
+        (counted,) = spare(docs, "n_words")
+        self.carried = [c for c in docs.columns if c != text]
+        docs = docs.select(
+            *[F.col(f"`{c}`") for c in self.carried], F.col(f"`{text}`").cast("string").alias("__text")
+        )
+        # Rows that come out of an exchange may come in another order the second time.
+        if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+            docs = materialize(docs, "texts")
+        self.docs = docs
+        self.rows = T.StructType([*docs.schema.fields[:-1], T.StructField(counted, T.LongType())])
+        total = docs.agg(F.sum(F.octet_length("__text").cast("long"))).first()[0] or 0
+        self.parts = -(-total // PART_BYTES) or 1
+
+    def cut(self, make: Callable[..., Iterator[dict]], schema: T.StructType) -> DataFrame:
+        """What ``make`` makes of every block, with the block's key.
+
+        ``make`` is given the batch's other columns, the words' numbers by frequency, words
+        per text and the words, and yields rows.
+        """
+        whole = T.StructType.fromDDL("block long, digest long").fields + schema.fields
+        whole = T.StructType(whole)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = TaskContext.get().partitionId() << 33
+            for batch in batches:
+                column = batch.column(batch.num_columns - 1).cast(pa.binary()).fill_null(b"")
+                for start, stop in _blocks(pc.binary_length(column).to_numpy()):
+                    texts = column.slice(start, stop - start).to_pylist()
+                    found, counts, distinct = numbered_words(texts)
+                    digest = xxhash.xxh3_64(counts.tobytes())
+                    for text in texts:
+                        digest.update(text)
+                    key = digest.intdigest() - (1 << 63)
+                    order = np.argsort(-np.bincount(found, minlength=len(distinct)), kind="stable")
+                    rank = np.empty(len(order), np.int64)
+                    rank[order] = np.arange(len(order))
+                    others = [c.slice(start, stop - start) for c in batch.columns[:-1]]
+                    for row in make(others, rank[found], counts, distinct.take(pa.array(order))):
+                        size = len(next(iter(row.values())))
+                        arrays = [pa.array([v] * size, pa.int64()) for v in (block, key)]
+                        yield pa.RecordBatch.from_arrays([*arrays, *row.values()], names=whole.names)
+                    block += 1
+
+        return self.docs.mapInArrow(run, whole)
+
+
+def positions(source: Source) -> DataFrame:
+    """(block, digest, rows, numbers, distinct): blocks as numbers of their words.
+
+    ``rows`` holds each row's other columns and its number of words.  Frequent words have
+    small numbers.
+    """
+    names = source.rows.names
+
+    def make(others, numbers, counts, words) -> Iterator[dict]:
+        zstd = pa.Codec("zstd", compression_level=3)
+        row = pa.StructArray.from_arrays([*others, pa.array(counts)], names=names)
+        yield {
+            "rows": pa.ListArray.from_arrays(pa.array([0, len(row)], pa.int32()), row),
+            "numbers": pa.array([_packed(numbers, zstd)], pa.binary()),
+            "distinct": pa.array([len(words)], pa.int64()),
+        }
 
+    fields = T.StructType.fromDDL("numbers binary, distinct long").fields
+    return source.cut(make, T.StructType([T.StructField("rows", T.ArrayType(source.rows)), *fields]))
 
-class Numbers(dict):
-    """Numbers of words in the order in which they are first met."""
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+def asked(source: Source) -> DataFrame:
+    """(block, digest, part, numbers, words): what each block asks each part of the table for.
 
+    Words go by their numbers, which are stored as the steps between them.
+    """
+    parts = source.parts
+
+    def make(others, numbers, counts, words) -> Iterator[dict]:
+        zstd = pa.Codec("zstd", compression_level=3)
+        words = words.to_pylist()
+        if not words:
+            return
+        part = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        part = (part % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        used, first = np.unique(part[order], return_index=True)
+        groups = np.split(order, first[1:])
+        yield {
+            "part": pa.array(used, pa.int64()),
+            "numbers": pa.array([_packed(np.diff(g, prepend=0), zstd) for g in groups], pa.binary()),
+            "words": pa.array([_packed_text([words[i] for i in g], zstd) for g in groups], pa.binary()),
+        }
+
+    return source.cut(make, T.StructType.fromDDL("part long, numbers binary, words binary"))
+
+
+def _coded(lists: list[list[bytes]], path: str) -> tuple[list[np.ndarray], pa.Array, list[np.ndarray]]:
+    """(per list the place of each word, distinct words, their ids), each word encoded once."""
+    sizes = np.cumsum([0, *map(len, lists)])
+    numbered = pa.array([w for words in lists for w in words], pa.binary()).dictionary_encode()
+    place = numbered.indices.to_numpy()
+    distinct = numbered.dictionary
+    encode = tokenizer(path).encode_batch_fast
+    ids: list[np.ndarray] = []
+    for start in range(0, len(distinct), WORDS):
+        words = [w.decode() for w in distinct.slice(start, WORDS).to_pylist()]
+        ids += [np.array(c.ids, "<u4") for c in encode(words, add_special_tokens=False)]
+    return [place[a:b] for a, b in zip(sizes[:-1], sizes[1:], strict=True)], distinct, ids
+
+
+def word_table(questions: DataFrame, path: str) -> DataFrame:
+    """(word, ids): the distinct words of all blocks with their ids."""
+
+    def code(part: pa.Table) -> pa.Table:
+        zstd = pa.Codec("zstd")
+        _, distinct, ids = _coded([_text(w, zstd) for w in part["words"].to_pylist()], path)
+        return pa.table({"word": distinct, "ids": pa.array([x.tolist() for x in ids], pa.list_(pa.int32()))})
 
-def _pack(numbers: list[int], distinct: int) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers by frequency, order): the most frequent word becomes number 0."""
-    given = np.array(numbers, np.int64)
-    order = np.argsort(-np.bincount(given, minlength=distinct), kind="stable")
-    rank = np.empty(distinct, np.uint32)
-    rank[order] = np.arange(distinct, dtype=np.uint32)
-    return rank[given], order
+    return questions.groupBy("part").applyInArrow(code, "word binary, ids array<int>")
 
 
-def split(docs: DataFrame, text: str) -> DataFrame:
-    """Blocks (block, rows, words, numbers): texts as numbers of their block's words.
+def answers(questions: DataFrame, path: str) -> DataFrame:
+    """(block, digest, numbers, lengths, ids): ids of the words that a block asked a part for.
 
-    ``rows`` holds each row's other columns and its number of words.  Frequent words have
-    small numbers; these take 16 bits where a block has so few words, and are compressed.
-    The blocks are stored, so that their ids stay what they are if an executor is lost.
+    A part's words, some megabytes, are in a task's memory together.
     """
-    (counted,) = spare(docs, "n_words")
-    carried = [c for c in docs.columns if c != text]
-    source = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("__text"))
-    rows = T.StructType([*source.schema.fields[:-1], T.StructField(counted, T.LongType())])
-    schema = T.StructType([
-        T.StructField("rows", T.ArrayType(rows)),
-        T.StructField("words", T.ArrayType(T.BinaryType())),
-        T.StructField("width", T.IntegerType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("numbers", T.BinaryType()),
-    ])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zstd = pa.Codec("zstd", compression_level=1)
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(len(carried)).cast(pa.binary()).to_pylist()]
-            for start, stop in _blocks(texts):
-                numbers, found, counts = Numbers(), [], []
-                for words in map(bytes.split, texts[start:stop]):
-                    found += map(numbers.__getitem__, words)
-                    counts.append(len(words))
-                packed, order = _pack(found, len(numbers))
-                names = list(numbers)
-                if len(names) <= 1 << 16:
-                    packed = packed.astype("<u2")
-                raw = packed.tobytes()
-                columns = [c.slice(start, stop - start) for c in batch.columns[:-1]]
-                row = pa.StructArray.from_arrays([*columns, pa.array(counts, pa.int64())], names=rows.names)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.ListArray.from_arrays(pa.array([0, stop - start], pa.int32()), row),
-                        pa.array([[names[i] for i in order]], pa.list_(pa.binary())),
-                        pa.array([packed.itemsize], pa.int32()),
-                        pa.array([len(raw)], pa.int64()),
-                        pa.array([zstd.compress(raw, asbytes=True)], pa.binary()),
-                    ],
-                    names=schema.names,
-                )
-
-    spark = docs.sparkSession
-    path = scratch_path(spark, "word-blocks")
-    blocks = source.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id())
-    blocks.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(blocks.schema).parquet(path)
-
-
-def word_table(blocks: DataFrame, path: str) -> DataFrame:
-    """(word, ids): every distinct word, encoded once; ids are packed as unsigned 32 bit."""
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_batch_fast
-        for batch in batches:
-            for start in range(0, batch.num_rows, WORDS):
-                words = batch.column(0).slice(start, WORDS)
-                coded = encode([w.decode() for w in words.to_pylist()], add_special_tokens=False)
-                ids = [np.array(c.ids, "<u4").tobytes() for c in coded]
-                yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.binary())], names=["word", "ids"])
-
-    words = blocks.select(F.explode("words").alias("word")).distinct()
-    return words.mapInArrow(code, "word binary, ids binary")
+
+    def code(part: pa.Table) -> pa.Table:
+        zstd = pa.Codec("zstd", compression_level=3)
+        places, _, ids = _coded([_text(w, zstd) for w in part["words"].to_pylist()], path)
+        packed = [x.tobytes() for x in ids]
+        lengths, given = [], []
+        for place in places:
+            flat, ends = by_position(packed, place)
+            lengths.append(_packed(np.diff(ends, prepend=0), zstd))
+            given.append(_packed(flat, zstd))
+        return pa.table({
+            "block": part["block"], "digest": part["digest"], "numbers": part["numbers"],
+            "lengths": pa.array(lengths, pa.binary()), "ids": pa.array(given, pa.binary()),
+        })
+
+    return questions.groupBy("part").applyInArrow(
+        code, "block long, digest long, numbers binary, lengths binary, ids binary"
+    )
 
 
 def encode(
-    docs: DataFrame, path: str, text: str = "text", to: str = "token_ids"
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    to: str = "token_ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` without ``text``, with the ids of each whole text as an array ``to``.
 
+    With ``decoded``, a column of that name has the text that the ids stand for, as
+    ``decode`` gives it.
+
     Ids are those of the tokenizers library for the file at ``path`` without added special
     tokens, truncation or padding; the strings of special tokens in a text count as those, as
-    in the library.  The file's tokenizer must drop white space and never join across it.
+    in the library.  The file's tokenizer must lower-case, drop white space and split between
+    letters or digits and signs, as that of ``word_bpe_49k.json`` does.
 
     Null and empty texts have no ids; repeated rows are encoded each; columns besides the
-    text stay, but for one named like ``to``; an empty table gives no rows.  A block's texts
+    text stay, but for those named like the results; an empty table gives no rows.  A block's texts
     (some megabytes, or one longer text) are in a task's memory together.
     """
-    kept = [c for c in docs.columns if c == text or c.lower() != to.lower()]
-    blocks = split(docs.select(*[F.col(f"`{c}`") for c in kept]), text)
-    asked = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    table = word_table(blocks, path)
-    # How many words there are is not known: a merge join, which AQE splits at hot words.
-    answers = (
-        asked.join(table.hint("merge"), "word")
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("number", "ids"))).alias("coded"))
-        .select("block", F.col("coded.ids").alias("coded"))
-    )
-    # A block of texts without words asks for none.
-    joined = blocks.drop("words").join(answers.hint("merge"), "block", "left")
-    rows = blocks.schema["rows"].dataType.elementType
-    carried = rows.names[:-1]
+    results = {c.lower() for c in (to, decoded) if c}
+    kept = [c for c in docs.columns if c == text or c.lower() not in results]
+    source = Source(docs.select(*[F.col(f"`{c}`") for c in kept]), text)
+    given = answers(asked(source), path)
+    rows = source.rows
     schema = T.StructType([*rows.fields[:-1], T.StructField(to, T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(left: pa.Table, right: pa.Table) -> pa.Table:
         zstd = pa.Codec("zstd")
-        for batch in batches:
-            for at in range(batch.num_rows):
-                listed, width, size, numbers, coded = (c.slice(at, 1) for c in batch.columns)
-                row = listed.flatten()
-                raw = zstd.decompress(numbers[0].as_py(), size[0].as_py(), asbytes=True)
-                position = np.frombuffer(raw, f"<u{width[0].as_py()}").astype(np.int64)
-                ids, ends = by_position(coded.flatten().to_pylist(), position)
-                words = np.concatenate([[0], np.cumsum(row.field(len(carried)).to_numpy())])
-                # A text ends where its last word does.
-                offsets = np.concatenate([[0], ends])[words]
-                yield pa.RecordBatch.from_arrays(
-                    [*[row.field(i) for i in range(len(carried))],
-                     pa.ListArray.from_arrays(offsets.astype(np.int32), ids)],
-                    names=schema.names,
-                )
-
-    return joined.select("rows", "width", "size", "numbers", "coded").mapInArrow(place, schema)
-
-
-def by_position(coded: list[bytes], position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, ends): the packed ids at each position after one another, and where each ends."""
-    flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
-    length = np.array([len(c) // 4 for c in coded], np.int64)
-    start = np.cumsum(length) - length
-    n = length[position]
-    ends = np.cumsum(n)
-    shift = np.repeat(start[position] - (ends - n), n)
-    return flat[shift + np.arange(len(shift))], ends
-
-
-def pieces(path: str) -> list[str | None]:
+        if not left.num_rows:
+            raise ValueError("a block came out differently when it was cut again")
+        row = left["rows"].combine_chunks().flatten()
+        position = _unpacked(left["numbers"][0].as_py(), zstd)
+        # What each part answered, put together in the order of the block's numbers.
+        numbers, lengths, flat = (
+            [_unpacked(x, zstd) for x in right[c].to_pylist()] for c in ("numbers", "lengths", "ids")
+        )
+        none = [np.zeros(0, np.int64)]
+        number = np.concatenate(none + [np.cumsum(x) for x in numbers])
+        length = np.concatenate(none + lengths)
+        if len(number) != left["distinct"][0].as_py():
+            raise ValueError("a block came out differently when it was cut again")
+        start = np.cumsum(length) - length
+        ids = np.concatenate(none + flat).astype("<u4")
+        coded: list[bytes] = [b""] * len(number)
+        for n, a, size in zip(number.tolist(), start.tolist(), length.tolist(), strict=True):
+            coded[n] = ids[a : a + size].tobytes()
+        found, ends = by_position(coded, position)
+        counts = row.field(len(rows) - 1).to_numpy()
+        # A text ends where its last word does.
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        lists = pa.ListArray.from_arrays(offsets.astype(np.int32), found.astype(np.int32))
+        made = [lists, texts_of(lists, path)] if decoded else [lists]
+        return pa.table([*[row.field(i) for i in range(len(rows) - 1)], *made], names=schema.names)
+
+    key = ["block", "digest"]
+    return positions(source).groupBy(*key).cogroup(given.groupBy(*key)).applyInArrow(place, schema)
+
+
+@lru_cache(maxsize=1)
+def pieces(path: str) -> pa.Array:
     """The id-to-piece table in the order of ids, as long as the vocabulary."""
     found = tokenizer(path)
+    if found.decoder is not None:
+        raise ValueError(f"{path} names a decoder of its own")
     vocabulary = found.get_vocab(with_added_tokens=True)
     table: list[str | None] = [None] * (max(vocabulary.values()) + 1)
     for piece, i in vocabulary.items():
         table[i] = piece
-    return table
+    return pa.array(table, pa.string())
+
+
+def texts_of(ids: pa.Array, path: str) -> pa.Array:
+    """The text of each list of ids; one lookup for all of them."""
+    table = pieces(path)
+    known = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+    inside = (known >= 0) & (known < len(table))
+    found = table.take(pa.array(np.where(inside, known, 0).astype(np.int32)))
+    found = pc.if_else(pa.array(inside), found, pa.scalar(None, pa.string()))
+    length = pc.list_value_length(ids).fill_null(0).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(length)])
+    valid = found.is_valid().to_numpy(zero_copy_only=False)
+    if not valid.all():
+        ends = np.concatenate([[0], np.cumsum(valid)])[ends]
+        found = found.drop_null()
+    texts = pc.binary_join(pa.ListArray.from_arrays(ends.astype(np.int32), found), " ")
+    return pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string()))
 
 
 def decode(
@@ -225,32 +341,5 @@ def decode(
     without a decoder of its own; special tokens stay.  Ids that the vocabulary lacks have no
     piece and leave no trace; null gives null and no ids give the empty text.
     """
-
-    def make() -> Callable[..., list[pa.Array]]:
-        if tokenizer(path).decoder is not None:
-            raise ValueError(f"{path} names a decoder of its own")
-        table = pa.array(pieces(path), pa.string())
-
-        def columns(packed: pa.Array) -> list[pa.Array]:
-            flat = packed.flatten()
-            known = flat.to_numpy(zero_copy_only=False)
-            inside = (known >= 0) & (known < len(table))
-            found = table.take(pa.array(np.where(inside, known, 0).astype(np.int32)))
-            found = pa.compute.if_else(pa.array(inside), found, pa.scalar(None, pa.string()))
-            length = pa.compute.list_value_length(packed).fill_null(0).to_numpy()
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length)]).astype(np.int32), found)
-            texts = pa.compute.binary_join(_without_nulls(lists), " ")
-            return [pa.compute.if_else(packed.is_valid(), texts, pa.scalar(None, pa.string()))]
-
-        return columns
-
-    return append_columns(tokens, [T.StructField(to, T.StringType())], [ids], make)
-
-
-def _without_nulls(lists: pa.ListArray) -> pa.ListArray:
-    """Lists without their null elements."""
-    if not lists.values.null_count:
-        return lists
-    valid = lists.values.is_valid()
-    ends = np.concatenate([[0], np.cumsum(valid.to_numpy(zero_copy_only=False))])
-    return pa.ListArray.from_arrays(ends[lists.offsets.to_numpy()].astype(np.int32), lists.values.filter(valid))
+    field = T.StructField(to, T.StringType())
+    return append_columns(tokens, [field], [ids], lambda: lambda packed: [texts_of(packed, path)])
