@@ -141,6 +141,10 @@ def test_operator_on_messy_rows(messy, empty, reference):
         assert ids_of(r.token_ids) == reference.encode_ordinary(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode()
         assert r.kept in ("yes", None)
+    both = bpe.encode(messy, PATH, P.PATTERN, decoded="KEPT").drop("text")
+    assert both.columns == [*[c for c in messy.columns if c not in ("text", "kept")], "token_ids", "KEPT"]
+    plainly = bpe.decode(bpe.encode(messy, PATH, P.PATTERN), PATH, P.PATTERN, to="KEPT").select(*both.columns)
+    assert sorted(map(str, both.collect())) == sorted(map(str, plainly.collect()))
     again = bpe.encode(bpe.encode(messy, PATH, P.PATTERN), PATH, P.PATTERN)
     assert again.columns == [*messy.columns, "token_ids"]
     assert bpe.encode(empty, PATH, P.PATTERN).count() == 0

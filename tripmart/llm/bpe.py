@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import re
 import struct
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -27,10 +28,10 @@ from pyspark.sql import types as T
 from .common import append_columns, by_position, cut_binary
 
 # Pieces and words kept per Python worker and generation, and the longest one kept.
-CACHE_PIECES = 1 << 17
+CACHE_PIECES = 1 << 15
 CACHE_CHARS = 64
 # Bytes of text that are numbered together; a longer text is numbered alone.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 
 # Fixed value: the pattern whose matches never go from one blank-separated word into the
 # next, and for which a blank and ASCII letters are one match.  Others are matched in full.
@@ -145,14 +146,16 @@ class Merger:
         self.complete = min(single) >= 0
         self.single = np.array(single, np.int64)
         # Every way in which two tokens make a third, by both their ids.
-        joined = sorted(
-            (ranks[token[:i]] << 32 | ranks[token[i:]], rank)
-            for token, rank in ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        )
-        self.pairs = np.array([pair for pair, _ in joined] + [1 << 62], np.int64)
-        self.made = np.array([rank for _, rank in joined] + [0], np.int64)
+        pairs, made = array("q"), array("q")
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    pairs.append(left << 32 | right)
+                    made.append(rank)
+        order = np.argsort(np.frombuffer(pairs, np.int64) if pairs else np.zeros(0, np.int64))
+        self.pairs = np.append(np.array(pairs, np.int64)[order], 1 << 62)
+        self.made = np.append(np.array(made, np.int64)[order], 0)
 
     def leaf(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Leaves of pairs of ids that start at ``at``."""
@@ -391,22 +394,34 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", to: str = "token_ids"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text: str = "text",
+    to: str = "token_ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` with the token ids of whole texts, packed as little-endian 32-bit integers.
 
     ``path`` is a rank file that every worker has installed.  Each match of
-    ``pattern`` is merged on its own; there are no special tokens.  Null and empty
-    texts give empty ids; repeated rows are encoded each; a column named like
-    ``to`` is replaced and all other columns stay.  Map-only: memory is one Arrow
-    batch and a bounded cache of short pieces.
+    ``pattern`` is merged on its own; there are no special tokens.  With ``decoded``, a
+    column of that name has the bytes that the ids stand for, as ``decode`` gives them.
+    Null and empty texts give empty ids; repeated rows are encoded each; columns named like
+    the results are replaced and all others stay.  Map-only: memory is one Arrow
+    batch and bounded caches of short pieces and words.
     """
+    fields = [T.StructField(c, T.BinaryType()) for c in (to, decoded) if c]
 
     def make():
-        run = codec(path, pattern).encode_all
-        return lambda texts: [run(texts)]
+        one = codec(path, pattern)
 
-    return append_columns(docs, [T.StructField(to, T.BinaryType())], [text], make)
+        def columns(texts: pa.Array) -> list[pa.Array]:
+            packed = one.encode_all(texts)
+            return [packed, one.decode_all(packed)] if decoded else [packed]
+
+        return columns
+
+    return append_columns(docs, fields, [text], make)
 
 
 def decode(

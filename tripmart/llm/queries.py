@@ -38,8 +38,7 @@ def _texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Ids and round trip of ``text``, as counts and digests."""
     path, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
-    coded = bpe.encode(docs.select("doc_id", "text"), path, pattern).drop("text")
-    return bpe.decode(coded, path, pattern).select(
+    return bpe.encode(docs.select("doc_id", "text"), path, pattern, decoded="decoded").select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
@@ -52,9 +51,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _texts(spark, sf_dir, "lang").withColumn(
-        "held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    )
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # A row without a key is not held out.
+    held_out = F.coalesce(hashed % 4 == 2, F.lit(False))
+    docs = _texts(spark, sf_dir, "lang").withColumn("held_out", held_out)
     found = langid.identify(docs.drop("lang"), docs.filter("not held_out"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
@@ -133,8 +133,7 @@ def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
-    coded = wordtable.encode(_texts(spark, sf_dir), path)
-    return wordtable.decode(coded, path).select(
+    return wordtable.encode(_texts(spark, sf_dir), path, decoded="decoded").select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -32,7 +32,7 @@ SALTED, HOT = 1 << 10, 10_000
 FIRST = 8
 # Elements whose permutations are in memory together, and words kept per Python worker.
 CHUNK = 1 << 14
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 16
 
 _EMPTY = np.uint64((1 << 64) - 1)
 
