@@ -4,6 +4,7 @@ A shard is one row of a table written by Spark:
 
     part, seq      place of the shard in key order
     n_docs         documents in it
+    first, last    its smallest and largest key, null where none has a key
     n_ids          ids in it
     payload        ids of all its documents, little-endian unsigned 16 bit, in key order
     keys           keys of its documents in order, little-endian signed 64 bit
@@ -13,10 +14,12 @@ A shard is one row of a table written by Spark:
     levels         words per level
     slots          per hash value: fingerprint (32 bit), first document, documents (64 bit each)
 
-The index places each key by the first level in which its bit is hit by no other
+A key's documents may lie in several shards one after the other; each of them has its share
+under the key.  The index places each key by the first level in which its bit is hit by no other
 key of the shard; the number of set bits before that one is its hash value, so n
-distinct keys have the values 0 to n-1.  A lookup reads one bit per level tried,
-one slot and the payload at that slot's offsets.
+distinct keys have the values 0 to n-1.  A lookup reads the shards whose bounds
+hold the key, and in one of them a bit per level tried, a slot and the payload at that
+slot's offsets.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,22 +36,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import SLICE_ROWS, by_position, numbered_words
+
 DOCS_PER_PART = 2048
 MAX_PARTS = 1 << 14
 SHARD_IDS = 1 << 21
 # Bits per key and level; twice the keys leaves about 40 % of them to the next level.
 LOAD = 2
 # Words kept per Python worker and generation, the longest one kept, and bytes encoded at once.
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 16
 CACHE_BYTES = 64
 GROUP_BYTES = 1 << 20
-# Fixed value: signs that may follow a word; no apostrophe, which starts contractions.
-# A word of these letters is what the tokenizer's normalisation and splitting leave as it is.
+# Fixed value: a word of these letters is what the tokenizer's normalisation and splitting
+# leave as it is.
 PLAIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
-TAIL_SIGNS = b".,;:!?*#$%&|<>()\"-"
+# Ids are stored as 16-bit integers.
+MAX_ID = (1 << 16) - 1
 
 SHARD_SCHEMA = (
-    "part int, seq int, n_docs long, n_ids long, payload binary, keys binary, nulls long, "
+    "part int, seq int, n_docs long, n_ids long, first long, last long, payload binary, "
+    "keys binary, nulls long, "
     "ends binary, bits binary, levels array<int>, slots binary"
 )
 _SLOT = np.dtype([("fingerprint", "<u4"), ("first", "<i8"), ("count", "<i8")])
@@ -105,8 +113,9 @@ class WordEncoder:
     """Packed ids of texts from the tokenizers library, with a bounded cache of words.
 
     The tokenizer drops white space and lower-cases, never joins across white space,
-    and splits where a letter or digit meets a sign.  So a text's ids are those of
-    its lower-case words, and a word's those of its stem and of the signs after it.
+    and splits where a letter or digit meets a sign.  So a text's ids are those of its
+    words; a group of texts is numbered by its distinct words, and only words new to the
+    cache are encoded.
     """
 
     def __init__(self, path: str):
@@ -118,71 +127,48 @@ class WordEncoder:
         self.to_symbols = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        if (largest := max(self.tokenizer.get_vocab().values())) > MAX_ID:
+            raise ValueError(f"ids up to {largest} do not fit the shards' 16 bits")
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text; the words that are new to the cache are encoded together."""
-        found, missing = [], []
-        for text in texts:
-            words = text.lower().split()
-            ids = list(map(self.young.get, words))
-            missing += [(ids, i, words[i]) for i, x in enumerate(ids) if x is None]
-            found.append(ids)
+        number, counts, distinct = numbered_words(texts)
+        words = distinct.to_pylist()
+        coded = list(map(self.young.get, words))
+        missing = [i for i, ids in enumerate(coded) if ids is None]
         if missing:
-            self._learn({word for _, _, word in missing})
-            for ids, i, word in missing:
-                ids[i] = self.young[word]
+            self._learn([words[i] for i in missing])
+            for i in missing:
+                coded[i] = self.young[words[i]]
             if len(self.young) > CACHE_WORDS:
                 kept = {w: x for w, x in self.young.items() if len(w) <= CACHE_BYTES}
                 self.young, self.old = {}, kept
-        return list(map(b"".join, found))
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, fresh, composed = self.young, set(), []
-
-        def want(word: bytes) -> None:
-            if word not in known:
-                seen = self.old.get(word)
-                if seen is None:
-                    fresh.add(word)
-                else:
-                    known[word] = seen
+        flat, ends = by_position(coded, number, "<u2")
+        packed = flat.tobytes()
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return [packed[2 * a : 2 * b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
-        for word in words:
-            stem = word.rstrip(TAIL_SIGNS)
-            if stem and stem != word and _ends_in_letter(stem):
-                tail = word[len(stem) :]
-                want(stem)
-                want(tail)
-                composed.append((word, stem, tail))
-            else:
-                want(word)
+    def _learn(self, words: list[bytes]) -> None:
         merge, new = self.tokenizer.model.tokenize, []
-        for word in fresh:
+        for word in words:
+            seen = self.old.get(word)
+            if seen is not None:
+                self.young[word] = seen
+                continue
             text = word.decode()
             if not PLAIN_WORD.fullmatch(text):
                 new.append(word)
                 continue
             tokens = merge(text if text.isascii() else self.to_symbols(text)[0][0])
-            known[word] = struct.pack(f"<{len(tokens)}H", *[t.id for t in tokens])
+            self.young[word] = struct.pack(f"<{len(tokens)}H", *[t.id for t in tokens])
         coded = self.tokenizer.encode_batch_fast(
             [w.decode() for w in new], add_special_tokens=False
         )
         for word, encoding in zip(new, coded, strict=True):
             ids = encoding.ids
-            known[word] = struct.pack(f"<{len(ids)}H", *ids)
-        for word, stem, tail in composed:
-            known[word] = known[stem] + known[tail]
-
-
-def _ends_in_letter(stem: bytes) -> bool:
-    """Whether the last character is a digit or a letter of Latin script, known to any engine.
-
-    Not the dotted capital I: its lower case ends in a combining mark, which is a sign.
-    """
-    last = stem[-2:].decode(errors="ignore")[-1:]
-    return last.isalnum() and last < "\u0250" and last != "\u0130"
+            self.young[word] = struct.pack(f"<{len(ids)}H", *ids)
 
 
 @lru_cache(maxsize=1)
@@ -203,6 +189,8 @@ def pack_shard(part: int, seq: int, keys: list, ids: list[bytes]) -> dict:
     ends = np.cumsum([len(x) // 2 for x in ids]).astype("<i8")
     return {
         "part": part, "seq": seq, "n_docs": len(keys), "n_ids": int(ends[-1]),
+        "first": int(distinct[0]) if len(distinct) else None,
+        "last": int(distinct[-1]) if len(distinct) else None,
         "payload": b"".join(ids), "keys": named.tobytes(), "nulls": nulls,
         "ends": ends.tobytes(), "bits": index.bits.tobytes(), "levels": index.levels,
         "slots": slots.tobytes(),
@@ -234,6 +222,23 @@ class Shard:
         return found, slot["first"], slot["count"]
 
 
+def dealt_to(keys: pa.Array, ids: list[bytes], edges: np.ndarray, null_parts: int) -> np.ndarray:
+    """Part of each row: by the bounds that its key has reached, null keys below all others.
+
+    Bounds that are equal leave parts to that key alone; its rows are spread over these and
+    the next part, where they come first.
+    """
+    values = keys.fill_null(0).to_numpy()
+    reached = np.searchsorted(edges, values, "right")
+    spread = reached - np.searchsorted(edges, values, "left")
+    if keys.null_count:
+        missing = keys.is_null().to_numpy(zero_copy_only=False)
+        reached[missing], spread[missing] = -1, null_parts
+    for i in np.flatnonzero(spread > 1).tolist():
+        reached[i] -= zlib.crc32(ids[i]) % int(spread[i])
+    return reached
+
+
 def write_index(
     docs: DataFrame,
     path: str,
@@ -246,44 +251,48 @@ def write_index(
 
     Bounds that split the keys into parts of about 2048 documents come from the key
     column alone, so texts are read and encoded once and moved once, packed, to
-    their part.  A part is sorted by key and cut into shards of about two million
-    ids while it streams by; a longer document is a shard of its own.  Null texts
-    have the end id only, null keys come first, rows that repeat a key follow one
-    another (shorter ids first, then by content).
+    their part.  A key that several bounds fall on, and rows without a key, are dealt over
+    parts of their own by a hash of their ids.  A part is sorted by key and cut into shards
+    of about two million ids while it streams by; a longer document is a shard of its own.
+    Null texts have the end id only, null keys come first, rows that repeat a key follow
+    one another, in an order of no meaning.  Ids beyond 16 bits are refused.
     """
+    if end_id > MAX_ID:
+        raise ValueError(f"id {end_id} does not fit the shards' 16 bits")
     id_ = F.col(f"`{key}`").cast("long")
-    rows = docs.agg(F.count(id_)).first()[0]
+    rows, nulls = docs.agg(F.count(id_), F.count_if(id_.isNull())).first()
     parts = min(MAX_PARTS, -(-rows // DOCS_PER_PART))
+    null_parts = min(MAX_PARTS, -(-nulls // DOCS_PER_PART))
     bounds: list[int] = []
     if parts > 1:
         shares = [i / parts for i in range(1, parts)]
-        bounds = sorted(
-            set(docs.agg(F.percentile_approx(id_, shares, max(10_000, 4 * parts))).first()[0])
-        )
+        bounds = sorted(docs.agg(F.percentile_approx(id_, shares, max(10_000, 4 * parts))).first()[0])
     end = np.array([end_id], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, edges = word_encoder(tokenizer).encode, np.array(bounds, np.int64)
         for batch in batches:
-            keys = batch.column(0)
-            part = np.searchsorted(edges, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), "right")
-            ids, group, held = [], [], 0
-            for value in batch.column(1).cast(pa.binary()):
-                group.append(value.as_py() or b"")
-                held += len(group[-1])
-                if held >= GROUP_BYTES:
-                    ids += run(group)
-                    group, held = [], 0
-            ids = [x + end for x in (*ids, *run(group))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), keys, pa.array(ids, pa.binary())],
-                names=["part", "key", "ids"],
-            )
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                keys, texts = batch.slice(start, SLICE_ROWS).columns
+                ids, group, held = [], [], 0
+                for value in texts.cast(pa.binary()):
+                    group.append(value.as_py() or b"")
+                    held += len(group[-1])
+                    if held >= GROUP_BYTES:
+                        ids += run(group)
+                        group, held = [], 0
+                ids = [x + end for x in (*ids, *run(group))]
+                part = dealt_to(keys, ids, edges, null_parts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.astype(np.int32)), keys, pa.array(ids, pa.binary())],
+                    names=["part", "key", "ids"],
+                )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
             ("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()),
-            ("n_ids", pa.int64()), ("payload", pa.binary()), ("keys", pa.binary()),
+            ("n_ids", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
+            ("payload", pa.binary()), ("keys", pa.binary()),
             ("nulls", pa.int64()), ("ends", pa.binary()), ("bits", pa.binary()),
             ("levels", pa.list_(pa.int32())), ("slots", pa.binary()),
         ])
@@ -294,9 +303,7 @@ def write_index(
 
         for batch in batches:
             for at, k, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # Rows of one key stay in one shard, so that one slot leads to them all.
-                full = held + len(x) // 2 > SHARD_IDS and keys and k != keys[-1]
-                if keys and (at != part or full):
+                if keys and (at != part or held + len(x) // 2 > SHARD_IDS):
                     yield shard()
                     seq = seq + 1 if at == part else 0
                     keys, ids, held = [], [], 0
@@ -314,7 +321,9 @@ def write_index(
     dealt = encoded.repartition("part").sortWithinPartitions(
         "part", F.col("key").asc_nulls_first(), F.octet_length("ids"), "ids"
     )
-    dealt.mapInArrow(cut, SHARD_SCHEMA).write.parquet(path)
+    # A row group per shard, so that readers skip shards by their bounds.
+    writer = dealt.mapInArrow(cut, SHARD_SCHEMA).write
+    writer.option("parquet.block.row.count.limit", 1).parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -376,6 +385,25 @@ def with_starts(rows: DataFrame, path: str) -> DataFrame:
     return moved.withColumn("start", F.col("start") + F.col("base")).drop("base")
 
 
+def hit_shards(shards: DataFrame, keys: list[int]) -> DataFrame:
+    """The shards whose bounds hold one of the keys.
+
+    Bounds come first, without payloads; the shards they name are then read alone.
+    """
+    distinct = sorted(set(keys))
+    wanted = F.array(*[F.lit(k).cast("long") for k in distinct])
+    inside = F.exists(wanted, lambda k: (F.col("first") <= k) & (k <= F.col("last")))
+    # A key is in few shards, so that no more rows than keys and their shards come back.
+    hits = shards.select("part", "seq", "first", "last").filter(inside).select("part", "seq")
+    hits = [tuple(r) for r in hits.collect()]
+    if not hits:
+        return shards.filter("false")
+    place = F.lit(False)
+    for part in sorted({p for p, _ in hits}):
+        place |= (F.col("part") == part) & F.col("seq").isin([s for p, s in hits if p == part])
+    return shards.filter(place)
+
+
 def find_documents(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
     """Ids of a short list of keys; shards answer by fingerprint and verify the key."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
@@ -395,4 +423,4 @@ def find_documents(spark: SparkSession, path: str, keys: list[int]) -> DataFrame
                     names=["key", "ids"],
                 )
 
-    return shards.mapInArrow(look, "key long, ids binary")
+    return hit_shards(shards, keys).mapInArrow(look, "key long, ids binary")
