@@ -44,9 +44,9 @@ SHARD_IDS = 1 << 21
 # Bits per key and level; twice the keys leaves about 40 % of them to the next level.
 LOAD = 2
 # Words kept per Python worker and generation, the longest one kept, and bytes encoded at once.
-CACHE_WORDS = 1 << 16
+CACHE_WORDS = 1 << 18
 CACHE_BYTES = 64
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 21
 # Fixed value: a word of these letters is what the tokenizer's normalisation and splitting
 # leave as it is.
 PLAIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
