@@ -107,6 +107,36 @@ def test_pairs_in_large_template_families(spark):
     check(superminhash.near_groups(df), {i: (850, c) for i, c in want.items()})
 
 
+def edited(seed, size):
+    """Copies of one text with 0 to 12 of 300 words changed: some are far from most others."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    base = [word() for _ in range(300)]
+    out = []
+    for _ in range(size):
+        words = list(base)
+        for at in rng.sample(range(300), rng.randrange(13)):
+            words[at] = word()
+        out.append(" ".join(words))
+    return out
+
+
+def test_candidates_of_a_large_group_grow_with_its_rows(spark, monkeypatch):
+    made = {}
+    store = superminhash.materialize
+
+    def counted(df, label):
+        out = store(df, label)
+        made[label] = made.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(superminhash, "materialize", counted)
+    rows = list(enumerate(edited(3, 300)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(superminhash.near_groups(df), brute(df.collect()))
+    assert 0 < made["candidates"] + made.get("hub-pairs", 0) < 2 * len(rows)
+
+
 def test_messy_rows(messy, empty):
     unique = messy.filter("doc_id is not null").dropDuplicates(["doc_id"])
     check(superminhash.near_groups(unique), brute(unique.collect()))

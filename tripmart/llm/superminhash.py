@@ -28,7 +28,7 @@ BANDS, ROWS = 48, 6
 SLOTS = BANDS * ROWS
 # Holders of a shingle, or partners of a leader, that meet in one task; hot leaders at most.
 SALTED, HOT = 1 << 10, 10_000
-# Pairs of two components that are verified before the rest.
+# Pairs of two components' sets and hubs that are verified before the rest.
 FIRST = 8
 # Elements whose permutations are in memory together, and words kept per Python worker.
 CHUNK = 1 << 14
@@ -282,14 +282,14 @@ def _in_mixed(met: DataFrame, linked: DataFrame) -> DataFrame:
     return named.join(mixed, "bucket").groupBy("id", "component").agg(stray)
 
 
-def _candidates(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ``open_`` (id, component, stray) that may be similar enough, none left out.
+def _prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The shingles by which the sets of ``open_`` (id, component) may meet similar ones.
 
-    Columns: leader, id, low and high (their components, in order), common (shingles
-    met by).  The shingles of a set are ranked by how many open sets hold them, those of
-    a single component first.  A pair's first common shingle must leave both sets enough
-    others behind it, which is a prefix of each set and prunes sets that only share what
-    many share.  At least one side is a stray, and the sides' components differ.
+    The shingles of a set are ranked by how many open sets hold them, those of a single
+    component first.  A pair's first common shingle must leave both sets enough others
+    behind it, which is a prefix of each set and prunes sets that only share what many
+    share.  Columns: unit (a number per set), id, n (its size), larger (shingles to share
+    with a set no smaller), shingle, left (shingles from there on), salts (for its holders).
     """
     sets = shingle_sets(texts.join(open_.hint("merge"), "id"), "text")
     sets = materialize(
@@ -314,38 +314,75 @@ def _candidates(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     larger = F.expr(f"({2 * percent} * n + {99 + percent}) div {100 + percent}")
     before = F.col("n") - F.size("ranked")
     size = F.greatest(F.lit(0), F.col("n") - least + 1 - before).cast("int")
-    prefix = materialize(
+    return materialize(
         sets.drop("shingles")
         .join(ranked, "unit")
         .select(
-            "unit", "id", "component", "stray", "n", larger.alias("larger"), before.alias("before"),
+            "unit", "id", "n", larger.alias("larger"), before.alias("before"),
             F.posexplode(F.slice("ranked", F.lit(1), size)).alias("k", "at"),
         )
         .select(
-            "unit", "id", "component", "stray", "n", "larger", "at.shingle",
+            "unit", "id", "n", "larger", "at.shingle",
             (F.col("n") - F.col("before") - F.col("k")).alias("left"),
             F.ceil(F.col("at.holders") / SALTED).cast("long").alias("salts"),
         ),
         "prefixes",
     )
-    a = prefix.filter("left >= larger").withColumn("salt", F.pmod(F.xxhash64("unit"), F.col("salts")))
-    b = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+
+
+def _meet(a: DataFrame, b: DataFrame, condition: str, percent: int) -> DataFrame:
+    """Pairs of a row of ``a`` and one of ``b`` at one shingle that may be similar enough.
+
+    Both have the columns of ``_prefixes``, component and stray.  Columns: leader, id,
+    low and high (their components, in order).  At least one side is a stray, and the
+    sides' components differ.
+    """
+    a = a.withColumn("salt", F.pmod(F.xxhash64("unit"), F.col("salts")))
+    b = b.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     enough = f"({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent}"
-    met = (
+    return (
         a.alias("a")
         .join(b.alias("b").hint("merge"), ["shingle", "salt"])
         .filter(
             "a.component <> b.component and (a.stray or b.stray)"
-            " and (a.n < b.n or (a.n = b.n and a.unit < b.unit))"
-            f" and least(a.left, b.left) >= {enough}"
+            f" and ({condition}) and least(a.left, b.left) >= {enough}"
         )
+        .select(
+            F.least("a.id", "b.id").alias("leader"),
+            F.greatest("a.id", "b.id").alias("id"),
+            F.least("a.component", "b.component").alias("low"),
+            F.greatest("a.component", "b.component").alias("high"),
+        )
+    )
+
+
+def _hub_pairs(prefix: DataFrame, percent: int) -> DataFrame:
+    """The most promising pairs (leader, id) of two components, FIRST of them at most.
+
+    The members of a shingle meet one set only for each range of sizes: the hub, which
+    has most shingles left behind and so the least that is its own.  There are fewer
+    pairs than rows in ``prefix``, where ``_candidates`` has the square of a group.
+    """
+    sizes = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
+    columns = F.struct(*[F.col(c) for c in prefix.columns if c != "shingle"])
+    hubs = prefix.groupBy("shingle", sizes.alias("sizes")).agg(
+        F.max_by(columns, F.struct("left", "unit")).alias("hub")
+    )
+    met = _meet(prefix, hubs.select("shingle", "hub.*"), "true", percent)
+    pairs = met.groupBy("leader", "id", "low", "high").agg(F.count("*").alias("common"))
+    order = Window.partitionBy("low", "high").orderBy(F.desc("common"), "leader", "id")
+    return pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FIRST)
+
+
+def _candidates(prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs (leader, id) of sets that may be similar enough, none left out."""
+    smaller = "a.n < b.n or (a.n = b.n and a.unit < b.unit)"
+    a = prefix.filter("left >= larger")
+    # Strays are few: only they meet all holders of a shingle.
+    met = _meet(a.filter("stray"), prefix, smaller, percent).union(
+        _meet(a.filter("not stray"), prefix.filter("stray"), smaller, percent)
     )
-    return met.groupBy(
-        F.least("a.id", "b.id").alias("leader"),
-        F.greatest("a.id", "b.id").alias("id"),
-        F.least("a.component", "b.component").alias("low"),
-        F.greatest("a.component", "b.component").alias("high"),
-    ).agg(F.count("*").alias("common"))
+    return met.select("leader", "id").distinct()
 
 
 def _finish(
@@ -353,34 +390,28 @@ def _finish(
 ) -> DataFrame:
     """``linked`` with every link that members of one bucket of ``met`` still lack.
 
-    All candidates are verified, but for those that others have joined before: the most
-    promising pairs of two components come first.
+    Sets meet the hubs of their shingles first, as many pairs as that is rows.  It joins
+    nearly all that belongs together, so that few sets of different components are left
+    to be compared with each other, all candidates of them.
     """
+
+    def untested(pairs: DataFrame, label: str) -> DataFrame:
+        pairs = pairs.select("leader", "id").join(tested, ["leader", "id"], "left_anti")
+        return materialize(pairs, label)
+
     open_ = materialize(_in_mixed(met, linked), "open-sets")
     if open_.isEmpty():
         return linked
-    pairs = _candidates(open_, texts, percent).join(tested, ["leader", "id"], "left_anti")
-    pairs = materialize(pairs, "candidates")
-    order = Window.partitionBy("low", "high").orderBy(F.desc("common"), "leader", "id")
-    first = pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FIRST)
-    first = materialize(first.select("leader", "id"), "pairs")
-    if first.isEmpty():
-        return linked
-    linked = _joined(linked, materialize(verify(first, texts, percent), "links"))
-    one = linked.select(F.col("id").alias("leader"), F.col("component").alias("low"))
-    other = linked.select("id", F.col("component").alias("high"))
-    rest = (
-        pairs.select("leader", "id")
-        .join(first, ["leader", "id"], "left_anti")
-        .join(one, "leader", "left")
-        .join(other, "id", "left")
-        .filter("coalesce(low, leader) <> coalesce(high, id)")
-        .select("leader", "id")
-    )
-    rest = materialize(rest, "pairs")
-    if rest.isEmpty():
+    prefixes = _prefixes(open_, texts, percent)
+    pairs = untested(_hub_pairs(prefixes.join(open_.hint("merge"), "id"), percent), "hub-pairs")
+    if not pairs.isEmpty():
+        linked = _joined(linked, materialize(verify(pairs, texts, percent), "links"))
+        tested = tested.union(pairs)
+        open_ = materialize(_in_mixed(met, linked), "open-sets")
+    pairs = untested(_candidates(prefixes.join(open_.hint("merge"), "id"), percent), "candidates")
+    if pairs.isEmpty():
         return linked
-    return _joined(linked, materialize(verify(rest, texts, percent), "links"))
+    return _joined(linked, materialize(verify(pairs, texts, percent), "links"))
 
 
 def _joined(linked: DataFrame, links: DataFrame) -> DataFrame:
