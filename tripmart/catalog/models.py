@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -320,12 +323,21 @@ def _(spark, sf_dir):
 @query("score_fare_tip_models", f"SELECT request_id, priced, priced AS plausible FROM ({_PRICED})")
 def _(spark, sf_dir):
     """Prices from trained models: for valid requests only, never negative, tips for cards only."""
-    rows = shapes.stored(_fare_rows(spark, sf_dir))
-    fare = ml.fit(rows, ml.FARE_MODEL)
-    tip = ml.fit(features.tip_features(rows), ml.TIP_MODEL)
+    # Hundreds of passes over these rows follow: as many even parts as there are cores.
+    parts = spark.sparkContext.defaultParallelism
+    rows = shapes.stored(_fare_rows(spark, sf_dir).repartition(parts))
+    # A level of a tree is a short job, and most of a model's time its tasks leave cores idle.
+    with ThreadPoolExecutor(1) as beside:
+        fare = beside.submit(inheritable_thread_target(ml.fit), rows, ml.FARE_MODEL)
+        tip = ml.fit(features.tip_features(rows), ml.TIP_MODEL)
+        fare = fare.result()
     requests = _requests(spark, sf_dir).drop("trip_distance")
     scored = forecast.score_fare_tip(
-        requests, shapes.zone_table(spark, sf_dir), fare_model=fare, tip_model=tip
+        requests,
+        shapes.zone_table(spark, sf_dir),
+        fare_model=fare,
+        tip_model=tip,
+        proven_rows=shapes.ZONES,
     )
     card = F.col("payment_type") == 1
     plausible = (

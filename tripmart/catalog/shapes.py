@@ -54,10 +54,17 @@ def _trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selectExpr(*[f"{sql} AS {name}" for name, sql in _TRIP_COLUMNS.items()])
 
 
-def typed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver-shaped trips straight from ``events``: one per event, no JSON detour."""
+def typed_trips(spark: SparkSession, sf_dir: str, *, once: bool = False) -> DataFrame:
+    """Silver-shaped trips straight from ``events``: one per event, no JSON detour.
+
+    With ``once`` a one-element generator keeps later filters and projections from being
+    merged with these columns, which would parse and convert them again at every use; it
+    works out all of them, whichever are needed.
+    """
     e = F.col("e")
     rows = _trip_rows(spark, sf_dir)
+    if once:
+        rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
     return rows.select(
         F.concat(F.lit("nyc_taxi_"), F.col("taxi_type")).alias("topic"),
         (e % 4).cast("int").alias("partition"),
@@ -266,14 +273,14 @@ def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 DAYS = ("2023-01-01", "2025-01-01")
 
 
-def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def joined_trips(spark: SparkSession, sf_dir: str, *, once: bool = False) -> DataFrame:
     return silver.join_weather(
-        typed_trips(spark, sf_dir), typed_weather(spark, sf_dir), window=DAYS
+        typed_trips(spark, sf_dir, once=once), typed_weather(spark, sf_dir), window=DAYS
     )
 
 
-def core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return core_ops.build_core(joined_trips(spark, sf_dir))
+def core(spark: SparkSession, sf_dir: str, *, once: bool = False) -> DataFrame:
+    return core_ops.build_core(joined_trips(spark, sf_dir, once=once))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +309,8 @@ def dense_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fare_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fare_tip_features(core(spark, sf_dir)).withColumn(
+    # Filters and features use distance and money many times over.
+    return gold.fare_tip_features(core(spark, sf_dir, once=True)).withColumn(
         "gold_processed_timestamp", F.lit(GOLD_STAMP).cast("timestamp")
     )
 

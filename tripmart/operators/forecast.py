@@ -20,6 +20,7 @@ from ..functions import (
     zone_display_name,
     zone_type,
 )
+from ..session import materialize
 from .geo import route_estimates
 from .joins import sized
 
@@ -330,15 +331,25 @@ def fallback_fare_tip(requests: DataFrame) -> DataFrame:
 
 
 def score_fare_tip(
-    requests: DataFrame, zones: DataFrame, *, fare_model=None, tip_model=None
+    requests: DataFrame,
+    zones: DataFrame,
+    *,
+    fare_model=None,
+    tip_model=None,
+    proven_rows: int | None = None,
 ) -> DataFrame:
     """Route, validate and price a batch of requests.
 
     Rejected requests stay in the result with a reason and null predictions.  A
-    missing model falls back to the rule for its part.
+    missing model falls back to the rule for its part.  With a model the routed
+    requests are stored once, and only the valid ones go through the trees.
     """
-    routed = validate_requests(route_estimates(requests, zones))
-    rows = request_features(routed)
+    routed = validate_requests(route_estimates(requests, zones, proven_rows=proven_rows))
+    trained = fare_model is not None or tip_model is not None
+    if trained:
+        routed = materialize(routed, "routed-requests")
+    every = request_features(routed)
+    rows = every.filter("valid") if trained else every
 
     def predicted(model, column: str, fallback: Column) -> tuple[DataFrame, Column]:
         if model is None:
@@ -350,9 +361,11 @@ def score_fare_tip(
     rows, fare = predicted(fare_model, "_fare", fallback_fare())
     rows, tip = predicted(tip_model, "_tip", fallback_tip_percent())
     card = F.col("payment_type") == K.CARD_PAYMENT
-    # Models take rejected rows too, with missing values filled in; their answers are dropped.
     valid = F.col("valid")
     tip = F.when(F.coalesce(card, F.lit(False)), tip).otherwise(0.0)
     priced = _settle(rows, F.when(valid, fare), F.when(valid, tip)).drop("_fare", "_tip")
+    if trained:
+        nothing = F.lit(None).cast("double")
+        priced = priced.unionByName(_settle(every.filter("NOT valid"), nothing, nothing))
     both = F.lit(fare_model is not None and tip_model is not None)
     return priced.withColumn("model_used", F.when(valid, both))
